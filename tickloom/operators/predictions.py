@@ -69,8 +69,8 @@ def prediction_by_id(df: DataFrame, prediction_id: int) -> DataFrame:
 
 
 def unrealized(df: DataFrame, symbol: str | None = None) -> DataFrame:
-    pending = df.where(pending())
-    return pending if symbol is None else pending.where(F.col("symbol") == symbol)
+    waiting = df.where(pending())
+    return waiting if symbol is None else waiting.where(F.col("symbol") == symbol)
 
 
 # --- pairing predictions with prices --------------------------------------------------------------
