@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.columns import smirnov_p_value
 from tickloom.operators.ordered import broadcast_if_small, first_rows, running
 from tickloom.schemas import MODEL_FEATURES
+from tickloom.sources.scratch import settled
 
 BINS = 10
 EMPTY_SHARE = 1e-10
@@ -35,8 +36,23 @@ def to_long(df: DataFrame, features: Sequence[str], keys: Sequence[str] = ()) ->
     return long.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def value_counts(
+    reference: DataFrame, current: DataFrame, keys: Sequence[str] = (), by: Sequence[str] = ("feature",)
+) -> DataFrame:
+    """How often each value occurs on either side, as a stored table: all tests below are sums over it."""
+    no_key = [F.lit(None).cast(current.schema[k].dataType).alias(k) for k in keys]
+    both = reference.select(*no_key, *by, "value", F.lit(True).alias("is_ref")).unionByName(
+        current.select(*keys, *by, "value", F.lit(False).alias("is_ref"))
+    )
+    return settled(both.groupBy(*keys, *by, "value", "is_ref").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _sides(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return counts.where("is_ref"), counts.where("not is_ref")
+
+
 def _edges(reference: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Inner edges of ten equal bins between the reference's extremes, one row per feature."""
+    """Lowest value and width of ten equal bins between the reference's extremes, one row per feature."""
     span = reference.groupBy(*by).agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
     flat = F.col("_lo") == F.col("_hi")
     span = span.withColumns(
@@ -48,54 +64,48 @@ def _edges(reference: DataFrame, by: Sequence[str]) -> DataFrame:
     return span.withColumn("_step", (F.col("_hi") - F.col("_lo")) / BINS)
 
 
-def _binned(values: DataFrame, edges: DataFrame, by: Sequence[str], keys: Sequence[str], name: str) -> DataFrame:
+def _binned(counts: DataFrame, edges: DataFrame, by: Sequence[str], keys: Sequence[str], name: str) -> DataFrame:
     """Counts per bin; values outside the edges fall into no bin but stay in the total."""
-    placed = values.join(broadcast_if_small(edges), list(by))
+    placed = counts.join(broadcast_if_small(edges), list(by))
     value, lo, hi, step = F.col("value"), F.col("_lo"), F.col("_hi"), F.col("_step")
     passed = sum((F.when(value >= lo + step * i, 1).otherwise(0) for i in range(1, BINS)), F.lit(0))
-    bin_number = F.when(value.between(lo, hi), passed)
-    return placed.groupBy(*keys, *by).agg(
-        F.count(F.lit(1)).alias(f"_n_{name}"),
-        *[F.count_if(bin_number == i).alias(f"_{name}_{i}") for i in range(BINS)],
-    )
+    placed = placed.withColumn("_bin", F.when(value.between(lo, hi), passed))
+    here = [F.sum(F.when(F.col("_bin") == i, F.col("n")).otherwise(0)).alias(f"_{name}_{i}") for i in range(BINS)]
+    return placed.groupBy(*keys, *by).agg(F.sum("n").alias(f"n_{name}"), *here)
 
 
 def _psi(left: str, right: str) -> Column:
     def share(side: str, i: int) -> Column:
         count = F.col(f"_{side}_{i}")
-        return F.when(count == 0, EMPTY_SHARE).otherwise(count / F.col(f"_n_{side}"))
+        return F.when(count == 0, EMPTY_SHARE).otherwise(count / F.col(f"n_{side}"))
 
     terms = [(share(right, i) - share(left, i)) * F.ln(share(right, i) / share(left, i)) for i in range(BINS)]
     return sum(terms[1:], terms[0])
 
 
-def psi(reference: DataFrame, current: DataFrame, keys: Sequence[str] = (), by: Sequence[str] = ("feature",)) -> DataFrame:
-    """Population stability index of long tables, per ``keys`` of the current side and ``by`` of both."""
+def psi(counts: DataFrame, keys: Sequence[str] = (), by: Sequence[str] = ("feature",)) -> DataFrame:
+    """Population stability index per ``keys`` of the current side and ``by`` of both."""
+    reference, current = _sides(counts)
     edges = _edges(reference, by)
     ref = _binned(reference, edges, by, (), "ref")
     cur = _binned(current, edges, by, keys, "cur")
-    return cur.join(broadcast_if_small(ref), list(by)).select(
-        *keys, *by, F.col("_n_ref").alias("n_ref"), F.col("_n_cur").alias("n_cur"), _psi("ref", "cur").alias("psi")
-    )
+    joined = cur.join(broadcast_if_small(ref), list(by))
+    return joined.select(*keys, *by, "n_ref", "n_cur", _psi("ref", "cur").alias("psi"))
 
 
-def ks(reference: DataFrame, current: DataFrame, keys: Sequence[str] = (), by: Sequence[str] = ("feature",)) -> DataFrame:
+def ks(counts: DataFrame, keys: Sequence[str] = (), by: Sequence[str] = ("feature",)) -> DataFrame:
     """Largest distance between the two distribution functions, and its asymptotic p-value.
 
     The distance peaks at or just before a current value, so the reference's function is only looked up
-    there: distinct values of both sides form one ordered table per feature, counted along.
+    there: the distinct values of both sides form one ordered table per feature, counted along.
     """
-    own = current.groupBy(*keys, *by, "value").agg(F.count(F.lit(1)).alias("_here"))
-    marks = (
-        reference.select(*by, "value", F.lit(1).alias("_ref"))
-        .unionByName(current.select(*by, "value", F.lit(0).alias("_ref")))
-        .groupBy(*by, "value")
-        .agg(F.sum("_ref").alias("_ref"))
-    )
+    reference, current = _sides(counts)
+    marks = counts.groupBy(*by, "value").agg(F.sum(F.when(F.col("is_ref"), F.col("n")).otherwise(0)).alias("_ref"))
     marks = running(marks, list(by), ["value"], {"_ref_upto": ("sum", F.col("_ref"))})
+    own = current.select(*keys, *by, "value", F.col("n").alias("_here"))
     own = running(own, [*keys, *by], ["value"], {"_upto": ("sum", F.col("_here"))})
-    n_ref = reference.groupBy(*by).agg(F.count(F.lit(1)).alias("n_ref"))
-    n_cur = current.groupBy(*keys, *by).agg(F.count(F.lit(1)).alias("n_cur"))
+    n_ref = reference.groupBy(*by).agg(F.sum("n").alias("n_ref"))
+    n_cur = current.groupBy(*keys, *by).agg(F.sum("n").alias("n_cur"))
     met = (
         own.join(marks, [*by, "value"])
         .join(broadcast_if_small(n_ref), list(by))
@@ -111,17 +121,14 @@ def ks(reference: DataFrame, current: DataFrame, keys: Sequence[str] = (), by: S
 
 
 def compare(
-    reference: DataFrame,
-    current: DataFrame,
+    counts: DataFrame,
     keys: Sequence[str] = (),
     by: Sequence[str] = ("feature",),
     psi_limit: float = PSI_LIMIT,
     alpha: float = ALPHA,
 ) -> DataFrame:
     """PSI and KS side by side with a ``drifted`` flag; groups with fewer than two values on a side drop out."""
-    shift = psi(reference, current, keys, by)
-    distance = ks(reference, current, keys, by).drop("n_ref", "n_cur")
-    both = shift.join(distance, [*keys, *by])
+    both = psi(counts, keys, by).join(ks(counts, keys, by).drop("n_ref", "n_cur"), [*keys, *by])
     enough = (F.col("n_ref") >= MIN_VALUES) & (F.col("n_cur") >= MIN_VALUES)
     return both.where(enough).withColumn("drifted", (F.col("ks_p_value") < alpha) | (F.col("psi") > psi_limit))
 
@@ -136,7 +143,8 @@ def feature_drift(
 ) -> DataFrame:
     """Compare every shared feature column of two wide tables."""
     features = list(features or [c for c in shared_columns(reference, current) if c not in keys])
-    return compare(to_long(reference, features), to_long(current, features, keys), keys, ("feature",), psi_limit, alpha)
+    counts = value_counts(to_long(reference, features), to_long(current, features, keys), keys)
+    return compare(counts, keys, ("feature",), psi_limit, alpha)
 
 
 def concept_drift(
@@ -154,18 +162,9 @@ def concept_drift(
     odd middle value accordingly), as when the series is handed over newest first.
     """
     known = errors.where(F.col(error).isNotNull()).select(*keys, *order, F.col(error).cast("double").alias("value"))
-    total = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    numbered = running(known, list(keys), list(order), {"_k": ("sum", F.lit(1))}, reverse=newest_is_reference)
-    halves = numbered.join(broadcast_if_small(total), list(keys)).where(F.col("_n") >= MIN_ERRORS)
-    first = F.col("_k") <= F.floor(F.col("_n") / 2)
-    return compare(
-        halves.where(first).select(*keys, "value"),
-        halves.where(~first).select(*keys, "value"),
-        (),
-        tuple(keys),
-        psi_limit,
-        alpha,
-    )
+    halves = halves_in_time(known, keys, order, newest_is_reference).where(F.col("n_rows") >= MIN_ERRORS)
+    counts = settled(halves.groupBy(*keys, "value", F.col("is_reference").alias("is_ref")).agg(F.count(F.lit(1)).alias("n")))
+    return compare(counts, (), tuple(keys), psi_limit, alpha)
 
 
 # --- report, cooldown, state ----------------------------------------------------------------------
@@ -226,11 +225,9 @@ def reference_sample(features: DataFrame, fraction: float = 0.1, seed: int = 42)
     return features.select(*MODEL_FEATURES).sample(fraction=fraction, seed=seed)
 
 
-def halves_in_time(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Flag the older half of each key's rows, as a reference for the newer half."""
-    total = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    numbered = running(df, list(keys), list(order), {"_k": ("sum", F.lit(1))})
+def halves_in_time(df: DataFrame, keys: Sequence[str], order: Sequence[str], newest: bool = False) -> DataFrame:
+    """Flag the older (or the ``newest``) half of each key's rows as the reference; adds ``n_rows`` per key."""
+    total = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    numbered = running(df, list(keys), list(order), {"_k": ("sum", F.lit(1))}, reverse=newest)
     joined = numbered.join(broadcast_if_small(total), list(keys))
-    return joined.withColumn("is_reference", F.col("_k") <= F.floor(F.col("_n") / 2)).drop("_k", "_n")
-
-
+    return joined.withColumn("is_reference", F.col("_k") <= F.floor(F.col("n_rows") / 2)).drop("_k")

@@ -100,17 +100,17 @@ def backfill_realized(predictions: DataFrame, prices: DataFrame, on: Sequence[st
     return _realized(joined.withColumn("newly_realized", newly), F.col("actual_price")).drop("actual_price")
 
 
-def _timeline(
-    predictions: DataFrame, prices: DataFrame, at: Column, side: int, price_order: Sequence[str]
-) -> DataFrame:
-    """Predictions and prices of a symbol on one time axis; ``side`` settles equal times."""
+def _timeline(predictions: DataFrame, prices: DataFrame, at: Column, side: int, price_order: Sequence[str]) -> DataFrame:
+    """Predictions (whole, in ``_row``) and prices of a symbol on one time axis; ``side`` settles equal times."""
     asked = predictions.select(
-        "symbol", at.alias("_at"), F.lit(side).alias("_side"), F.col("id").cast("long").alias("_id"),
-        F.lit("").alias("_tie"), F.lit(None).cast("double").alias("_price"), pending().alias("_pending"),
+        F.struct("*").alias("_row"), "symbol", at.alias("_at"), F.lit(side).alias("_side"),
+        F.col("id").cast("long").alias("_id"), F.lit("").alias("_tie"), F.lit(None).cast("double").alias("_price"),
     )
+    row_type = asked.schema["_row"].dataType
     seen = prices.select(
-        "symbol", F.col("event_ts").alias("_at"), F.lit(1 - side).alias("_side"), F.lit(None).cast("long").alias("_id"),
-        F.concat_ws("-", *[F.col(c).cast("string") for c in price_order]).alias("_tie"), F.col("price").alias("_price"), F.lit(False).alias("_pending"),
+        F.lit(None).cast(row_type).alias("_row"), "symbol", F.col("event_ts").alias("_at"), F.lit(1 - side).alias("_side"),
+        F.lit(None).cast("long").alias("_id"), F.concat_ws("-", *[F.col(c).cast("string") for c in price_order]).alias("_tie"),
+        F.col("price").alias("_price"),
     )
     return asked.unionByName(seen)
 
@@ -124,44 +124,38 @@ def realize_asof(
     """Realize each prediction with the first price of its symbol at least ``horizon`` later.
 
     A zero horizon means the first price strictly later. The look-ahead is a running "next value" over
-    both tables on one time axis, so no pair of rows is ever formed; the match comes back by id.
+    both tables on one time axis, so no pair of rows is ever formed and nothing is joined back.
     """
     zero = horizon.split()[0] in ("0", "0.0")
     due = F.col("timestamp") + F.expr(f"interval {horizon}")
     line = _timeline(predictions, prices, due, 1 if zero else 0, tie)
     found = running(line, ["symbol"], TIMELINE, {"_next": ("last", F.col("_price"))}, reverse=True)
-    matched = found.where(F.col("_id").isNotNull()).select(F.col("_id").alias("id"), F.col("_next").alias("actual_price"))
-    return _realized(predictions.join(matched, "id", "left"), F.col("actual_price")).drop("actual_price")
+    asked = found.where(F.col("_id").isNotNull()).select("_row.*", F.col("_next").alias("actual_price"))
+    return _realized(asked, F.col("actual_price")).drop("actual_price")
 
 
 def realize_fifo(predictions: DataFrame, prices: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
     """Each observed price realizes the oldest prediction of its symbol that is still waiting.
 
     A price that finds nobody waiting is lost, and a price never realizes a prediction of its own time
-    or later. Counting both sides gives the match: with T prices and A predictions so far, the prices
-    lost are the highest surplus T - A ever seen, and price number T serves waiting prediction T - lost.
+    or later. Counting both sides gives the match: with T prices and A waiting predictions so far, the
+    prices lost are the highest surplus T - A ever seen, and price number T serves prediction T - lost.
     """
     rows = cut(_timeline(predictions, prices, F.col("timestamp"), 1, tie), ["symbol"], TIMELINE)
-    is_price = F.col("_price").isNotNull()
-    rows = extend(
-        rows,
-        {
-            "_prices": ("sum", is_price.cast("long")),
-            "_waiting": ("sum", F.col("_pending").cast("long")),
-        },
-    )
+    is_price, waits = F.col("_price").isNotNull(), F.col("_id").isNotNull() & F.col("_row.realized_error").isNull()
+    counts = {"_prices": ("sum", is_price.cast("long")), "_waiting": ("sum", waits.cast("long"))}
+    rows = extend(rows, counts)
     rows = extend(rows, {"_lost": ("max", F.when(is_price, F.col("_prices") - F.col("_waiting")).otherwise(0))})
     line = finish(rows)
     lost = F.greatest(F.col("_lost"), F.lit(0))
-    # At a lost price T - lost repeats the number its predecessor served, so keep the earliest price per number.
+    # A lost price repeats the number its predecessor served, so the earliest price per number counts.
     served = (
         line.where(is_price & (F.col("_prices") > lost))
         .groupBy("symbol", (F.col("_prices") - lost).alias("_number"))
         .agg(F.min_by("_price", F.col("_prices")).alias("actual_price"))
     )
-    waiting = line.where(F.col("_pending")).select("symbol", F.col("_waiting").alias("_number"), F.col("_id").alias("id"))
-    matched = waiting.join(served, ["symbol", "_number"]).select("id", "actual_price")
-    return _realized(predictions.join(matched, "id", "left"), F.col("actual_price")).drop("actual_price")
+    asked = line.where(F.col("_id").isNotNull()).select("_row.*", F.when(waits, F.col("_waiting")).alias("_number"))
+    return _realized(asked.join(served, ["symbol", "_number"], "left"), F.col("actual_price")).drop("actual_price", "_number")
 
 
 # --- accuracy -------------------------------------------------------------------------------------

@@ -10,6 +10,7 @@ from tickloom.operators.features import tick_features
 from tickloom.plans.catalog import query
 from tickloom.plans.fixtures import CALM, REALIZED, TIE, Tables, features_sql, latest_time, q6
 from tickloom.schemas import MODEL_FEATURES
+from tickloom.sources.scratch import settled
 
 _NAMES = ", ".join(MODEL_FEATURES)
 
@@ -58,10 +59,13 @@ ks AS (SELECT *, CASE WHEN ks_statistic <= 0 THEN 1.0 ELSE greatest(0, least(1,
           END AS ks_p_value FROM ks_d)"""
 
 
-def _halves(t: Tables) -> tuple[DataFrame, DataFrame]:
+def _halves(t: Tables) -> DataFrame:
+    """Value counts of the older half (reference) and the newer half of each symbol's feature rows."""
     features = tick_features(t.calm_events(), TIE, keep=TIE)
     marked = drift.halves_in_time(features, ["symbol"], ["event_ts", *TIE])
-    return tuple(marked.where(side).select(*MODEL_FEATURES) for side in ("is_reference", "not is_reference"))
+    long = drift.to_long(marked, MODEL_FEATURES, ["is_reference"])
+    counts = long.groupBy("feature", "value", F.col("is_reference").alias("is_ref")).agg(F.count(F.lit(1)).alias("n"))
+    return settled(counts)
 
 
 _FLAG = "(ks_p_value < 0.05 OR psi > 0.2)"
@@ -69,15 +73,12 @@ _FLAG = "(ks_p_value < 0.05 OR psi > 0.2)"
 
 @query("psi_by_feature", f"WITH {_HALVES},{_psi_sql('feature')} SELECT feature, n_ref, n_cur, {q6('psi')} AS psi FROM psi")
 def psi_by_feature(t: Tables) -> DataFrame:
-    reference, current = _halves(t)
-    return drift.psi(drift.to_long(reference, MODEL_FEATURES), drift.to_long(current, MODEL_FEATURES))
+    return drift.psi(_halves(t))
 
 
 @query("ks_by_feature", f"WITH {_HALVES},{_ks_sql('feature')} SELECT feature, {q6('ks_statistic')} AS ks_statistic FROM ks")
 def ks_by_feature(t: Tables) -> DataFrame:
-    reference, current = _halves(t)
-    rows = drift.ks(drift.to_long(reference, MODEL_FEATURES), drift.to_long(current, MODEL_FEATURES))
-    return rows.select("feature", "ks_statistic")
+    return drift.ks(_halves(t)).select("feature", "ks_statistic")
 
 
 @query(
@@ -86,9 +87,7 @@ def ks_by_feature(t: Tables) -> DataFrame:
     {q6('ks_p_value')} AS ks_p_value FROM ks""",
 )
 def ks_pvalue(t: Tables) -> DataFrame:
-    reference, current = _halves(t)
-    rows = drift.ks(drift.to_long(reference, MODEL_FEATURES), drift.to_long(current, MODEL_FEATURES))
-    return rows.select("feature", "n_ref", "n_cur", "ks_p_value")
+    return drift.ks(_halves(t)).select("feature", "n_ref", "n_cur", "ks_p_value")
 
 
 @query(
@@ -98,7 +97,7 @@ def ks_pvalue(t: Tables) -> DataFrame:
       {_FLAG} AS drifted FROM psi JOIN ks USING (feature)""",
 )
 def feature_drift(t: Tables) -> DataFrame:
-    return drift.feature_drift(*_halves(t))
+    return drift.compare(_halves(t))
 
 
 _ERRORS = REALIZED + """,
@@ -165,10 +164,10 @@ final AS (SELECT *, CASE WHEN triggered THEN now ELSE last_before END AS last_tr
 
 
 def _report(t: Tables) -> DataFrame:
-    made = t.predictions()
+    made = settled(t.predictions())
     reference = tick_features(t.calm_events(), TIE).select(*MODEL_FEATURES)
     features = predictions.recent_feature_rows(made)
-    errors = predictions.recent_return_errors(t.realized())
+    errors = predictions.recent_return_errors(predictions.realize_fifo(made, t.calm_events(), TIE))
     return drift.drift_report(reference, features, errors, t.drift_state(), latest_time(t.market_events()))
 
 
