@@ -64,10 +64,10 @@ class VersionLog:
         rows = [(model, v, stage, rmse, tags, now, seq + i) for i, (v, stage, rmse, tags) in enumerate(events, 1)]
         self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
-    def register(self, model: str, test_rmse: float | None = None, **tags: object) -> int:
-        """Add a version in Staging and return its number."""
+    def register(self, model: str, rmse: float | None = None, /, **tags: object) -> int:
+        """Add a version with its held-out error in Staging and return its number."""
         last = self.read().where(F.col("model") == model).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
-        self._append(model, [(last + 1, STAGING, test_rmse, {k: str(v) for k, v in tags.items()})])
+        self._append(model, [(last + 1, STAGING, rmse, {k: str(v) for k, v in tags.items()})])
         return last + 1
 
     def promote(self, model: str, version: int, canary: bool = False) -> int:
