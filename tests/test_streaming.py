@@ -66,8 +66,16 @@ def test_late_tick_is_appended_or_dropped(spark, tmp_path):
 
 
 def test_state_with_a_lifetime(spark, tmp_path):
-    out = run(stream_tick_features(replay(spark, str(tmp_path / "in"), [[("A", 1, 1, 0)], [("A", 2, 1, 1)]]), ttl_ms=3_600_000), str(tmp_path / "out"))
-    assert sorted((r["price"], r["price_change"]) for r in out.where("price > 1").collect()) == [(2.0, 1.0)]
+    df = stream_tick_features(replay(spark, str(tmp_path / "in"), [[("A", 1, 1, 0)], [("A", 2, 1, 1)]]), ttl_ms=3_600_000)
+    query = df.writeStream.format("memory").queryName("aging").option("checkpointLocation", str(tmp_path / "c")).start()
+    try:
+        for _ in range(30):  # with a lifetime the query keeps running to check it
+            query.awaitTermination(1)
+            if spark.table("aging").count() == 2:
+                break
+        assert sorted((r["price"], r["price_change"]) for r in spark.table("aging").collect()) == [(1.0, None), (2.0, 1.0)]
+    finally:
+        query.stop()
 
 
 def test_time_windows_in_a_stream(spark, tmp_path):
@@ -102,8 +110,8 @@ def test_generated_ticks_and_memory_table(spark, tmp_path):
     assert df.isStreaming and df.columns == TICK_FEATURES
     query = df.writeStream.format("memory").queryName("made").option("checkpointLocation", str(tmp_path / "c")).start()
     try:
-        query.processAllAvailable()
-        assert spark.table("made").columns == TICK_FEATURES
+        query.awaitTermination(5)  # the source never ends
+        assert query.exception() is None and spark.table("made").columns == TICK_FEATURES
     finally:
         query.stop()
 
