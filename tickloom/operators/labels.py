@@ -54,7 +54,9 @@ def last_rank_within(n: int, share: float, inclusive: bool = True) -> int:
     return k
 
 
-def _cut_times(df: DataFrame, column: str, bounds: list[tuple[float, bool]]) -> list[int | None]:
+def _cut_times(
+    df: DataFrame, column: str, bounds: list[tuple[float, bool]], stored: bool = False
+) -> list[int | None]:
     """For each (share, inclusive): the last time whose percent rank is within the share, in microseconds."""
     ranks: list[int] = []
 
@@ -62,7 +64,7 @@ def _cut_times(df: DataFrame, column: str, bounds: list[tuple[float, bool]]) ->
         ranks.extend(last_rank_within(n, share, inclusive) for share, inclusive in bounds)
         return ranks
 
-    _, values = values_at_ranks(df, column, wanted)
+    _, values = values_at_ranks(df, column, wanted, stored)
     return [v if r >= 0 else None for r, v in zip(ranks, values)] if values else [None] * len(bounds)
 
 
@@ -90,9 +92,11 @@ class TimeSplit:
         return df.where(train), df.where(~train & validate), df.where(~validate)
 
 
-def split_times(df: DataFrame, train: float = 0.7, validate: float = 0.15, column: str = "event_ts") -> TimeSplit:
+def split_times(
+    df: DataFrame, train: float = 0.7, validate: float = 0.15, column: str = "event_ts", stored: bool = False
+) -> TimeSplit:
     """Find the two cut times of the whole table; nothing is sorted and no task sees all rows."""
-    return TimeSplit(column, *_cut_times(df, column, [(train, True), (train + validate, True)]))
+    return TimeSplit(column, *_cut_times(df, column, [(train, True), (train + validate, True)], stored))
 
 
 def chronological_split(
@@ -105,12 +109,16 @@ def with_split(df: DataFrame, train: float = 0.7, validate: float = 0.15, column
     return df.withColumn("split", split_times(df, train, validate, column).label())
 
 
-def walk_forward_chunks(df: DataFrame, n: int = 5, compat: bool = False, column: str = "event_ts") -> DataFrame:
+def walk_forward_chunks(
+    df: DataFrame, n: int = 5, compat: bool = False, column: str = "event_ts", times: DataFrame | None = None
+) -> DataFrame:
     """Number equal chunks of the timeline in a column ``chunk``.
 
     With ``compat`` the last chunk ends before rank 1.0, so a newest row that is alone at its time drops out.
+    ``times`` may give the stored time column of ``df``.
     """
-    *inner, newest = _cut_times(df, column, [((i + 1) / n, False) for i in range(n)])
+    bounds = [((i + 1) / n, False) for i in range(n)]
+    *inner, newest = _cut_times(df if times is None else times, column, bounds, times is not None)
     chunk = F.lit(0)
     for bound in inner:
         chunk = chunk + F.when(_until(column, bound), 0).otherwise(1)

@@ -24,6 +24,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tickloom.sources.scratch import settled
+
 ROWS_CONF = "tickloom.slice.rows"  # wanted rows per slice; setting it forces slicing
 SMALL_CONF = "tickloom.slice.smallBytes"  # inputs up to this size use the plain window
 DEFAULT_ROWS = 4_000_000
@@ -271,13 +273,17 @@ _BUCKETS = 16_384
 _FEW_ROWS = 4_096
 
 
-def values_at_ranks(df: DataFrame, column: str, ranks: Callable[[int], list[int]]) -> tuple[int, list[int]]:
+def values_at_ranks(
+    df: DataFrame, column: str, ranks: Callable[[int], list[int]], stored: bool = False
+) -> tuple[int, list[int]]:
     """Exact values at 0-based positions of a timestamp column in ascending order, in microseconds.
 
     Narrows each position down by bucket counts, so a pass returns some thousand counts to the driver
-    and nothing is sorted. ``ranks`` receives the number of non-null rows; (count, values) is returned.
+    and nothing is sorted. The column is written once before the passes unless ``df`` is ``stored``
+    already. ``ranks`` receives the number of non-null rows; (count, values) is returned.
     """
     values = df.select(F.unix_micros(column).alias("v"))
+    values = values if stored else settled(values)
     low, high, n = values.agg(F.min("v"), F.max("v"), F.count("v")).first()
     wanted = [min(max(r, 0), n - 1) for r in ranks(n)] if n else []
     found: dict[int, int] = {}

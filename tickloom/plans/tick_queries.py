@@ -122,7 +122,8 @@ def dedup_first_by_key(t: Tables) -> DataFrame:
 
 
 def _features(t: Tables, columns: list[str]) -> DataFrame:
-    return features.tick_features(t.market_events(), TIE, keep=TIE).select("event_id", *columns)
+    typed = t.market_events().drop("timestamp")  # the event time is typed already, no text to parse
+    return features.tick_features(typed, TIE, keep=TIE).select("event_id", *columns)
 
 
 def _features_sql(columns: list[str]) -> str:

@@ -16,6 +16,7 @@ from tickloom.operators.backtest import backtest_summary
 from tickloom.operators.features import tick_order
 from tickloom.operators.labels import TARGET
 from tickloom.schemas import MODEL_FEATURES
+from tickloom.sources.scratch import settled
 
 
 def gbt_pipeline(features: Sequence[str] = MODEL_FEATURES, label: str = TARGET, **params) -> Pipeline:
@@ -83,10 +84,12 @@ def train_and_evaluate(
 
 def walk_forward_parts(df: DataFrame, n: int = 5, train: float = 0.7, compat: bool = False) -> DataFrame:
     """Number the chunks of the timeline and mark each row as train or val inside its chunk."""
-    chunked = labels.walk_forward_chunks(df, n, compat)
+    times = settled(df.select("event_ts"))  # all cut times come from this one column
+    chunks_of_times = settled(labels.walk_forward_chunks(times, n, compat, times=times))
+    chunked = labels.walk_forward_chunks(df, n, compat, times=times)
     part = F.lit("train")
     for i in range(n):
-        split = labels.split_times(chunked.where(F.col("chunk") == i), train, 1 - train)
+        split = labels.split_times(chunks_of_times.where(F.col("chunk") == i), train, 1 - train, stored=True)
         part = F.when((F.col("chunk") == i) & (split.label() != "train"), "val").otherwise(part)
     return chunked.withColumn("part", part)
 
