@@ -100,9 +100,12 @@ def stream_time_window_features(
     """
     valid = validate_events(df).withWatermark("event_ts", watermark)
     bars = tumbling_bars(valid, duration, tick_order(valid, tie))
-    bars = bars.withColumn("_end", F.window_time("window")).drop("_price_sum", "_ticks")
+    bars = bars.withColumn("_end", F.window_time("window")).drop("window", "_price_sum", "_ticks")  # one event time only
     for name, horizon in HORIZONS.items():
         means = valid.groupBy(F.window("event_ts", horizon, duration).alias("_w"), "symbol").agg(F.avg("price").alias(name))
         means = means.select(F.window_time("_w").alias("_end"), "symbol", name)
         bars = bars.join(means, ["symbol", "_end"], "left")
+    end = F.col("_end") + F.expr("interval 1 microsecond")
+    window = F.struct((end - F.expr(f"interval {duration}")).alias("start"), end.alias("end"))
+    bars = bars.withColumn("window", window)
     return derive_window_columns(bars).select("window", "symbol", *BASE_COLUMNS, *HORIZONS, *_DERIVED)
