@@ -30,7 +30,7 @@ def _same(left, right, tolerance=1e-9):
             assert p == q or (isinstance(p, float) and abs(p - q) < tolerance), (one, two)
 
 
-@pytest.mark.parametrize("rows", [2, 7, 40, 250])
+@pytest.mark.parametrize("rows", [2, 40])
 @pytest.mark.parametrize("keys", [["symbol"], []])
 def test_bounded_window_equals_plain(ticks, sliced, rows, keys):
     def add(df, w):
@@ -48,7 +48,7 @@ def test_bounded_window_equals_plain(ticks, sliced, rows, keys):
     _same(got, add(ticks, Window.partitionBy(*keys).orderBy("t", "id")))
 
 
-@pytest.mark.parametrize("rows", [2, 40, 250])
+@pytest.mark.parametrize("rows", [2, 40])
 @pytest.mark.parametrize("reverse", [False, True])
 def test_running_equals_plain(ticks, sliced, rows, reverse):
     wanted = {
