@@ -51,6 +51,11 @@ def _sides(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return counts.where("is_ref"), counts.where("not is_ref")
 
 
+def _per_group(df: DataFrame, by: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Side of a join with one row per group. One row per feature column is always few; else ask Catalyst."""
+    return F.broadcast(df) if tuple(by) == ("feature",) and not keys else broadcast_if_small(df)
+
+
 def _edges(reference: DataFrame, by: Sequence[str]) -> DataFrame:
     """Lowest value and width of ten equal bins between the reference's extremes, one row per feature."""
     span = reference.groupBy(*by).agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
@@ -66,7 +71,7 @@ def _edges(reference: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def _binned(counts: DataFrame, edges: DataFrame, by: Sequence[str], keys: Sequence[str], name: str) -> DataFrame:
     """Counts per bin; values outside the edges fall into no bin but stay in the total."""
-    placed = counts.join(broadcast_if_small(edges), list(by))
+    placed = counts.join(_per_group(edges, by), list(by))
     value, lo, hi, step = F.col("value"), F.col("_lo"), F.col("_hi"), F.col("_step")
     passed = sum((F.when(value >= lo + step * i, 1).otherwise(0) for i in range(1, BINS)), F.lit(0))
     placed = placed.withColumn("_bin", F.when(value.between(lo, hi), passed))
@@ -89,7 +94,7 @@ def psi(counts: DataFrame, keys: Sequence[str] = (), by: Sequence[str] = ("featu
     edges = _edges(reference, by)
     ref = _binned(reference, edges, by, (), "ref")
     cur = _binned(current, edges, by, keys, "cur")
-    joined = cur.join(broadcast_if_small(ref), list(by))
+    joined = cur.join(_per_group(ref, by), list(by))
     return joined.select(*keys, *by, "n_ref", "n_cur", _psi("ref", "cur").alias("psi"))
 
 
@@ -108,8 +113,8 @@ def ks(counts: DataFrame, keys: Sequence[str] = (), by: Sequence[str] = ("featur
     n_cur = current.groupBy(*keys, *by).agg(F.sum("n").alias("n_cur"))
     met = (
         own.join(marks, [*by, "value"])
-        .join(broadcast_if_small(n_ref), list(by))
-        .join(broadcast_if_small(n_cur), [*keys, *by])
+        .join(_per_group(n_ref, by), list(by))
+        .join(_per_group(n_cur, by, keys), [*keys, *by])
     )
     at = F.abs(F.col("_ref_upto") / F.col("n_ref") - F.col("_upto") / F.col("n_cur"))
     before = F.abs(
