@@ -16,6 +16,7 @@ from tickloom.operators.ordered import broadcast_if_small, first_rows, running
 from tickloom.schemas import MODEL_FEATURES
 from tickloom.sources.scratch import settled
 
+# Bins, share of an empty bin, thresholds, smallest samples.
 BINS = 10
 EMPTY_SHARE = 1e-10
 PSI_LIMIT = 0.2

@@ -12,6 +12,7 @@ from tickloom.operators.ingest import validate_events
 from tickloom.operators.ordered import bounded_window
 from tickloom.schemas import TICK_DERIVED, TICK_FEATURES
 
+# Fixed values.
 SHORT, LONG = 5, 20  # ticks in the moving averages, the current one included
 
 

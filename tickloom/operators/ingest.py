@@ -16,6 +16,7 @@ REJECT = "reject_reason"
 _NORMAL = "symbol string, price string, volume string, timestamp string"
 FLAT_TRADE = f"{_NORMAL}, s string, p string, q string, T string"
 NESTED_TRADE = f"{_NORMAL}, data array<struct<s: string, p: string, v: string, t: string>>"
+# Message fields above, symbol prefix of the nested form.
 SYMBOL_PREFIX = "BINANCE:"
 
 
@@ -84,12 +85,11 @@ def adapt_nested_trades(df: DataFrame, payload: str = "payload", explode_all: bo
 
 def adapt_trades(df: DataFrame, source: str = "source", payload: str = "payload") -> DataFrame:
     """Adapt each message by its source; an unknown source must send normalized events already."""
-    known = {"binance": (FLAT_TRADE, "flat"), "finnhub": (NESTED_TRADE, "nested")}
     flat, nested = F.col("_flat"), F.col("_nested")
     parsed = df.withColumns(
         {
-            "_flat": F.when(F.col(source).isNull() | (F.col(source) != "finnhub"), F.from_json(payload, known["binance"][0])),
-            "_nested": F.when(F.col(source) == "finnhub", F.from_json(payload, known["finnhub"][0])),
+            "_flat": F.when(F.col(source).isNull() | (F.col(source) != "finnhub"), F.from_json(payload, FLAT_TRADE)),
+            "_nested": F.when(F.col(source) == "finnhub", F.from_json(payload, NESTED_TRADE)),
         }
     )
     first = F.get(nested["data"], F.lit(0))

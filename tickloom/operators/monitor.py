@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 # Upper bounds of the latency histogram in seconds; fixed values.
 LATENCY_BOUNDS = [0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0]
 
+# Alert limits and times in seconds; fixed values.
 LATENCY_LIMIT = 1.0
 RMSE_LIMIT = 0.02
 ERROR_RATIO_LIMIT = 0.05

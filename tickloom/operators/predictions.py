@@ -11,7 +11,7 @@ from tickloom.functions.columns import price_from_return, same_sign
 from tickloom.operators.ordered import cut, extend, finish, first_rows, last_rows, running
 from tickloom.schemas import MODEL_FEATURES, PREDICTION
 
-Z_95 = 1.96
+Z_95 = 1.96  # fixed value
 PREDICTION_ORDER = ["timestamp", "id"]
 
 

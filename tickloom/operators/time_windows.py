@@ -11,6 +11,7 @@ from tickloom.functions.columns import ratio
 from tickloom.operators.features import tick_order
 from tickloom.operators.ingest import validate_events
 
+# Fixed values.
 HORIZONS = {"ma5": "5 minutes", "ma20": "20 minutes"}
 BASE_COLUMNS = [
     "first_price", "last_price", "avg_price", "max_price", "min_price",
