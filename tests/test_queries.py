@@ -9,7 +9,10 @@ import pytest
 import __spark_entry__ as spark_entry
 from oracle import connect, difference
 
-QUERIES, SQL = spark_entry.queries(), spark_entry.oracle_sql()
+from tickloom.plans import catalog
+
+# The text operators have tests of their own.
+QUERIES, SQL = catalog.queries(), catalog.oracle_sql()
 ROWS_ONLY = {"reference_sample", "gbt_predictions"}
 pytestmark = pytest.mark.skipif(not os.path.isdir("/root/testdata"), reason="needs the given tables")
 
