@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import spaced_seeds
+from tickloom.llm import line_windows, packing, repetition, spaced_seeds
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,14 +16,45 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.quality(_table(spark, sf_dir, "documents"))
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.tiktoken"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_windows.without_repeated_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.md5("text").alias("kept_md5"))
+
+
+OP8_SQL = """
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+c AS (SELECT doc_id, i, line, row_number() OVER d AS n FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+w AS (SELECT doc_id, n, line || chr(10) || lead(line, 1) OVER d || chr(10) || lead(line, 2) OVER d AS w FROM c WINDOW d AS (PARTITION BY doc_id ORDER BY n)),
+later AS (SELECT doc_id, n FROM (SELECT doc_id, n, row_number() OVER (PARTITION BY w ORDER BY doc_id, n) AS place FROM w WHERE w IS NOT NULL) WHERE place > 1),
+gone AS (SELECT DISTINCT c.doc_id, c.i FROM later JOIN c ON c.doc_id = later.doc_id AND c.n BETWEEN later.n AND later.n + 2)
+SELECT l.doc_id, count(*) AS n_lines, count(gone.i) AS n_removed,
+  md5(coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE gone.i IS NULL), '')) AS kept_md5
+FROM l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.i = l.i GROUP BY l.doc_id
+"""
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spaced_seeds.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.withColumn("item_ids", F.array_join("item_ids", ","))
 
 
 OP9_SQL = """
-WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), w -> w <> '') AS ws FROM documents),
-b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), w -> w <> '') AS ws FROM benchmark),
+WITH d AS (SELECT doc_id, [w FOR w IN regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+') IF w <> ''] AS ws FROM documents),
+b AS (SELECT item_id, [w FOR w IN regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+') IF w <> ''] AS ws FROM benchmark),
 dw AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM d),
 bw AS (SELECT item_id, len(ws) AS n, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM b WHERE len(ws) >= 8),
 eq AS (SELECT DISTINCT doc_id, item_id, n, dw.p - bw.p AS shift, bw.p AS p FROM dw JOIN bw USING (w)),
@@ -41,8 +72,12 @@ FROM documents LEFT JOIN per_doc ON documents.doc_id = per_doc.doc_id
 """
 
 QUERIES: dict[str, Query] = {
+    "op6_quality_rules": op6_quality_rules,
+    "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_line_dedup": op8_line_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op8_line_dedup": OP8_SQL,
     "op9_benchmark_decontamination": OP9_SQL,
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ def text_key(column: str = "text") -> list[Column]:
 def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut so that the texts of one are about ``most_bytes``, or one longer text."""
     for batch in batches:
-        lengths = pa.compute.binary_length(batch.column(column)).to_pylist()
+        lengths = pc.binary_length(batch.column(column)).to_pylist()
         start = held = 0
         for i, n in enumerate(lengths):
             if held and held + (n or 0) > most_bytes:
