@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import line_windows, packing, repetition, spaced_seeds
+from tickloom.llm import line_windows, packing, repetition, secret_scan, spaced_seeds
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,11 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secrets(_table(spark, sf_dir, "documents"))
+    return found.withColumn("base_spans", F.sha2("base_spans", 256)).withColumnRenamed("base_spans", "base_sha256")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality(_table(spark, sf_dir, "documents"))
 
@@ -72,6 +77,7 @@ FROM documents LEFT JOIN per_doc ON documents.doc_id = per_doc.doc_id
 """
 
 QUERIES: dict[str, Query] = {
+    "op5_secret_scan": op5_secret_scan,
     "op6_quality_rules": op6_quality_rules,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_line_dedup": op8_line_dedup,
