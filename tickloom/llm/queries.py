@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import line_windows, packing, repetition, secret_scan, spaced_seeds
+from tickloom.llm import line_windows, packing, repetition, secret_scan, spaced_seeds, subword_lattice
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +57,10 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.withColumn("item_ids", F.array_join("item_ids", ","))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subword_lattice.scored(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+
+
 OP9_SQL = """
 WITH d AS (SELECT doc_id, [w FOR w IN regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+') IF w <> ''] AS ws FROM documents),
 b AS (SELECT item_id, [w FOR w IN regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+') IF w <> ''] AS ws FROM benchmark),
@@ -82,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_line_dedup": op8_line_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 ORACLE_SQL: dict[str, str] = {
     "op8_line_dedup": OP8_SQL,
