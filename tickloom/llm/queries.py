@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import line_windows, packing, repetition, secret_scan, spaced_seeds, subword_lattice
+from tickloom.llm import line_windows, ngram_join, packing, repetition, secret_scan, spaced_seeds, subword_lattice
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.secrets(_table(spark, sf_dir, "documents"))
     return found.withColumn("base_spans", F.sha2("base_spans", 256)).withColumnRenamed("base_spans", "base_sha256")
@@ -81,6 +85,7 @@ FROM documents LEFT JOIN per_doc ON documents.doc_id = per_doc.doc_id
 """
 
 QUERIES: dict[str, Query] = {
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op5_secret_scan": op5_secret_scan,
     "op6_quality_rules": op6_quality_rules,
     "op7_best_fit_packing": op7_best_fit_packing,
