@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import line_windows, ngram_join, packing, repetition, secret_scan, spaced_seeds, subword_lattice
+from tickloom.llm import line_windows, ngram_join, packing, repetition, secret_scan, spaced_seeds, subword_lattice, suffix_buckets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,11 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_buckets.without_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.secrets(_table(spark, sf_dir, "documents"))
     return found.withColumn("base_spans", F.sha2("base_spans", 256)).withColumnRenamed("base_spans", "base_sha256")
@@ -86,6 +91,7 @@ FROM documents LEFT JOIN per_doc ON documents.doc_id = per_doc.doc_id
 
 QUERIES: dict[str, Query] = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_secret_scan": op5_secret_scan,
     "op6_quality_rules": op6_quality_rules,
     "op7_best_fit_packing": op7_best_fit_packing,
