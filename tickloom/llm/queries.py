@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import line_windows, ngram_join, packing, repetition, secret_scan, spaced_seeds, subword_lattice, suffix_buckets, toxicity
+from tickloom.llm import license_scan, line_windows, ngram_join, packing, repetition, secret_scan, spaced_seeds, subword_lattice, suffix_buckets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licenses(_table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -94,6 +98,7 @@ FROM documents LEFT JOIN per_doc ON documents.doc_id = per_doc.doc_id
 """
 
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
     "op2_toxicity": op2_toxicity,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
