@@ -9,8 +9,9 @@ The vocabulary's own scores weight the pieces at first. They are re-estimated by
 words of the training documents: each round adds up, with the forward and backward recursions, how often every piece is
 expected to be used, over the table of distinct words and their counts. Tasks return one row per piece.
 
-Word counts are kept for every training word. Scoring needs the count of every word of every document: words above a
-count that at most ``COMMON`` words reach are looked up where the text is read; the others are joined by word.
+Every training word is kept with its count and its lattice's probability. Scoring needs both for every word of every
+document: words above a count that at most ``COMMON`` words reach are looked up where the text is read, the others are
+joined by word, and the lattice of words that training never met is summed after the join.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.store import kept
 from tickloom.llm.text import only, slices
-from tickloom.sources.scratch import settled
 
 END = b""
 #: At most so many words, of at most COMMON_BYTES each, are sent to every executor with their counts.
@@ -152,7 +153,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
     parts = docs.select("text").mapInArrow(run, "word binary, c long")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return settled(parts.groupBy("word").agg(F.sum("c").alias("c")).repartition(n))
+    return kept(parts.groupBy("word").agg(F.sum("c").alias("c")).repartition(n))
 
 
 def _counted(held: Counter) -> pa.RecordBatch:
@@ -189,10 +190,27 @@ def trained(counts: DataFrame, model_path: str, rounds: int = ROUNDS, prior: flo
     return p
 
 
-def _common(counts: DataFrame) -> tuple[int, dict[bytes, int]]:
-    """A count and the words that reach it, at most COMMON."""
-    step = F.floor(F.log2("c") * 8)
-    levels = counts.where(F.length("word") <= COMMON_BYTES).groupBy(step.alias("level")).agg(F.count("*").alias("n")).collect()
+def weighed(counts: DataFrame, model_path: str, p: np.ndarray) -> DataFrame:
+    """``word, c, log_p``: the counts and the natural logarithm of each word's probability; 0 for the end."""
+    sent = counts.sparkSession.sparkContext.broadcast(np.log(p))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, log_p = vocabulary(model_path)[0], sent.value.tolist()
+        for batch in batches:
+            values = [log_probability(w, pieces, log_p) if w != END else 0.0 for w in batch.column("word").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.array(values, pa.float64())], names=["word", "c", "log_p"])
+
+    return kept(counts.mapInArrow(run, "word binary, c long, log_p double"))
+
+
+def _level() -> Column:
+    return F.floor(F.log2("c") * 8)
+
+
+def _common(words: DataFrame) -> tuple[int, dict[bytes, tuple[int, float]]]:
+    """A level of counts and the words that reach it, at most COMMON."""
+    short = words.where(F.length("word") <= COMMON_BYTES)
+    levels = short.groupBy(_level().alias("level")).agg(F.count("*").alias("n")).collect()
     least, room = None, COMMON
     for row in sorted(levels, key=lambda r: -r["level"]):
         room -= row["n"]
@@ -201,8 +219,8 @@ def _common(counts: DataFrame) -> tuple[int, dict[bytes, int]]:
         least = row["level"]
     if least is None:
         return 0, {}
-    rows = counts.where((F.length("word") <= COMMON_BYTES) & (step >= least)).toArrow()
-    return least, dict(zip(rows.column("word").to_pylist(), rows.column("c").to_pylist()))
+    rows = short.where(_level() >= least).toArrow()
+    return least, dict(zip(rows.column("word").to_pylist(), zip(rows.column("c").to_pylist(), rows.column("log_p").to_pylist())))
 
 
 def scored(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", held_out_of: int = 10) -> DataFrame:
@@ -219,59 +237,68 @@ def scored(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n_all = total["n"]
     scale = math.log10(n_all + 0.1 * (total["v"] + 1))
-    level, common = _common(counts)
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((common, np.log(p)))
+    words = weighed(counts, model_path, p)
+    level, common = _common(words)
+    sent = docs.sparkSession.sparkContext.broadcast((common, np.log(p)))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"rid long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_part double, score double, rare array<binary>, times array<int>"
+    schema = f"rid long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_part double, score_part double, rare array<binary>, times array<int>"
     names = [part.split()[0] for part in schema.split(", ")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, (known, logs) = vocabulary(model_path)[0], sent.value
-        log_p, seen = logs.tolist(), {}
-        lg = {w: math.log10(c + 0.1) for w, c in known.items()}
-        rid = TaskContext.get().partitionId() << 40
-        ln10 = math.log(10)
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, log_p = sent.value
+        known = {w: (math.log10(c + 0.1), x) for w, (c, x) in known.items()}
+        rid, end = TaskContext.get().partitionId() << 40, float(log_p[0])
         for batch in slices(batches, "text"):
             out = []
             for raw in batch.column("text").cast(pa.binary()).to_pylist():
-                words = raw.lower().split()
-                n_known, base, score, rare, times = 0, 0.0, log_p[0], [], []
-                tally = Counter(words)
+                split = raw.lower().split()
+                tally = Counter(split)
                 tally[END] = 1
+                n_known, base, score, rare, times = 0, 0.0, end, [], []
                 for w, k in tally.items():
-                    if w in lg:
+                    if (x := known.get(w)) is not None:
                         n_known += k
-                        base += k * lg[w]
+                        base += k * x[0]
+                        score += k * x[1]
                     else:
                         rare.append(w)
                         times.append(k)
-                    if w != END:
-                        value = seen.get(w)
-                        if value is None:
-                            value = log_probability(w, pieces, log_p)
-                            if len(seen) > _FLUSH:
-                                seen.clear()
-                            seen[w] = value
-                        score += k * value
-                out.append((rid, len(words) + 1, n_known, base, score / ln10, rare, times))
+                out.append((rid, len(split) + 1, n_known, base, score, rare, times))
                 rid += 1
-            cols = list(zip(*out))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
-            arrays = [pa.array(c, t) for c, t in zip(cols, kinds)]
+            arrays = [pa.array(c, t) for c, t in zip(zip(*out), kinds)]
             yield pa.RecordBatch.from_arrays([arrays[0], batch.column("doc_id"), batch.column("held_out"), *arrays[1:]], names=names)
 
-    first = settled(rows.withColumn("held_out", ~_is_training(held_out_of)).mapInArrow(run, schema))
+    def unmet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, log_p = vocabulary(model_path)[0], sent.value[1].tolist()
+        seen: dict[bytes, float] = {END: 0.0}
+        for batch in batches:
+            values = []
+            for w, x in zip(batch.column("new").to_pylist(), batch.column("log_p").to_pylist()):
+                if w is not None and (x := seen.get(w)) is None:
+                    if len(seen) > _FLUSH:
+                        seen = {END: 0.0}
+                    seen[w] = x = log_probability(w, pieces, log_p)
+                values.append(x)
+            columns = [*(batch.column(c) for c in ("rid", "k", "c")), pa.array(values, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["rid", "k", "c", "log_p"])
+
+    first = kept(rows.withColumn("held_out", ~_is_training(held_out_of)).mapInArrow(read, schema))
     rare = first.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("rid", F.col("x.rare").alias("word"), F.col("x.times").alias("k"))
-    in_common = (F.length("word") <= COMMON_BYTES) & (F.floor(F.log2("c") * 8) >= level) if common else F.lit(False)
-    joined = rare.join(counts.where(~in_common), "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    rest = joined.groupBy("rid").agg(F.sum(F.col("k") * F.log10(F.col("c") + 0.1)).alias("rest"), F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("more"))
-    return first.drop("rare", "times").join(rest, "rid", "left").select(
+    uncommon = words.where(~((F.length("word") <= COMMON_BYTES) & (_level() >= level))) if common else words
+    joined = rare.join(uncommon, "word", "left").select("rid", "k", F.coalesce("c", F.lit(0)).alias("c"), "log_p", F.when(F.col("c").isNull(), F.col("word")).alias("new"))
+    rest = joined.mapInArrow(unmet, "rid long, k int, c long, log_p double").groupBy("rid").agg(
+        F.sum(F.col("k") * F.log10(F.col("c") + 0.1)).alias("base_rest"),
+        F.sum(F.col("k") * F.col("log_p")).alias("score_rest"),
+        F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("more"),
+    )
+    both = first.drop("rare", "times").join(rest, "rid", "left")
+    return both.select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(n_all).cast("long").alias("train_tokens"),
-        (F.col("base_part") + F.coalesce("rest", F.lit(0.0)) - F.col("n_tokens") * F.lit(scale)).alias("base_score"),
-        "score",
+        (F.col("base_part") + F.coalesce("base_rest", F.lit(0.0)) - F.col("n_tokens") * F.lit(scale)).alias("base_score"),
+        ((F.col("score_part") + F.coalesce("score_rest", F.lit(0.0))) / F.lit(math.log(10))).alias("score"),
     )
