@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.components import components
 from tickloom.llm.store import kept
-from tickloom.llm.text import only, slices
+from tickloom.llm.text import only, slices, text_key, text_of
 
 SHINGLE, THRESHOLD = 5, 75  # words; hundredths
 HUB_ROUNDS = 3
@@ -172,17 +172,17 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, f``: the size and identifier of each document's set; ``docs`` has ``text`` without nulls."""
+    """The columns of ``docs`` but its ``text``, which has no nulls, and ``n_shingles, f``: each set's size and identifier."""
+    carried = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             sets = shingle_sets(_texts(batch))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.int64())],
-                names=["doc_id", "n_shingles", "f"],
-            )
+            sizes, names = ([measure(s) for s in sets] for measure in (len, set_id))
+            yield pa.RecordBatch.from_arrays([*map(batch.column, carried), pa.array(sizes, pa.int64()), pa.array(names, pa.int64())], names=[*carried, "n_shingles", "f"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, f long")
+    kinds = [f"{c} {docs.schema[c].dataType.simpleString()}" for c in carried]
+    return docs.mapInArrow(run, ", ".join([*kinds, "n_shingles long", "f long"]))
 
 
 def index(docs: DataFrame) -> DataFrame:
@@ -237,7 +237,7 @@ def buckets(rows: DataFrame) -> DataFrame:
 
 
 def _candidate_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``f, shingles`` of the sets with these identifiers, once each."""
+    """``f, n, sketch, shingles`` of the sets with these identifiers, once each."""
     spark = docs.sparkSession
     wanted = None
     if ids.count() <= SENT_IDS:
@@ -253,21 +253,47 @@ def _candidate_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 there = wanted.value[at] == names if len(wanted.value) else np.zeros(len(names), bool)
                 sets = {f: sets[f] for f in names[there].tolist() if f not in have}
                 have.update(sets)
-            yield pa.RecordBatch.from_arrays([pa.array(sets, pa.int64()), _lists(list(sets.values()))], names=["f", "shingles"])
+            columns = [pa.array(sets, pa.int64()), pa.array([len(s) for s in sets.values()], pa.int64()), pa.array([sketch(s) for s in sets.values()], pa.binary()), _lists(list(sets.values()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["f", "n", "sketch", "shingles"])
 
-    found = docs.select("text").mapInArrow(run, "f long, shingles array<long>")
+    found = docs.select("text").mapInArrow(run, "f long, n long, sketch binary, shingles array<long>")
     if wanted is None:
         found = found.join(ids, "f", "left_semi")
     return kept(found.dropDuplicates(["f"]))
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b, linked`` for pairs of set identifiers."""
-    left, right = sets.select(F.col("f").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("f").alias("b"), F.col("shingles").alias("y"))
-    near = pairs.join(left, "a").join(right, "b")
-    both = F.size(F.array_intersect("x", "y"))
-    sizes = near.select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("sum"))
-    return sizes.select("a", "b", (100 * F.col("both") >= THRESHOLD * (F.col("sum") - F.col("both"))).alias("linked"))
+def sketch(shingles: np.ndarray) -> bytes:
+    """How many shingles fall into each of a power of two equal parts of the universe, 255 at most; about four in each."""
+    bits = max(4, (len(shingles) // 4).bit_length())
+    return np.minimum(np.bincount((shingles >> _U(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def may_link(a: bytes, b: bytes, n: int, m: int) -> bool:
+    """False if the sizes or the sketches show that two sets differ in too many shingles."""
+    if THRESHOLD * max(n, m) > 100 * min(n, m):
+        return False
+    x, y = (np.frombuffer(s, np.uint8).astype(np.int64) for s in (a, b))
+    if max(x.max(), y.max()) < 255:  # no count was cut, so that parts can be joined
+        x, y = (z if len(z) == (w := min(len(x), len(y))) else z.reshape(w, -1).sum(axis=1) for z in (x, y))
+    return len(x) != len(y) or int(np.abs(x - y).sum()) <= most_different(n, m)
+
+
+def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The ``a, b`` of pairs of set identifiers whose sets link: by their sketches first, then on the whole sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = zip(*(batch.column(c).to_pylist() for c in ("sa", "sb", "na", "nb")))
+            yield batch.select(["a", "b"]).filter(pa.array([may_link(*row) for row in cells], pa.bool_()))
+
+    def side(end: str, column: str, name: str) -> DataFrame:
+        return sets.select(F.col("f").alias(end), F.col(column).alias(name + end), F.col("n").alias("n" + end))
+
+    rough = pairs.join(side("a", "sketch", "s"), "a").join(side("b", "sketch", "s"), "b")
+    near = kept(rough.select("a", "b", "sa", "sb", "na", "nb").mapInArrow(run, "a long, b long"))
+    exact = near.join(side("a", "shingles", "x"), "a").join(side("b", "shingles", "x"), "b")
+    sizes = exact.select("a", "b", F.size(F.array_intersect("xa", "xb")).alias("both"), (F.col("na") + F.col("nb")).alias("sum"))
+    return sizes.where(100 * F.col("both") >= THRESHOLD * (F.col("sum") - F.col("both"))).select("a", "b")
 
 
 def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
@@ -279,8 +305,9 @@ def set_components(docs: DataFrame) -> DataFrame:
     found = kept(buckets(index(docs)).distinct())
     ids = kept(found.select(F.explode(F.array("lo", "f")).alias("f")).distinct())
     sets = _candidate_sets(docs, ids)
-    done = kept(verified(_pairs(found, "lo", "f"), sets))
-    roots = kept(components(done.where("linked")))
+    done = kept(_pairs(found, "lo", "f"))
+    links = kept(linked(done, sets))
+    roots = kept(components(links))
     many = found.where("many")
     members = many.select("bucket", "f").unionAll(many.select("bucket", F.col("lo").alias("f"))).distinct()
     for turn in range(HUB_ROUNDS + 1):
@@ -293,15 +320,16 @@ def set_components(docs: DataFrame) -> DataFrame:
         else:
             other = still.select("bucket", F.col("f").alias("g"), F.col("root").alias("other"))
             open_pairs = still.join(other, "bucket").where("root < other").select("f", "g")
-        new = kept(_pairs(open_pairs, "f", "g").join(done.select("a", "b"), ["a", "b"], "left_anti"))
+        new = kept(_pairs(open_pairs, "f", "g").join(done, ["a", "b"], "left_anti"))
         members = still.select("bucket", "f")
         if new.isEmpty():
             if turn < HUB_ROUNDS and not still.isEmpty():
                 continue
             break
-        checked = kept(verified(new, sets))
-        done = kept(done.unionAll(checked))
-        roots = kept(components(done.where("linked")))
+        more = kept(linked(new, sets))
+        done, links = done.unionAll(new), links.unionAll(more)
+        if not more.isEmpty():
+            roots = kept(components(links))
     return roots
 
 
@@ -321,3 +349,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     joined = placed.join(smallest, "root", "left")
     found = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", "n_shingles", found.alias("component_id"))
+
+
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with all its columns but one document of each component only, that of the smallest identifier.
+
+    Of linked rows that share this identifier the one with the smaller hash of its text stays, of repeated rows one.
+    Documents without words stay. Null identifiers count as larger than all others.
+    """
+    rows = only(docs, id_col, text_col).select("*", *text_key())
+    own = kept(document_sets(rows))
+    roots = set_components(rows)
+    placed = own.where("n_shingles > 0").join(roots, own["f"] == roots["id"], "left")
+    placed = kept(placed.select("doc_id", "k1", "k2", F.coalesce("root", "f").alias("root")))
+    groups = kept(placed.groupBy("root").agg(F.min("doc_id").alias("first_id")))
+    firsts = kept(placed.join(groups, "root").where(F.col("doc_id").eqNullSafe(F.col("first_id"))).groupBy("root", "doc_id", "k1", "k2").agg(F.count("*").alias("copies")))
+    # The rows of one component that share its smallest identifier, one row for each text of theirs.
+    stay = firsts.groupBy("root").agg(F.min(F.struct("k1", "k2", "doc_id", "copies")).alias("x")).select("x.*")
+    empty = own.where("n_shingles = 0").select("k1", "k2", "doc_id", F.lit(1).cast("long").alias("copies")).distinct()
+    stay = kept(stay.unionByName(empty).select(*(F.col(c).alias(f"_{c}") for c in ("doc_id", "k1", "k2", "copies"))))
+    k1, k2 = (F.xxhash64(F.lit(n), text_of(text_col)) for n in (1, 2))
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col("_doc_id")) & (k1 == F.col("_k1")) & (k2 == F.col("_k2"))
+    chosen = docs.join(stay.where("_copies = 1"), same)
+    repeated = stay.where("_copies > 1")
+    if not repeated.isEmpty():
+        chosen = chosen.unionAll(docs.join(repeated, same).dropDuplicates(["_doc_id", "_k1", "_k2"]))
+    return chosen.select(*(F.col(f"`{c}`") for c in docs.columns))
