@@ -20,7 +20,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     if not session.conf.get("spark.checkpoint.dir", ""):
-        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
+        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
     yield session
     session.stop()
 
@@ -37,10 +37,14 @@ def sf_oracle():
 
 @pytest.fixture
 def sliced(spark):
-    """Force keys to be cut into slices of the given number of rows."""
+    """Cut ordered rows into the given number of slices."""
+    settings = {"spark.sql.shuffle.partitions": None, "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
 
-    def force(rows):
-        spark.conf.set("tickloom.slice.rows", str(rows))
+    def force(slices):
+        for key, value in settings.items():
+            spark.conf.set(key, value or str(slices))
 
     yield force
-    spark.conf.unset("tickloom.slice.rows")
+    for key, value in before.items():
+        spark.conf.set(key, value)

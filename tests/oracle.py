@@ -67,8 +67,9 @@ if __name__ == "__main__":
     sf_dir = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     spark = local_session(8)
     spark.sparkContext.setLogLevel("ERROR")
-    if os.environ.get("SLICE_ROWS"):
-        spark.conf.set("tickloom.slice.rows", os.environ["SLICE_ROWS"])
+    if os.environ.get("SLICES"):
+        spark.conf.set("spark.sql.shuffle.partitions", os.environ["SLICES"])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     con, sql = connect(sf_dir), spark_entry.oracle_sql()
     bad = 0
     for name, run in spark_entry.queries().items():

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 from datetime import timedelta
 
 import numpy as np
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import START
+from tickloom.functions.columns import smirnov_p_value
 from tickloom.operators import drift
 from tickloom.schemas import MODEL_FEATURES
 
@@ -131,3 +133,24 @@ def test_cooldown_and_state(spark):
     assert len(times) == 5 and times["new"] == times["old"] and times["recent"] < times["old"] and times["other"] < times["recent"]
     assert drift.any_triggered(checked).first()["retrain"] is True
     assert drift.any_triggered(checked.where("symbol = 'calm'")).first()["retrain"] is False
+
+
+@pytest.mark.parametrize("n", [10_000, 200_000, 100_000_000])
+def test_nearly_equal_large_samples_do_not_drift(spark, n):
+    p = spark.range(1).select(smirnov_p_value(F.lit(1.0 / n), F.lit(n), F.lit(n)).alias("p")).first()["p"]
+    assert p == pytest.approx(1.0)
+
+
+def test_p_value_where_the_series_meet(spark):
+    xs = [0.3, 0.6, 1.0, 1.17, 1.18, 1.19, 1.5, 2.5]
+    rows = spark.createDataFrame([(x,) for x in xs], "x double").select(smirnov_p_value(F.col("x"), F.lit(2), F.lit(2)).alias("p")).collect()
+    for x, row in zip(xs, rows):
+        want = 2 * sum((-1) ** (j - 1) * math.exp(-2 * j * j * x * x) for j in range(1, 2000))
+        assert row["p"] == pytest.approx(want, abs=1e-12)
+
+
+def test_symbols_with_errors_only_are_reported(spark):
+    features = spark.createDataFrame([("A", "f", 0.1, 0.1, 0.9, False)], "symbol string, feature string, psi double, ks_statistic double, ks_p_value double, drifted boolean")
+    concept = spark.createDataFrame([("B", True)], "symbol string, drifted boolean")
+    got = {r["symbol"]: tuple(r)[1:] for r in drift.drift_summary(features, concept).collect()}
+    assert got == {"A": (False, 0, [], False), "B": (False, 0, [], True)}

@@ -125,3 +125,10 @@ def test_walk_forward(spark):
     results = training.walk_forward_validate(labels.prepare_training(rising(spark, 80)), 2, maxIter=2, maxDepth=2)
     assert [r["window"] for r in results] == [0, 1]
     assert all(r["beats_zero_return"] == (r["val_rmse"] < r["zero_return_rmse"]) for r in results)
+
+
+def test_variance_at_high_prices(spark):
+    rows = [(118_420.0 + i % 2 * 0.05, 118_420.0 + i % 3 * 0.07) for i in range(60)]
+    got = labels.regression_metrics(spark.createDataFrame(rows, "y double, p double"), "y", "p").first()["var"]
+    mean = sum(y for y, _ in rows) / len(rows)
+    assert got == pytest.approx(sum((p - mean) ** 2 for _, p in rows) / len(rows), rel=1e-6)

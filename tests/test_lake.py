@@ -86,3 +86,53 @@ def test_retention_is_strict(spark, tmp_path):
 
 def test_reference_may_be_missing(spark, tmp_path):
     assert lake.read_reference(spark, str(tmp_path / "none")) is None
+
+
+def test_compaction_of_a_symbol_with_a_slash(spark, tmp_path):
+    base = str(tmp_path / "raw")
+    rows = validate_events(ticks(spark, [("BTC/USDT", 1, 1, 0), ("BTC", 1, 1, 0)]))
+    for _ in range(3):
+        lake.write_raw_batch(rows, base)
+    assert lake.compact_partition(spark, base, DAY, "BTC/USDT") == 3 and lake.read_lake(spark, base).count() == 6
+
+
+def test_half_done_compaction_is_repaired(spark, tmp_path):
+    base = str(tmp_path / "raw")
+    lake.write_raw_batch(four_rows(spark), base)
+    where = "year=2026/month=8/day=1/symbol=ETHUSDT"
+    old = tmp_path / "raw_compaction" / "20260801" / "old" / where
+    old.parent.mkdir(parents=True)
+    (tmp_path / "raw" / where).rename(old)
+    assert lake.read_lake(spark, base).count() == 2
+    assert lake.recover_compaction(spark, base) == [f"{base}/{where}"] and lake.read_lake(spark, base).count() == 4
+
+
+def test_a_batch_is_stored_once(spark, tmp_path):
+    base, batches = str(tmp_path / "raw"), str(tmp_path / "batches")
+    lake.append_batch(four_rows(spark), base, batches, 0)
+    lake.append_batch(four_rows(spark), base, batches, 0)
+    (tmp_path / "batches" / "0.done").unlink()  # as if it had crashed before its end
+    lake.append_batch(four_rows(spark), base, batches, 0)
+    lake.append_batch(four_rows(spark), base, batches, 1)
+    assert lake.read_lake(spark, base).count() == 8
+
+
+def test_stream_batch_compaction_and_retention_share_a_lake(spark, tmp_path):
+    from tickloom.streaming import sinks
+
+    base, source, checkpoint = (str(tmp_path / n) for n in ("raw", "in", "c"))
+
+    def stream_on(rows):
+        rows.write.mode("append").parquet(source)
+        events = spark.readStream.schema(rows.schema).parquet(source)
+        sinks.write_raw_stream(events, base, checkpoint, available_now=True).awaitTermination()
+        return lake.read_lake(spark, base).count()
+
+    rows = four_rows(spark)
+    assert stream_on(rows) == 4
+    lake.write_raw_batch(rows, base)
+    assert lake.read_lake(spark, base).count() == 8
+    assert lake.compact_partition(spark, base, DAY, "BTCUSDT") == 4 and lake.read_lake(spark, base).count() == 8
+    assert stream_on(rows) == 12
+    assert len(lake.apply_retention(spark, base, 90, date(2027, 1, 1))) == 1
+    assert stream_on(rows) == 4

@@ -30,9 +30,9 @@ def _same(left, right, tolerance=1e-9):
             assert p == q or (isinstance(p, float) and abs(p - q) < tolerance), (one, two)
 
 
-@pytest.mark.parametrize("rows", [2, 40])
+@pytest.mark.parametrize("slices", [60, 5])
 @pytest.mark.parametrize("keys", [["symbol"], []])
-def test_bounded_window_equals_plain(ticks, sliced, rows, keys):
+def test_bounded_window_equals_plain(ticks, sliced, slices, keys):
     def add(df, w):
         return df.withColumns(
             {
@@ -42,15 +42,15 @@ def test_bounded_window_equals_plain(ticks, sliced, rows, keys):
             }
         )
 
-    sliced(rows)
-    assert ordered.cut(ticks, keys, ["t", "id"]).slices > 0
+    sliced(slices)
+    assert ordered.cut(ticks, keys, ["t", "id"]).df.select("_slice").distinct().count() > 3
     got = ordered.bounded_window(ticks, keys, ["t", "id"], 6, 2, add)
     _same(got, add(ticks, Window.partitionBy(*keys).orderBy("t", "id")))
 
 
-@pytest.mark.parametrize("rows", [2, 40])
+@pytest.mark.parametrize("slices", [60, 5])
 @pytest.mark.parametrize("reverse", [False, True])
-def test_running_equals_plain(ticks, sliced, rows, reverse):
+def test_running_equals_plain(ticks, sliced, slices, reverse):
     wanted = {
         "total": ("sum", F.col("x")),
         "product": ("product", F.col("x")),
@@ -58,31 +58,28 @@ def test_running_equals_plain(ticks, sliced, rows, reverse):
         "low": ("min", F.col("maybe")),
         "latest": ("last", F.col("maybe")),
     }
+    sliced(1)
     plain = ordered.running(ticks, ["symbol"], ["t", "id"], wanted, reverse)
     plain_rows = plain.collect()
-    sliced(rows)
+    sliced(slices)
     got = ordered.running(ticks, ["symbol"], ["t", "id"], wanted, reverse)
     _same(got, ticks.sparkSession.createDataFrame(plain_rows, plain.schema))
 
 
 def test_slices_are_balanced_for_a_hot_key(spark, sliced):
     df = spark.range(20_000).select(F.lit("one").alias("symbol"), F.col("id").alias("t"))
-    sliced(1_000)
+    sliced(20)
     sizes = [r["count"] for r in ordered.cut(df, ["symbol"], ["t"]).df.groupBy("_slice").count().collect()]
     assert len(sizes) > 12 and max(sizes) < 3_000
 
 
 def test_one_timestamp_may_hold_all_rows(spark, sliced):
     df = spark.range(5_000).select(F.lit("one").alias("symbol"), F.lit(1).alias("t"), "id")
-    sliced(500)
+    sliced(10)
     sizes = [r["count"] for r in ordered.cut(df, ["symbol"], ["t", "id"]).df.groupBy("_slice").count().collect()]
     assert max(sizes) < 2_000
 
 
-def test_small_input_is_not_cut(ticks):
-    assert ordered.cut(ticks, ["symbol"], ["t", "id"]).slices == 0
-
-
 @pytest.mark.parametrize("n", [1, 2, 5_000])
 def test_values_at_ranks(spark, n):
     rnd = random.Random(n)

@@ -18,7 +18,7 @@ SMALL = {"maxIter": 5, "maxDepth": 3}
 
 @pytest.fixture
 def paths(tmp_path):
-    return {k: str(tmp_path / k) for k in ("raw_lake", "prediction_table", "reference_path", "state_path", "version_path")}
+    return {k: str(tmp_path / k) for k in ("raw_lake", "prediction_table", "reference_path", "state_path", "version_path", "model_path")}
 
 
 def zigzag(spark, n=400):
@@ -41,9 +41,12 @@ def test_whole_job(spark, paths):
     store_predictions(spark, paths)
     # Without a reference sample there is nothing to compare with.
     assert retrain.retrain_if_drift(spark, **paths, now=now, **SMALL)["status"] == "no_drift"
-    first = retrain.retrain_if_drift(spark, **paths, now=now, force=True, model_path=paths["raw_lake"] + "_models", **SMALL)
+    first = retrain.retrain_if_drift(spark, **paths, now=now, force=True, **SMALL)
     assert first["status"] == "promoted" and first["training"]["beats_baseline"]
     assert lake.read_reference(spark, paths["reference_path"]).count() > 10
+    model, version = retrain.production_model(spark, paths["version_path"])
+    rows = features.tick_features(zigzag(spark))
+    assert version == 1 and predictions.score(model, rows, version, 0.01).count() == 400
 
     # The live features have moved away from the reference: drift, but the same model is no improvement by 1 percent.
     store_predictions(spark, paths, shift=0.5)
@@ -68,3 +71,11 @@ def test_a_model_that_loses_stays_in_staging(spark, paths):
     result = retrain.retrain_if_drift(spark, **paths, force=True, **SMALL)
     assert result["status"] == "staging_only" and lake.read_reference(spark, paths["reference_path"]) is None
     assert stage_fold(VersionLog(spark, paths["version_path"]).read()).where(F.col("stage") == STAGING).count() == 1
+
+
+def test_a_model_that_cannot_be_saved_is_not_promoted(spark, paths, tmp_path):
+    lake.write_raw_batch(validate_events(zigzag(spark)), paths["raw_lake"])
+    (tmp_path / "model_path").write_text("a file where the folder should be")
+    with pytest.raises(Exception):
+        retrain.retrain_if_drift(spark, **paths, force=True, **SMALL)
+    assert retrain.production_model(spark, paths["version_path"]) is None and lake.read_reference(spark, paths["reference_path"]) is None

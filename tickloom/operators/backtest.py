@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.columns import direction, same_sign
 from tickloom.operators.ordered import Ordering, cut, extend, finish
 
+# Fixed value: trading days of a year.
 TRADING_DAYS = 252
 SUMMARY = [
     "total_return", "sharpe_ratio", "max_drawdown", "win_rate",
@@ -31,7 +32,7 @@ def equity_curve(
     """
     rows: Ordering = cut(with_signal(df), keys, order)
     rows = extend(rows, {"_growth": ("product", 1 + F.col("strategy_return"))})
-    rows = Ordering(rows.df.withColumn("equity", capital * F.col("_growth")).drop("_growth"), rows.keys, rows.order, rows.slices)
+    rows = Ordering(rows.df.withColumn("equity", capital * F.col("_growth")).drop("_growth"), rows.keys, rows.order)
     rows = extend(rows, {"peak": ("max", F.col("equity"))})
     return finish(rows).withColumn("drawdown", (F.col("equity") - F.col("peak")) / F.col("peak"))
 

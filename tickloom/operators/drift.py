@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.columns import smirnov_p_value
-from tickloom.operators.ordered import broadcast_if_small, first_rows, running
+from tickloom.operators.ordered import first_rows, running
 from tickloom.schemas import MODEL_FEATURES
 from tickloom.sources.scratch import settled
 
@@ -54,7 +54,7 @@ def _sides(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _per_group(df: DataFrame, by: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Side of a join with one row per group. One row per feature column is always few; else ask Catalyst."""
-    return F.broadcast(df) if tuple(by) == ("feature",) and not keys else broadcast_if_small(df)
+    return F.broadcast(df) if tuple(by) == ("feature",) and not keys else df
 
 
 def _edges(reference: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -187,7 +187,16 @@ def drift_summary(features: DataFrame, concept: DataFrame | None = None, key: st
     if concept is None:
         return report.withColumn("concept_drift", F.lit(False))
     flags = concept.select(key, F.col("drifted").alias("_errors"))
-    return report.join(flags, key, "left").withColumn("concept_drift", F.coalesce("_errors", F.lit(False))).drop("_errors")
+    # A key may have errors but too few feature values, or the other way round.
+    both = report.join(flags, key, "full")
+    nothing = F.array().cast(report.schema["drifted_columns"].dataType)
+    return both.select(
+        key,
+        F.coalesce("feature_drift", F.lit(False)).alias("feature_drift"),
+        F.coalesce("n_drifted", F.lit(0)).cast("long").alias("n_drifted"),
+        F.coalesce("drifted_columns", nothing).alias("drifted_columns"),
+        F.coalesce("_errors", F.lit(False)).alias("concept_drift"),
+    )
 
 
 def with_cooldown(report: DataFrame, state: DataFrame, now: Column, minutes: int = 30, key: str = "symbol") -> DataFrame:
@@ -228,12 +237,15 @@ def drift_report(
 
 
 def reference_sample(features: DataFrame, fraction: float = 0.1, seed: int = 42) -> DataFrame:
-    return features.select(*MODEL_FEATURES).sample(fraction=fraction, seed=seed)
+    """About ``fraction`` of the rows, chosen by a hash of symbol and time: the same ones however the table is stored."""
+    text = F.concat_ws("|", F.lit(str(seed)), "symbol", F.unix_micros("event_ts").cast("string"))
+    place = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 1_000_000
+    return features.where(place < round(fraction * 1_000_000)).select(*MODEL_FEATURES)
 
 
 def halves_in_time(df: DataFrame, keys: Sequence[str], order: Sequence[str], newest: bool = False) -> DataFrame:
     """Flag the older (or the ``newest``) half of each key's rows as the reference; adds ``n_rows`` per key."""
     total = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
     numbered = running(df, list(keys), list(order), {"_k": ("sum", F.lit(1))}, reverse=newest)
-    joined = numbered.join(broadcast_if_small(total), list(keys))
+    joined = numbered.join(total, list(keys))
     return joined.withColumn("is_reference", F.col("_k") <= F.floor(F.col("n_rows") / 2)).drop("_k")

@@ -151,9 +151,9 @@ def regression_metrics(df: DataFrame, label: str, prediction: Column | str, by:
         F.var_pop("_y").alias("_spread"),
         F.avg("_y").alias("_mean"),
         F.avg("_p").alias("_mean_p"),
-        F.avg(F.col("_p") * F.col("_p")).alias("_square_p"),
+        F.var_pop("_p").alias("_spread_p"),
     )
-    mean = F.col("_mean")
+    gap = F.col("_mean_p") - F.col("_mean")
     return sums.select(
         *by,
         "n",
@@ -161,7 +161,7 @@ def regression_metrics(df: DataFrame, label: str, prediction: Column | str, by:
         "mse",
         "mae",
         (1 - F.try_divide("mse", "_spread")).alias("r2"),
-        (F.col("_square_p") + mean * mean - 2 * mean * F.col("_mean_p")).alias("var"),
+        (F.col("_spread_p") + gap * gap).alias("var"),
     )
 
 

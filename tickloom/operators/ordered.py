@@ -1,9 +1,10 @@
 """Ordered work per key that survives a hot key.
 
 A window partitioned by symbol puts all rows of a symbol into one task. When one symbol holds a third
-of a 100 TB table that task never ends. The helpers here cut such a key into *slices*: runs of rows
-that are consecutive in the wanted order, small enough for a task each. What a slice needs from its
-neighbours is carried over separately, so results equal those of the uncut window:
+of a 100 TB table that task never ends. ``cut`` range-partitions the rows by key and order and stores
+them with the number of their partition: a *slice*, rows of a key that are consecutive in the wanted
+order. What a slice needs from its neighbours is carried over separately from the stored table, so
+results do not depend on where the cuts fall (float sums and products but for rounding):
 
 * ``bounded_window`` - frames that look a fixed number of rows back or ahead. Each slice gets copies of
   the few rows before and after it.
@@ -12,8 +13,8 @@ neighbours is carried over separately, so results equal those of the uncut windo
 * ``first_rows`` / ``last_rows`` - top rows per key; Spark limits each map task first, so no slices.
 * ``values_at_ranks`` - exact order statistics of a whole table without sorting it.
 
-Cut points come from a small sample, only their balance depends on it, never the result. Tables whose
-plan is known to be small skip all this and use the plain window.
+The number of slices is Spark's number of shuffle partitions, fewer where adaptive execution joins small
+ones. The input runs twice, once for the sample that sets the ranges and once to be stored.
 """
 
 from __future__ import annotations
@@ -26,62 +27,26 @@ from pyspark.sql import functions as F
 
 from tickloom.sources.scratch import settled
 
-ROWS_CONF = "tickloom.slice.rows"  # wanted rows per slice; setting it forces slicing
-SMALL_CONF = "tickloom.slice.smallBytes"  # inputs up to this size use the plain window
-DEFAULT_ROWS = 4_000_000
-DEFAULT_SMALL_BYTES = 256 << 20
-SAMPLES_PER_SLICE = 32
-MAX_CUTS = 1_000_000
-MAX_BROADCAST_SLICES = 500_000
-
-SLICE, SPLIT, HALO = "_slice", "_split", "_halo"
-
-
-def plan_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan, or None where it is not available."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-    except AttributeError:
-        return None
-    return int(str(stats.sizeInBytes()))
-
-
-def broadcast_if_small(df: DataFrame, limit: int = 64 << 20) -> DataFrame:
-    """Hint a broadcast only when Catalyst's estimate proves the side small enough."""
-    size = plan_bytes(df)
-    return F.broadcast(df) if size is not None and size <= limit else df
-
-
-def rows_per_slice(df: DataFrame) -> int | None:
-    """Wanted slice size, or None when the input is small enough to stay uncut."""
-    conf = df.sparkSession.conf
-    forced = conf.get(ROWS_CONF, "")
-    if forced:
-        return max(int(forced), 1)
-    size = plan_bytes(df)
-    if size is not None and size <= int(conf.get(SMALL_CONF, str(DEFAULT_SMALL_BYTES))):
-        return None
-    return DEFAULT_ROWS
+SLICE, HALO = "_slice", "_halo"
 
 
 @dataclass(frozen=True)
 class Ordering:
-    """Rows with their order inside ``keys``; ``slices`` is 0 for an uncut table."""
+    """Stored rows with their order inside ``keys`` and the number of their slice."""
 
     df: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    slices: int
 
     @property
     def groups(self) -> list[str]:
-        return [*self.keys, SLICE] if self.slices else list(self.keys)
+        return [*self.keys, SLICE]
 
     def window(self, reverse: bool = False) -> WindowSpec:
         return Window.partitionBy(*self.groups).orderBy(*_sorted(self.order, reverse))
 
     def done(self, df: DataFrame) -> DataFrame:
-        return df.drop(SLICE, SPLIT) if self.slices else df
+        return df.drop(SLICE)
 
 
 def _sorted(order: Sequence[str], reverse: bool = False) -> list[Column]:
@@ -89,64 +54,9 @@ def _sorted(order: Sequence[str], reverse: bool = False) -> list[Column]:
 
 
 def cut(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Ordering:
-    """Add slice numbers to rows of keys that are too big for one task."""
-    keys, order = tuple(keys), tuple(order)
-    wanted = rows_per_slice(df)
-    if wanted is None:
-        return Ordering(df, keys, order, 0)
-    cuts = _cut_points(df, keys, order, wanted)
-    if cuts.num_rows == 0:
-        return Ordering(df, keys, order, 0)
-    return Ordering(_number_slices(df, keys, order, cuts), keys, order, cuts.num_rows)
-
-
-def _cut_points(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], wanted: int):
-    """Every n-th row of an ordered sample, as an Arrow table of at most MAX_CUTS rows."""
-    step = min(wanted, SAMPLES_PER_SLICE)
-    sample = df.select(*keys, *order).sample(fraction=step / wanted, seed=17)
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*_sorted(order)))
-    cuts = (
-        sample.withColumn("_n", place)
-        .where(F.col("_n") % step == 0)
-        .drop("_n")
-        .orderBy(*_sorted([*keys, *order]))
-        .toArrow()
-    )
-    if cuts.num_rows > MAX_CUTS:  # fewer, larger slices; the result stays the same
-        cuts = cuts.take(list(range(0, cuts.num_rows, cuts.num_rows // MAX_CUTS + 1)))
-    return cuts
-
-
-def _number_slices(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], cuts) -> DataFrame:
-    """Number of cut points of the row's key that are not after the row.
-
-    All cut points form one sorted array, read through a scalar subquery so that rows never carry it;
-    each key's stretch of the array comes from a broadcast of one small row per cut key. The place in
-    the stretch is found by halving steps, one projection each.
-    """
-    points = df.sparkSession.createDataFrame(cuts, schema=df.select(*keys, *order).schema)
-    by_key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.struct(*order).alias("place"))
-    array = points.agg(F.array_sort(F.collect_list(by_key)).alias("c")).select(F.col("c.place")).scalar()
-    longest = cuts.num_rows
-    if keys:
-        stretch = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-        earlier = Window.orderBy(*_sorted(keys)).rowsBetween(Window.unboundedPreceding, -1)
-        stretch = stretch.select(
-            *[F.col(k).alias(f"_cut_{k}") for k in keys],
-            F.coalesce(F.sum("_size").over(earlier), F.lit(0)).cast("int").alias("_from"),
-            F.col("_size").cast("int"),
-        )
-        longest = stretch.agg(F.max("_size")).first()[0]
-        match = [F.col(k).eqNullSafe(F.col(f"_cut_{k}")) for k in keys]
-        df = df.join(F.broadcast(stretch), match, "left").drop(*[f"_cut_{k}" for k in keys])
-    else:
-        df = df.withColumns({"_from": F.lit(0), "_size": F.lit(longest)})
-    df = df.withColumns({SPLIT: F.col("_size").isNotNull(), SLICE: F.lit(0)})
-    for step in (1 << i for i in reversed(range(longest.bit_length()))):
-        further = F.col(SLICE) + step
-        not_after = F.get(array, F.col("_from") + further - 1) <= F.struct(*order)
-        df = df.withColumn(SLICE, F.when((further <= F.col("_size")) & not_after, further).otherwise(F.col(SLICE)))
-    return df.drop("_from", "_size")
+    """Store the rows in slices; a slice may hold the rows of several keys, or a part of one key's."""
+    ranged = df.repartitionByRange(*keys, *order).withColumn(SLICE, F.spark_partition_id())
+    return Ordering(settled(ranged), tuple(keys), tuple(order))
 
 
 def bounded_window(
@@ -159,8 +69,6 @@ def bounded_window(
 ) -> DataFrame:
     """Apply ``add`` (which appends window columns) with frames of at most ``before``/``after`` rows."""
     rows = cut(df, keys, order)
-    if not rows.slices:
-        return add(df, rows.window())
     frame = rows.df.withColumn(HALO, F.lit(False))
     for count, ahead in ((before, False), (after, True)):
         if count:
@@ -175,7 +83,7 @@ def _neighbour_rows(rows: Ordering, count: int, ahead: bool) -> DataFrame:
     tasks, so the sorting below sees ``count`` rows per slice and not the data.
     """
     edge = F.row_number().over(rows.window(reverse=not ahead))
-    edges = rows.df.where(SPLIT).withColumn("_edge", edge).where(F.col("_edge") <= count)
+    edges = rows.df.withColumn("_edge", edge).where(F.col("_edge") <= count)
     columns = [c for c in rows.df.columns if c != SLICE]
     along = Window.partitionBy(*rows.keys).orderBy(*_sorted(rows.order, reverse=ahead))
     # In this direction a slice starts where the previous edge row belongs to another slice.
@@ -214,7 +122,7 @@ def running(
     ``columns`` maps the new name to (kind, input); kinds are sum, product, max, min and last (last
     non-null value). ``reverse`` runs from the end, so ``last`` then finds the next value ahead.
     """
-    return finish(extend(cut(df, keys, order), columns, reverse))
+    return finish(_extended(cut(df, keys, order), columns, reverse))
 
 
 def finish(rows: Ordering) -> DataFrame:
@@ -222,12 +130,14 @@ def finish(rows: Ordering) -> DataFrame:
 
 
 def extend(rows: Ordering, columns: dict[str, tuple[str, Column]], reverse: bool = False) -> Ordering:
-    """As ``running``, for rows that are cut already and will be used again."""
+    """As ``running``, for rows that are cut already; the result is stored, so that more can be added to it."""
+    more = _extended(rows, columns, reverse)
+    return replace(more, df=settled(more.df))
+
+
+def _extended(rows: Ordering, columns: dict[str, tuple[str, Column]], reverse: bool = False) -> Ordering:
     frame = rows.window(reverse).rowsBetween(Window.unboundedPreceding, 0)
     local = {name: _AGGREGATES[kind][0](value).over(frame) for name, (kind, value) in columns.items()}
-    if not rows.slices:
-        return replace(rows, df=rows.df.withColumns(local))
-
     place = F.struct(*rows.order)
     totals = []
     for name, (kind, value) in columns.items():
@@ -236,15 +146,13 @@ def extend(rows: Ordering, columns: dict[str, tuple[str, Column]], reverse: bool
             totals.append(pick(value, F.when(value.isNotNull(), place)).alias(f"_sum_{name}"))
         else:
             totals.append(_AGGREGATES[kind][0](value).alias(f"_sum_{name}"))
-    per_slice = rows.df.where(SPLIT).groupBy(*rows.groups).agg(*totals)
+    per_slice = rows.df.groupBy(*rows.groups).agg(*totals)
     slices = Window.partitionBy(*rows.keys).orderBy(*_sorted([SLICE], reverse))
     earlier = slices.rowsBetween(Window.unboundedPreceding, -1)
     carried = per_slice.select(
         *[F.col(g).alias(f"_at_{g}") for g in rows.groups],
         *[_AGGREGATES[kind][0](F.col(f"_sum_{n}")).over(earlier).alias(f"_carry_{n}") for n, (kind, _) in columns.items()],
     )
-    if rows.slices <= MAX_BROADCAST_SLICES:  # one row per slice of a cut key
-        carried = F.broadcast(carried)
     joined = rows.df.withColumns(local).join(
         carried, [F.col(g).eqNullSafe(F.col(f"_at_{g}")) for g in rows.groups], "left"
     )

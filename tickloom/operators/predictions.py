@@ -100,22 +100,24 @@ def backfill_realized(predictions: DataFrame, prices: DataFrame, on: Sequence[st
     return _realized(joined.withColumn("newly_realized", newly), F.col("actual_price")).drop("actual_price")
 
 
-def _timeline(predictions: DataFrame, prices: DataFrame, at: Column, side: int, price_order: Sequence[str]) -> DataFrame:
-    """Predictions (whole, in ``_row``) and prices of a symbol on one time axis; ``side`` settles equal times."""
+def _timeline(
+    predictions: DataFrame, prices: DataFrame, at: Column, side: int, price_order: Sequence[str]
+) -> tuple[DataFrame, list[str]]:
+    """Predictions (whole, in ``_row``) and prices of a symbol on one time axis, and the columns that order it.
+
+    ``side`` settles equal times between the two, ``price_order`` those between prices, by their own types.
+    """
+    ties = {f"_tie{i}": prices.schema[c].dataType for i, c in enumerate(price_order)}
     asked = predictions.select(
-        F.struct("*").alias("_row"), "symbol", at.alias("_at"), F.lit(side).alias("_side"),
-        F.col("id").cast("long").alias("_id"), F.lit("").alias("_tie"), F.lit(None).cast("double").alias("_price"),
+        F.struct("*").alias("_row"), "symbol", at.alias("_at"), F.lit(side).alias("_side"), F.col("id").cast("long").alias("_id"),
+        F.lit(None).cast("double").alias("_price"), *[F.lit(None).cast(kind).alias(name) for name, kind in ties.items()],
     )
     row_type = asked.schema["_row"].dataType
     seen = prices.select(
         F.lit(None).cast(row_type).alias("_row"), "symbol", F.col("event_ts").alias("_at"), F.lit(1 - side).alias("_side"),
-        F.lit(None).cast("long").alias("_id"), F.concat_ws("-", *[F.col(c).cast("string") for c in price_order]).alias("_tie"),
-        F.col("price").alias("_price"),
+        F.lit(None).cast("long").alias("_id"), F.col("price").alias("_price"), *[F.col(c).alias(n) for c, n in zip(price_order, ties)],
     )
-    return asked.unionByName(seen)
-
-
-TIMELINE = ["_at", "_side", "_id", "_tie"]
+    return asked.unionByName(seen), ["_at", "_side", "_id", *ties]
 
 
 def realize_asof(
@@ -128,8 +130,8 @@ def realize_asof(
     """
     zero = horizon.split()[0] in ("0", "0.0")
     due = F.col("timestamp") + F.expr(f"interval {horizon}")
-    line = _timeline(predictions, prices, due, 1 if zero else 0, tie)
-    found = running(line, ["symbol"], TIMELINE, {"_next": ("last", F.col("_price"))}, reverse=True)
+    line, order = _timeline(predictions, prices, due, 1 if zero else 0, tie)
+    found = running(line, ["symbol"], order, {"_next": ("last", F.col("_price"))}, reverse=True)
     asked = found.where(F.col("_id").isNotNull()).select("_row.*", F.col("_next").alias("actual_price"))
     return _realized(asked, F.col("actual_price")).drop("actual_price")
 
@@ -140,10 +142,16 @@ def realize_fifo(predictions: DataFrame, prices: DataFrame, tie: Sequence[str] =
     A price that finds nobody waiting is lost, and a price never realizes a prediction of its own time
     or later. Counting both sides gives the match: with T prices and A waiting predictions so far, the
     prices lost are the highest surplus T - A ever seen, and price number T serves prediction T - lost.
+
+    ``prices`` is the history since the first prediction of the table. Predictions that it realized in an
+    earlier run stand in the queue like the others and keep their values, so that running again over a
+    longer history gives what one run over all of it would.
     """
-    rows = cut(_timeline(predictions, prices, F.col("timestamp"), 1, tie), ["symbol"], TIMELINE)
-    is_price, waits = F.col("_price").isNotNull(), F.col("_id").isNotNull() & F.col("_row.realized_error").isNull()
-    counts = {"_prices": ("sum", is_price.cast("long")), "_waiting": ("sum", waits.cast("long"))}
+    line, order = _timeline(predictions, prices, F.col("timestamp"), 1, tie)
+    rows = cut(line, ["symbol"], order)
+    is_price, asks = F.col("_price").isNotNull(), F.col("_id").isNotNull()
+    waits = asks & F.col("_row.realized_error").isNull()
+    counts = {"_prices": ("sum", is_price.cast("long")), "_waiting": ("sum", asks.cast("long"))}
     rows = extend(rows, counts)
     rows = extend(rows, {"_lost": ("max", F.when(is_price, F.col("_prices") - F.col("_waiting")).otherwise(0))})
     line = finish(rows)

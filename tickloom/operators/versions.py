@@ -5,6 +5,7 @@ Log columns: model, version, stage, test_rmse (nullable), tags (map), at, seq (s
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,8 +98,12 @@ class VersionLog:
         newest = first_rows(entry, ["k"], [F.col(c).desc() for c in LOG_ORDER])
         return {r["k"]: r["v"] for r in newest.select("k", "v").collect()}
 
-    def gate(self, model: str, report: dict, canary: bool = False) -> dict:
-        """Register a trained model; promote it only when its report says promotable."""
+    def gate(self, model: str, report: dict, canary: bool = False, save: Callable[[int], str] | None = None) -> dict:
+        """Register a trained model; promote it only when its report says promotable and it has been saved.
+
+        ``save`` stores the model under its version number and returns the place, which the log keeps.
+        If it fails nothing is promoted.
+        """
         version = self.register(
             model,
             report["test_rmse"],
@@ -106,9 +111,9 @@ class VersionLog:
             beats_baseline=report["beats_baseline"],
             promotable=report["promotable"],
         )
+        if save is not None:
+            self._append(model, [(version, STAGING, report["test_rmse"], {"location": save(version)})])
         if report["promotable"]:
             self.promote(model, version, canary)
         status = "promoted" if report["promotable"] else "staging_only"
         return {"model": model, "version": version, "status": status, "promotable": report["promotable"]}
-
-

@@ -54,9 +54,11 @@ dist AS (SELECT {shown}, sum(a) OVER w / sum(a) OVER (PARTITION BY {shown}) AS f
            sum(a) OVER (PARTITION BY {shown}) AS na, sum(b) OVER (PARTITION BY {shown}) AS nb
          FROM steps WINDOW w AS (PARTITION BY {shown} ORDER BY value ROWS UNBOUNDED PRECEDING)),
 ks_d AS (SELECT {shown}, max(abs(fa - fb)) AS ks_statistic, max(na) AS na, max(nb) AS nb FROM dist GROUP BY {shown}),
-ks AS (SELECT *, CASE WHEN ks_statistic <= 0 THEN 1.0 ELSE greatest(0, least(1, list_sum(list_transform(range(1, 101),
-          lambda j: CASE WHEN j % 2 = 1 THEN 2.0 ELSE -2.0 END * exp(-2.0 * j * j * ks_statistic * ks_statistic * (na * nb / (na + nb)))))))
-          END AS ks_p_value FROM ks_d)"""
+ks_x AS (SELECT *, ks_statistic * sqrt(na * nb / (na + nb)) AS x FROM ks_d),
+ks AS (SELECT * EXCLUDE (x), CASE WHEN ks_statistic <= 0 THEN 1.0
+          WHEN x < 0.6 THEN 1 - sqrt(2 * pi()) / x * list_sum(list_transform(range(1, 30), lambda k: exp(-1.0 * (2 * k - 1) * (2 * k - 1) * pi() * pi() / (8 * x * x))))
+          ELSE greatest(0, least(1, list_sum(list_transform(range(1, 101), lambda j: CASE WHEN j % 2 = 1 THEN 2.0 ELSE -2.0 END * exp(-2.0 * j * j * x * x)))))
+          END AS ks_p_value FROM ks_x)"""
 
 
 def _halves(t: Tables) -> DataFrame:

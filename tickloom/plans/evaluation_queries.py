@@ -11,7 +11,7 @@ from tickloom.operators.labels import TARGET
 from tickloom.plans import training
 from tickloom.plans.catalog import query
 from tickloom.plans.fixtures import BACKTEST, PREPARED, TIE, Tables, q6
-from tickloom.schemas import TICK_DERIVED
+from tickloom.schemas import MODEL_FEATURES, TICK_DERIVED
 
 _ROW = ["event_id", "symbol", "event_ts"]
 
@@ -69,6 +69,15 @@ def walk_forward_windows(t: Tables) -> DataFrame:
     return labels.walk_forward_chunks(t.prepared(), 5, compat=True).select(*_ROW, "chunk")
 
 
+_ALL_CHUNKS = _CHUNKS.replace(" WHERE r < 1.0", "")
+
+
+@query("walk_forward_windows_all", f"WITH {PREPARED}{_ALL_CHUNKS} SELECT event_id, symbol, event_ts, chunk FROM chunked")
+def walk_forward_windows_all(t: Tables) -> DataFrame:
+    """The chunks of all rows; the compatible form above leaves the newest one out."""
+    return labels.walk_forward_chunks(t.prepared(), 5).select(*_ROW, "chunk")
+
+
 _MA = "avg(price_return) OVER (PARTITION BY {by}symbol ORDER BY event_ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)"
 
 
@@ -84,6 +93,18 @@ def walk_forward_baselines(t: Tables) -> DataFrame:
     return training.walk_forward_baselines(t.prepared(), 5, 0.7, TIE, compat=True)
 
 
+@query(
+    "walk_forward_baselines_all",
+    f"""WITH {PREPARED}{_ALL_CHUNKS}, held AS (
+      SELECT *, {_MA.format(by='chunk, ')} AS ma FROM (
+        SELECT *, percent_rank() OVER (PARTITION BY chunk ORDER BY event_ts) AS cr FROM chunked) WHERE cr > 0.7)
+    SELECT chunk, count(*) AS n_val, {q6('sqrt(avg(target_return * target_return))')} AS zero_return_rmse,
+      {q6('sqrt(avg((target_return - ma) * (target_return - ma)))')} AS ma_rmse FROM held GROUP BY chunk""",
+)
+def walk_forward_baselines_all(t: Tables) -> DataFrame:
+    return training.walk_forward_baselines(t.prepared(), 5, 0.7, TIE)
+
+
 @query("ma_baseline", f"WITH {PREPARED} SELECT event_id, symbol, event_ts, {q6(_MA.format(by=''))} AS prediction FROM prepared")
 def ma_baseline(t: Tables) -> DataFrame:
     return labels.moving_average_prediction(t.prepared(), 5, TIE).select(*_ROW, "prediction")
@@ -163,6 +184,19 @@ def return_to_price(t: Tables) -> DataFrame:
     return rows.select("event_id", "symbol", price_from_return(F.col("price"), F.col("price_return")).alias("predicted_price"))
 
 
+@query(
+    "gbt_test_rows",
+    f"""WITH {PREPARED}, ranked AS (SELECT *, percent_rank() OVER (ORDER BY event_ts) AS r FROM prepared)
+    SELECT event_id, symbol, event_ts, {q6(TARGET)} AS {TARGET}, TRUE AS finite FROM ranked
+    WHERE r > CAST(0.7 AS DOUBLE) + CAST(0.15 AS DOUBLE) AND {" AND ".join(f"{c} IS NOT NULL" for c in MODEL_FEATURES)}""",
+)
+def gbt_test_rows(t: Tables) -> DataFrame:
+    """Which rows the model predicts, and that it gives each a number."""
+    out = gbt_predictions(t)
+    finite = F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < float("inf"))
+    return out.select(*_ROW, TARGET, finite.alias("finite"))
+
+
 @query("gbt_predictions")
 def gbt_predictions(t: Tables) -> DataFrame:
     train, _, test = labels.chronological_split(t.prepared())

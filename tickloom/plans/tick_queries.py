@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import drift, features, ingest, time_windows
 from tickloom.plans.catalog import query
-from tickloom.plans.fixtures import BAD, DUP, ME, TIE, TRADE_TIE, TRADES, VALID, Tables, features_sql, q6
-from tickloom.schemas import TICK_DERIVED, TICK_FEATURES
+from tickloom.plans.fixtures import BAD, CALM, DUP, ME, TIE, TRADE_TIE, TRADES, VALID, Tables, features_sql, q6
+from tickloom.schemas import MODEL_FEATURES, TICK_DERIVED, TICK_FEATURES
 from tickloom.sources import lake
 
 EVENT = ["symbol", "price", "volume", "timestamp", "source", "idempotency_key"]
@@ -240,7 +240,12 @@ def retention_candidates(t: Tables) -> DataFrame:
     return lake.retention_candidates(ticks, newest, 10)
 
 
-@query("reference_sample")
+@query(
+    "reference_sample",
+    f"""WITH {CALM}, {features_sql('calm', 'event_id')}
+    SELECT {", ".join(f"{q6(c)} AS {c}" for c in MODEL_FEATURES)} FROM feat
+    WHERE CAST('0x' || substr(md5('42|' || symbol || '|' || CAST(epoch_us(event_ts) AS VARCHAR)), 1, 8) AS BIGINT) % 1000000 < 100000""",
+)
 def reference_sample(t: Tables) -> DataFrame:
     return drift.reference_sample(features.tick_features(t.calm_events(), TIE))
 

@@ -22,6 +22,7 @@ from tickloom.sources.scratch import settled
 def gbt_pipeline(features: Sequence[str] = MODEL_FEATURES, label: str = TARGET, **params) -> Pipeline:
     """Boosted trees on the given features; rows with missing features are skipped."""
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    # Number and depth of the trees and the seed.
     settings = {"maxIter": 20, "maxDepth": 5, "seed": 42, **params}
     return Pipeline(stages=[assembler, GBTRegressor(featuresCol="features", labelCol=label, **settings)])
 

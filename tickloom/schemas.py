@@ -13,6 +13,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# Names and types of the data model, here and in the layouts below.
 MARKET_EVENT = StructType(
     [
         StructField("symbol", StringType(), False),
@@ -25,7 +26,7 @@ MARKET_EVENT = StructType(
     ]
 )
 
-# Names fixed by the data model: the derived tick columns, in output order.
+# Names of the derived tick columns, in output order.
 TICK_DERIVED = [
     "price_change",
     "price_return",
@@ -42,7 +43,7 @@ TICK_DERIVED = [
 TICK_BASE = ["symbol", "event_ts", "price", "volume"]
 TICK_FEATURES = TICK_BASE + TICK_DERIVED
 
-# The features a model may see: all relative to the current price or to the previous tick.
+# The features a model may see: all relative to the current price or to the previous tick.
 MODEL_FEATURES = [
     "price_return",
     "volume_change",

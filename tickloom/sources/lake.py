@@ -5,7 +5,9 @@ All file work goes through Hadoop's FileSystem, so any store Spark can read work
 
 from __future__ import annotations
 
+import zlib
 from datetime import date, datetime, timedelta, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,11 +69,34 @@ def read_partition(spark: SparkSession, base: str, day: date, symbol: str, schem
 
 def read_reference(spark: SparkSession, path: str) -> DataFrame | None:
     """The reference sample, or None when none was saved yet."""
-    return spark.read.parquet(path) if path_exists(spark, path) else None
+    return read_version(spark, path)
 
 
 def write_reference(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    write_version(df, path)
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders of complete versions, oldest first."""
+    if not path_exists(spark, path):
+        return []
+    names = sorted(name for name, is_dir, _ in _children(spark, path) if is_dir)
+    return [_child(path, name) for name in names if path_exists(spark, _child(path, name, "_SUCCESS"))]
+
+
+def write_version(df: DataFrame, path: str) -> None:
+    """Replace a small table by writing a new folder beside the old one, which goes once the new one is complete."""
+    spark, old = df.sparkSession, _versions(df.sparkSession, path)
+    df.write.parquet(_child(path, datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")))
+    for folder in old:
+        _delete(spark, folder)
+
+
+def read_version(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """The newest complete version, or None while there is none."""
+    found = _versions(spark, path)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(found[-1]) if found else None
 
 
 # --- file system ----------------------------------------------------------------------------------
@@ -98,18 +123,66 @@ def _children(spark: SparkSession, path: str) -> list[tuple[str, bool, int]]:
     return [(s.getPath().getName(), s.isDirectory(), s.getLen()) for s in fs.listStatus(where)]
 
 
+def _move(spark: SparkSession, source: str, target: str) -> bool:
+    fs, source_path = _fs(spark, source)
+    _, target_path = _fs(spark, target)
+    fs.mkdirs(target_path.getParent())
+    return fs.rename(source_path, target_path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, where = _fs(spark, path)
+    fs.delete(where, True)
+
+
+def _directories(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Relative paths of the directories ``depth`` levels below a path; none if it is missing."""
+    if depth == 0:
+        return [""]
+    if not path_exists(spark, path):
+        return []
+    names = [name for name, is_dir, _ in _children(spark, path) if is_dir]
+    return [_child(name, *filter(None, [rest])) for name in names for rest in _directories(spark, _child(path, name), depth - 1)]
+
+
+def partition_path(spark: SparkSession, base: str, day: date, symbol: str) -> str | None:
+    """The directory of a date and symbol; Spark writes special characters of a symbol as percent escapes."""
+    parent = _child(base, f"year={day.year}", f"month={day.month}", f"day={day.day}")
+    if not path_exists(spark, parent):
+        return None
+    names = [name for name, is_dir, _ in _children(spark, parent) if is_dir and unquote(name) == f"symbol={symbol}"]
+    return _child(parent, names[0]) if names else None
+
+
+def recover_compaction(spark: SparkSession, base: str, staging: str | None = None) -> list[str]:
+    """Finish what a crash left half done: directories moved away and not replaced come back; return their paths."""
+    staging, restored = staging or base.rstrip("/") + "_compaction", []
+    for stamp in _directories(spark, staging, 1):
+        for where in _directories(spark, _child(staging, stamp, "old"), 4):
+            if not path_exists(spark, _child(base, where)):
+                _move(spark, _child(staging, stamp, "old", where), _child(base, where))
+                restored.append(_child(base, where))
+        _delete(spark, _child(staging, stamp))
+    return restored
+
+
 def compact_partition(
     spark: SparkSession, base: str, day: date, symbol: str, staging: str | None = None, file_bytes: int = FILE_BYTES
 ) -> int:
     """Rewrite one date and symbol directory as few files of about ``file_bytes``; return its row count.
 
     The new files are written to a staging directory beside the lake and counted before the swap. The
-    old directory is moved away first and deleted last, so a crash never loses rows.
+    old directory is moved away first and deleted last; what a crash leaves half done, the next call or
+    ``recover_compaction`` repairs. One compaction of a lake runs at a time.
     """
-    target = _child(base, f"year={day.year}", f"month={day.month}", f"day={day.day}", f"symbol={symbol}")
     staging = staging or base.rstrip("/") + "_compaction"
+    recover_compaction(spark, base, staging)
+    target = partition_path(spark, base, day, symbol)
+    if target is None:
+        raise FileNotFoundError(f"no rows of {symbol} on {day} in {base}")
+    where = target[len(base.rstrip("/")) + 1 :]
     stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
-    fresh, old = _child(staging, stamp, "new"), _child(staging, stamp, "old")
+    fresh, old = _child(staging, stamp, "new", where), _child(staging, stamp, "old", where)
 
     size = sum(length for _, is_dir, length in _children(spark, target) if not is_dir)
     rows = spark.read.parquet(target)
@@ -118,21 +191,44 @@ def compact_partition(
     after = spark.read.parquet(fresh).count()
     if after != before:
         raise RuntimeError(f"compaction of {target} wrote {after} of {before} rows; nothing was replaced")
-
-    fs, target_path = _fs(spark, target)
-    _, fresh_path = _fs(spark, fresh)
-    _, old_path = _fs(spark, old)
-    if not fs.rename(target_path, old_path):
+    if not _move(spark, target, old):
         raise RuntimeError(f"could not move {target} away")
-    if not fs.rename(fresh_path, target_path):
-        fs.rename(old_path, target_path)
+    if not _move(spark, fresh, target):
+        _move(spark, old, target)
         raise RuntimeError(f"could not move the compacted files to {target}")
-    _, stamp_path = _fs(spark, _child(staging, stamp))
-    fs.delete(stamp_path, True)
+    _delete(spark, _child(staging, stamp))
     spark.catalog.refreshByPath(base)
     return after
 
 
+def append_batch(df: DataFrame, base: str, batches: str, batch: int) -> None:
+    """Append a numbered batch to the lake once, however often it is tried.
+
+    The rows are written to a folder of the batch below ``batches`` and their files moved into the lake
+    under names that carry ``batches`` and the number. A batch that was tried before first loses what it
+    had moved; one that was completed is skipped.
+    """
+    spark = df.sparkSession
+    folder, done = _child(batches, str(batch)), _child(batches, f"{batch}.done")
+    if path_exists(spark, done):
+        return
+    name = f"{zlib.crc32(batches.encode()):08x}-{batch:010d}-"
+    write_lake(df, folder, "overwrite")
+    for where in _directories(spark, folder, len(LAKE_PARTITIONS)):
+        target = _child(base, where)
+        if path_exists(spark, target):
+            for old, _, _ in _children(spark, target):
+                if old.startswith(name):
+                    _delete(spark, _child(target, old))
+        files = sorted(f for f, is_dir, _ in _children(spark, _child(folder, where)) if not is_dir and f.endswith(".parquet"))
+        for number, file in enumerate(files):
+            if not _move(spark, _child(folder, where, file), _child(target, f"{name}{number:05d}.parquet")):
+                raise RuntimeError(f"could not move {file} of batch {batch} to {target}")
+    fs, mark = _fs(spark, done)
+    fs.create(mark, True).close()
+    _delete(spark, folder)
+
+
 def retention_candidates(partitions: DataFrame, reference: Column, days: int = 90) -> DataFrame:
     """Dates among the rows' year, month and day that are older than the retention time."""
     dates = partitions.select(F.make_date("year", "month", "day").alias("partition_date")).distinct()

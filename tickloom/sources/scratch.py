@@ -13,7 +13,8 @@ DIR_CONF = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only for a local session without it."""
     named = spark.conf.get(DIR_CONF, "") or spark.sparkContext.getConf().get(DIR_CONF, "")
-    if not named and spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not named and (master == "local" or master.startswith("local[")):  # one machine, no other executors
         named = tempfile.mkdtemp(prefix="tickloom-")
         spark.conf.set(DIR_CONF, named)
     if not named:

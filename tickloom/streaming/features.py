@@ -46,7 +46,7 @@ def _frame_sums(values: pd.Series, size: int) -> pd.Series:
     return pd.Series(np.lib.stride_tricks.sliding_window_view(padded, size).sum(axis=1))
 
 
-def _update(order: Sequence[str], ttl_ms: int | None):
+def _update(order: Sequence[str], ttl_ms: int | None, by_event_time: bool):
     """State function: append the batch's ticks of a symbol to its last ticks and emit their features."""
 
     def step(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -64,7 +64,10 @@ def _update(order: Sequence[str], ttl_ms: int | None):
                 (volumes + ticks["volume"].tolist())[1 - LONG :],
             )
         )
-        if ttl_ms is not None:
+        if ttl_ms is not None and by_event_time:
+            latest = int(ticks["event_ts"].max().timestamp() * 1000)
+            state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs()) + ttl_ms)
+        elif ttl_ms is not None:
             state.setTimeoutDuration(ttl_ms)
 
     return step
@@ -87,7 +90,9 @@ def stream_tick_features(
     order = tick_order(valid, tie)
     valid = valid.select(*dict.fromkeys(["symbol", *order, "price", "volume"]))
     timeout = GroupStateTimeout.NoTimeout if ttl_ms is None else GroupStateTimeout.ProcessingTimeTimeout
-    return valid.groupBy("symbol").applyInPandasWithState(_update(order, ttl_ms), FEATURE_ROW, STREAM_STATE, "append", timeout)
+    if late_after is not None:  # only with this timeout does Spark drop what is older than the watermark
+        timeout = GroupStateTimeout.EventTimeTimeout
+    return valid.groupBy("symbol").applyInPandasWithState(_update(order, ttl_ms, late_after is not None), FEATURE_ROW, STREAM_STATE, "append", timeout)
 
 
 def stream_time_window_features(

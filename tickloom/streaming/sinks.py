@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tickloom.operators.ingest import to_messages
-from tickloom.schemas import LAKE_PARTITIONS
-from tickloom.sources.lake import with_date_partitions
+from tickloom.sources.lake import append_batch
 
 
 def _start(writer: DataStreamWriter, trigger_seconds: int | None, available_now: bool) -> StreamingQuery:
@@ -21,16 +20,18 @@ def _start(writer: DataStreamWriter, trigger_seconds: int | None, available_now:
 def write_lake_stream(
     df: DataFrame, base: str, checkpoint: str, trigger_seconds: int | None = 30, available_now: bool = False
 ) -> StreamingQuery:
-    """Append a stream to the lake. ``trigger_seconds=None`` starts each micro-batch right after the last."""
-    writer = (
-        with_date_partitions(df)
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .partitionBy(*LAKE_PARTITIONS)
-        .option("path", base)
-        .option("checkpointLocation", checkpoint)
-    )
-    return _start(writer, trigger_seconds, available_now)
+    """Append a stream to the lake. ``trigger_seconds=None`` starts each micro-batch right after the last.
+
+    Micro-batches become plain files of the lake, one per directory unless it is large, so that batch
+    writers, compaction and retention may work on it as well. A micro-batch that is tried again is not
+    stored twice. Compact a lake only while its stream has no micro-batch to try again.
+    """
+    batches = checkpoint.rstrip("/") + "/lake_batches"
+
+    def append(rows: DataFrame, number: int) -> None:
+        append_batch(rows, base, batches, number)
+
+    return _start(df.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint), trigger_seconds, available_now)
 
 
 write_raw_stream = write_lake_stream
