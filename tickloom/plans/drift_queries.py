@@ -141,7 +141,7 @@ _CONCEPT = (
     (_psi_sql("symbol") + "," + _ks_sql("symbol"))
     .replace("FROM ref", "FROM e_ref").replace("FROM cur", "FROM e_cur").replace("JOIN ref ", "JOIN e_ref ").replace("JOIN cur ", "JOIN e_cur ")
 )
-for _cte in ("span", "edges", "ref_share", "cur_share", "psi", "marks", "steps", "dist", "ks_d", "ks"):
+for _cte in ("span", "edges", "ref_share", "cur_share", "psi", "marks", "steps", "dist", "ks_d", "ks_x", "ks"):
     _CONCEPT = _CONCEPT.replace(f"\n{_cte} AS (", f"\ne_{_cte} AS (")
     for _word in ("FROM", "JOIN"):
         _CONCEPT = _CONCEPT.replace(f"{_word} {_cte} ", f"{_word} e_{_cte} ").replace(f"{_word} {_cte},", f"{_word} e_{_cte},").replace(
