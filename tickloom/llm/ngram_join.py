@@ -17,8 +17,9 @@ A set that needs a costlier form knows it from its own segments, and so does eve
 miss; no pair is lost. Candidates are verified on the whole sets.
 
 Documents with equal sets are one vertex from the start. A signature shared by many sets gives one candidate for each
-of them, to the smallest; where the links found leave such a bucket in several components, other hubs follow, and at
-last the pairs that are still open, so that components are exact while copies are not expanded into all pairs.
+of them, to the smallest. Where the links found leave such a bucket in several components, all pairs across these are
+verified if they are few; otherwise other hubs come first, which join most of them. Components are exact, while copies
+are not expanded into all pairs.
 """
 
 from __future__ import annotations
@@ -36,7 +37,9 @@ from tickloom.llm.store import kept
 from tickloom.llm.text import only, slices, text_key, text_of
 
 SHINGLE, THRESHOLD = 5, 75  # words; hundredths
-HUB_ROUNDS = 3
+HUB_ROUNDS = 1
+#: With up to so many open pairs for each set of an open bucket, all of them are verified without further hubs.
+FEW_PAIRS = 8
 #: Up to so many set identifiers are sent to the tasks that collect the candidates' sets (32 MB); beyond, all sets are joined.
 SENT_IDS = 4_000_000
 
@@ -312,24 +315,27 @@ def set_components(docs: DataFrame) -> DataFrame:
     members = many.select("bucket", "f").unionAll(many.select("bucket", F.col("lo").alias("f"))).distinct()
     for turn in range(HUB_ROUNDS + 1):
         placed = members.join(roots, members["f"] == roots["id"], "left").select("bucket", "f", F.coalesce("root", "f").alias("root"))
-        ends = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        still = kept(placed.join(ends.select("bucket"), "bucket"))
-        if turn < HUB_ROUNDS:
-            hub = still.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("f", F.lit(turn)).alias("order"), "f", "root")).alias("hub"))
-            open_pairs = still.join(hub, "bucket").where("root <> hub.root").select("f", F.col("hub.f").alias("g"))
-        else:
+        parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+        ends = parts.groupBy("bucket").agg(F.sum("n").alias("n"), ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("open")).where("open > 0")
+        still = kept(placed.join(ends, "bucket"))
+        left = still.agg(F.coalesce(F.sum(F.col("open") / F.col("n")), F.lit(0)).alias("pairs"), F.count("*").alias("rows")).first()
+        if not left["rows"]:
+            break
+        last = turn == HUB_ROUNDS or left["pairs"] <= FEW_PAIRS * left["rows"]
+        if last:
             other = still.select("bucket", F.col("f").alias("g"), F.col("root").alias("other"))
             open_pairs = still.join(other, "bucket").where("root < other").select("f", "g")
+        else:
+            hub = still.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("f", F.lit(turn)).alias("order"), "f", "root")).alias("hub"))
+            open_pairs = still.join(hub, "bucket").where("root <> hub.root").select("f", F.col("hub.f").alias("g"))
         new = kept(_pairs(open_pairs, "f", "g").join(done, ["a", "b"], "left_anti"))
         members = still.select("bucket", "f")
-        if new.isEmpty():
-            if turn < HUB_ROUNDS and not still.isEmpty():
-                continue
-            break
         more = kept(linked(new, sets))
         done, links = done.unionAll(new), links.unionAll(more)
         if not more.isEmpty():
             roots = kept(components(links))
+        if last:
+            break
     return roots
 
 
