@@ -6,8 +6,8 @@ on, each refinement reusing what the last one updated, until buckets stand for 2
 mixed from the two it refines, so that equal strings have equal identifiers wherever they are computed, and only the
 sorting that tells single suffixes from shared ones goes through a shuffle. Positions leave as soon as they are single:
 
-1. At 32 bytes only *anchors* are sorted, positions whose identifier is smallest among 169 in a row. A string of 200 bytes
-   has 169 positions of 32 bytes; the smallest is an anchor wherever the string stands, so it is in a shared bucket if
+1. At 96 bytes only *anchors* are sorted, positions whose identifier is smallest among 105 in a row. A string of 200 bytes
+   has 105 positions of 96 bytes; the smallest is an anchor wherever the string stands, so it is in a shared bucket if
    the string occurs twice.
 2. At 216 bytes those positions are sorted that are smallest among 17 in a row and whose 216 bytes may still be shared.
    A shared bucket settles all 17 strings of 200 bytes within.
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.store import kept
 from tickloom.llm.text import only, slices
 
-LENGTH, GRAM, DEEP = 200, 32, 216
+LENGTH, GRAM, DEEP = 200, 96, 216
 ROW = LENGTH - GRAM + 1  # places of a gram in a string
 STEP = DEEP - LENGTH + 1  # places of a string in a deep one
 _U = np.uint64
