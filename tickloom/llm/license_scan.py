@@ -94,7 +94,10 @@ TEMPLATES = {
         "All rights reserved. No part of this work may be reproduced without prior written permission.",
         "This document is proprietary and confidential.",
     ),
+    "all-rights-reserved": ("All rights reserved.",),
 }
+#: Reserves rights and grants none, so that it is no licence family: it is reported apart from those.
+RESERVED = "all-rights-reserved"
 FAMILIES = (UNKNOWN, *sorted(TEMPLATES))
 _WORD = re.compile(r"[^\W_]+")
 
@@ -219,32 +222,34 @@ def train(docs: DataFrame, negatives: int = NEGATIVES) -> Model:
 
 
 def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", negatives: int = NEGATIVES) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_paragraphs, n_licensed, families, spans, unconfirmed``.
+    """One row per row of ``docs``: ``doc_id, n_paragraphs, n_licensed, families, spans, unconfirmed, reserved``.
 
     ``families`` are the confirmed ones, sorted and comma-joined; ``spans`` has family:start:end of their paragraphs, in
-    code points, end exclusive; ``unconfirmed`` lists predictions that no template confirms in the same way. A null or
-    empty text has no paragraphs; identifiers may be null or repeated; an empty table gives an empty one, and the model
+    code points, end exclusive; ``unconfirmed`` lists predictions that no template confirms in the same way, and
+    ``reserved`` the confirmed notices that all rights are reserved, which name no licence and count in none of the others.
+    A null or empty text has no paragraphs; identifiers may be null or repeated; an empty table gives an empty one, and the model
     then rests on the templates alone; other columns are not looked at.
     """
     rows = only(docs, id_col, text_col)
     sent = docs.sparkSession.sparkContext.broadcast(train(rows, negatives))
-    names = ["doc_id", "n_paragraphs", "n_licensed", "families", "spans", "unconfirmed"]
+    names = ["doc_id", "n_paragraphs", "n_licensed", "families", "spans", "unconfirmed", "reserved"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for batch in slices(batches, "text"):
             out = []
             for text in batch.column("text").to_pylist():
-                at, n, found, doubtful = 0, 0, [], []
+                at, n, found, doubtful, reserved = 0, 0, [], [], []
                 for line in text.split("\n"):
                     if line.strip():
                         n += 1
                         family, _, share = model.predict(line)
                         if family != UNKNOWN:
-                            (found if share >= CONFIRMED else doubtful).append((family, at, at + len(line)))
+                            kind = doubtful if share < CONFIRMED else reserved if family == RESERVED else found
+                            kind.append((family, at, at + len(line)))
                     at += len(line) + 1
-                joined = [",".join(f"{f}:{a}:{b}" for f, a, b in x) for x in (found, doubtful)]
+                joined = [",".join(f"{f}:{a}:{b}" for f, a, b in x) for x in (found, doubtful, reserved)]
                 out.append((n, len(found), ",".join(sorted({f for f, _, _ in found})), *joined))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c) for c in zip(*out))], names=names)
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_paragraphs long, n_licensed long, families string, spans string, unconfirmed string")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_paragraphs long, n_licensed long, families string, spans string, unconfirmed string, reserved string")
