@@ -1,8 +1,8 @@
 """Secrets in plain and in encoded text, by a worklist of decoded layers.
 
 A text is scanned for three kinds of secrets. Then every layer that can be decoded from it joins the worklist: percent
-escapes and Unicode escapes are decoded in place, so that a secret may begin outside them; runs of base64 that hold text
-or compressed data become layers of their own, and so does what zlib, gzip or raw bytes in them unpack to. Every layer is
+escapes and Unicode escapes are decoded in place, so that a secret may begin outside them; the pieces of ASCII text in what
+runs of base64 decode to become layers of their own, and so does all that zlib or gzip data in them unpack to. Every layer is
 scanned and decoded in turn until no new one appears; a layer that was seen before, in whatever way it came about, is not
 taken up again, so cycles end. Spans found in a layer are mapped back to the characters of the text that they came from.
 """
@@ -33,7 +33,9 @@ LEAST = {"assign": 6, "access": 20}
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-_TEXT = bytes([9, 10, 13, *range(32, 127)])
+#: Secrets, and whatever encodes them, are ASCII without control characters other than these, and the shortest ones have
+#: twelve characters; bytes between such pieces hold nothing to find, be they other characters, a byte order mark or noise.
+_ASCII = re.compile(rb"[\t\n\r\x20-\x7e]{12,}")
 #: Decoded layers beyond this size are not kept in memory; the text's ``n_unread`` counts them.
 MOST_BYTES = 64 << 20
 
@@ -135,16 +137,6 @@ def unpacked(raw: bytes) -> bytes | None:
     return out if unpack.eof else None
 
 
-def _is_text(raw: bytes) -> bool:
-    if not raw.translate(None, _TEXT):
-        return True
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return False
-    return sum(c.isprintable() or c in "\t\n\r" for c in text) == len(text)
-
-
 def _base64(layer: Layer, unread: list[str]) -> Iterator[Layer]:
     for m in _BASE64.finditer(layer.text):
         run = m[0].rstrip("=")
@@ -165,17 +157,15 @@ def _base64(layer: Layer, unread: list[str]) -> Iterator[Layer]:
         except OverflowError:
             unread.append("/".join((*way, "zlib")))
             continue
-        if not raw or not _is_text(raw):
-            continue
-        first, last = int(layer.starts[m.start() : m.end()].min()), int(layer.ends[m.start() : m.end()].max())
         if whole:
-            text = raw.decode()
-            yield Layer(text, np.full(len(text), first), np.full(len(text), last), way)
+            first, last = int(layer.starts[m.start() : m.end()].min()), int(layer.ends[m.start() : m.end()].max())
+            text = raw.decode("utf-8", "replace")
+            yield Layer(text, np.broadcast_to(np.int64(first), len(text)), np.broadcast_to(np.int64(last), len(text)), way)
             continue
-        chars = _characters(raw, 1, 0)
-        a = np.fromiter((x[1] // 3 * 4 for x in chars), np.int64, len(chars)) + m.start()
-        b = np.minimum(np.fromiter(((x[2] - 1) // 3 * 4 + 3 for x in chars), np.int64, len(chars)), len(run) - 1) + m.start()
-        yield Layer("".join(x[0] for x in chars), layer.starts[a], layer.ends[b], way)
+        for piece in _ASCII.finditer(raw):
+            at = np.arange(piece.start(), piece.end()) // 3 * 4
+            a, b = at + m.start(), np.minimum(at + 3, len(run) - 1) + m.start()
+            yield Layer(piece[0].decode(), layer.starts[a], layer.ends[b], way)
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, str]], int]:
