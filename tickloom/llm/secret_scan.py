@@ -2,7 +2,9 @@
 
 A text is scanned for three kinds of secrets. Then every layer that can be decoded from it joins the worklist: percent
 escapes and Unicode escapes are decoded in place, so that a secret may begin outside them; the pieces of ASCII text in what
-runs of base64 decode to become layers of their own, and so does all that zlib or gzip data in them unpack to. Every layer is
+runs of base64 decode to become layers of their own, and so does all that zlib or gzip data in them unpack to. A run is
+decoded at all four offsets, since a name, path or URL before a payload joins its run, and joined with those on the next
+lines, besides by itself; a secret that a line break cuts may thus show by its first part too. Every layer is
 scanned and decoded in turn until no new one appears; a layer that was seen before, in whatever way it came about, is not
 taken up again, so cycles end. Spans found in a layer are mapped back to the characters of the text that they came from.
 """
@@ -10,7 +12,6 @@ taken up again, so cycles end. Spans found in a layer are mapped back to the cha
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
@@ -33,6 +34,11 @@ LEAST = {"assign": 6, "access": 20}
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_ALPHABET = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
+_BREAK = re.compile(r"[\x20\t]*\r?\n[\x20\t]*")
+_NEXT_LINE = re.compile(r"[\x20\t]*\r?\n[\x20\t]*([A-Za-z0-9+/_-]+)")
+#: Where zlib or gzip data may begin.
+_PACKED = re.compile(rb"\x1f\x8b\x08|\x78(?=[\x01\x5e\x9c\xda])")
 #: Secrets, and whatever encodes them, are ASCII without control characters other than these, and the shortest ones have
 #: twelve characters; bytes between such pieces hold nothing to find, be they other characters, a byte order mark or noise.
 _ASCII = re.compile(rb"[\t\n\r\x20-\x7e]{12,}")
@@ -123,8 +129,8 @@ def _unicode(layer: Layer) -> Iterator[Layer]:
         yield _in_place(layer, "unicode", pieces)
 
 
-def unpacked(raw: bytes) -> bytes | None:
-    """What zlib or gzip data hold, None if it is neither; OverflowError if that is larger than a layer may be."""
+def unpacked(raw: bytes | memoryview) -> tuple[bytes, int] | None:
+    """What zlib or gzip data hold and their size, None if it is neither; OverflowError if that is larger than a layer may be."""
     if len(raw) < 8 or not (raw[:2] == b"\x1f\x8b" or raw[0] == 0x78 and int.from_bytes(raw[:2], "big") % 31 == 0):
         return None
     unpack = zlib.decompressobj(47)
@@ -134,38 +140,80 @@ def unpacked(raw: bytes) -> bytes | None:
         return None
     if unpack.unconsumed_tail:
         raise OverflowError
-    return out if unpack.eof else None
+    return (out, len(raw) - len(unpack.unused_data)) if unpack.eof else None
+
+
+def _line_before(text: str, at: int) -> tuple[int, int] | None:
+    """The base64 characters at the end of the previous line, if only white space separates them from this place."""
+    end = len(text[:at].rstrip(" \t")) if text[at - 1 : at] in (" ", "\t") else at
+    if text[end - 1 : end] != "\n":
+        return None
+    end -= 2 if text[max(0, end - 2) : end] == "\r\n" else 1
+    while end and text[end - 1] in " \t":
+        end -= 1
+    start = end
+    while start and text[start - 1] in _ALPHABET:
+        start -= 1
+    return (start, end) if start < end else None
+
+
+def _runs(text: str) -> Iterator[tuple[str, np.ndarray]]:
+    """Runs of base64 characters, as they stand and joined where one goes on on the next line, and the places of their
+    characters, with those of the padding after them."""
+    group: list[tuple[int, int, int]] = []
+
+    def joined() -> Iterator[tuple[str, np.ndarray]]:
+        if before := _line_before(text, group[0][0]):
+            group.insert(0, (*before, before[1]))
+        _, end, last = group[-1]
+        if end == last and (m := _NEXT_LINE.match(text, end)):
+            group.append((m.start(1), m.end(1), m.end()))
+        if len(group) > 1:
+            yield "".join(text[a:b] for a, b, _ in group), np.concatenate([np.arange(a, c) for a, _, c in group])
+
+    for m in _BASE64.finditer(text):
+        start, end = m.start(), m.start() + len(m[0].rstrip("="))
+        yield text[start:end], np.arange(start, m.end())
+        if group and not _BREAK.fullmatch(text, group[-1][1], start):
+            yield from joined()
+            group = []
+        group.append((start, end, m.end()))
+    if group:
+        yield from joined()
 
 
 def _base64(layer: Layer, unread: list[str]) -> Iterator[Layer]:
-    for m in _BASE64.finditer(layer.text):
-        run = m[0].rstrip("=")
-        if len(run) % 4 == 1:
-            continue
+    """Layers of base64 at each of the four places where a payload may begin amid other characters of the alphabet."""
+    for run, at in _runs(layer.text):
+        run = run.replace("-", "+").replace("_", "/")
+        for skip in range(4):
+            part = run[skip : len(run) - ((len(run) - skip) % 4 == 1)]
+            yield from _decoded(layer, base64.b64decode(part + "=" * (-len(part) % 4)), at[skip:], len(part), unread)
+
+
+def _decoded(layer: Layer, raw: bytes, at: np.ndarray, n: int, unread: list[str]) -> Iterator[Layer]:
+    """Layers of what ``n`` base64 characters at these places decode to: what is packed in it, and its pieces of text."""
+    for m in _PACKED.finditer(raw):
+        way, more, size, inner = (*layer.way, "base64"), memoryview(raw)[m.start() :], 0, set()
         try:
-            raw = base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        way, whole = (*layer.way, "base64"), False
-        try:
-            inner = set()
-            while (more := unpacked(raw)) is not None:  # nested compression, unless it comes back to itself
-                raw, whole, way = more, True, (*way, "zlib")
-                if (digest := hashlib.sha256(raw).digest()) in inner:
+            while (out := unpacked(more)) is not None:  # nested compression, unless it comes back to itself
+                size, more, way = size or out[1], out[0], (*way, "zlib")
+                if (digest := hashlib.sha256(more).digest()) in inner:
                     break
                 inner.add(digest)
         except OverflowError:
             unread.append("/".join((*way, "zlib")))
             continue
-        if whole:
-            first, last = int(layer.starts[m.start() : m.end()].min()), int(layer.ends[m.start() : m.end()].max())
-            text = raw.decode("utf-8", "replace")
-            yield Layer(text, np.broadcast_to(np.int64(first), len(text)), np.broadcast_to(np.int64(last), len(text)), way)
-            continue
-        for piece in _ASCII.finditer(raw):
-            at = np.arange(piece.start(), piece.end()) // 3 * 4
-            a, b = at + m.start(), np.minimum(at + 3, len(run) - 1) + m.start()
-            yield Layer(piece[0].decode(), layer.starts[a], layer.ends[b], way)
+        if inner:
+            end = m.start() + size - 1
+            end = end // 3 * 4 + end % 3 + 2  # a byte ends in the second, third or fourth character
+            own = at[m.start() // 3 * 4 : end if end < n else len(at)]
+            first, last = layer.starts[own].min(), layer.ends[own].max()
+            text = more.decode("utf-8", "replace")
+            yield Layer(text, np.broadcast_to(first, len(text)), np.broadcast_to(last, len(text)), way)
+    for piece in _ASCII.finditer(raw):
+        a = np.arange(piece.start(), piece.end()) // 3 * 4
+        yield Layer(piece[0].decode(), layer.starts[at[a]], layer.ends[at[np.minimum(a + 3, n - 1)]], (*layer.way, "base64"))
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, str]], int]:
