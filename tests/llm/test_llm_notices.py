@@ -35,3 +35,32 @@ def test_reserved_rights_amid_other_words(spark):
     a, b, c = scanned(spark, [f"{PROSE}\n{line}", whole, PROSE])
     assert (a.reserved, a.families) == (f"all-rights-reserved:{len(PROSE) + 1}:{len(PROSE) + 1 + len(line)}", "")
     assert (b.reserved, b.families) == ("", "proprietary") and (c.reserved, c.families) == ("", "")
+
+
+WRAPPED = {
+    "bsd": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:",
+    "lgpl": "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation",
+    "gpl": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or",
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above",
+    "mpl": "This Source Code Form is subject to the terms of the Mozilla\nPublic License, v. 2.0. If a copy of the MPL was not distributed with\nthis file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+}
+
+
+def test_wrapped_notices(spark):
+    texts, want = [], []
+    for family, notice in WRAPPED.items():
+        for before, mark in (("", ""), (f"{PROSE}\n" * 30, ""), (f"{PROSE}\n\n", " * ")):
+            notice_lines = "\n".join(mark + line for line in notice.split("\n"))
+            texts.append(f"{before}{notice_lines}\n{PROSE}")
+            want.append((family, f"{family}:{len(before)}:{len(before) + len(notice_lines)}"))
+    got = [(r.families, r.spans) for r in scanned(spark, texts)]
+    assert got == want
+
+
+def test_two_wrapped_notices_in_one_paragraph(spark):
+    a, b = WRAPPED["bsd"], WRAPPED["lgpl"]
+    (r,) = scanned(spark, [f"{a}\n{PROSE}\n{b}\n{PROSE}\n{a}\n\n{PROSE}"])
+    assert (r.n_paragraphs, r.n_licensed, r.families) == (2, 1, "bsd,lgpl")
+    at = [0, len(a) + len(PROSE) + 2, len(a) + 2 * len(PROSE) + len(b) + 4]
+    assert r.spans == f"bsd:0:{len(a)},lgpl:{at[1]}:{at[1] + len(b)},bsd:{at[2]}:{at[2] + len(a)}"

@@ -1,16 +1,18 @@
 """Licence notices in texts, paragraph by paragraph.
 
-A paragraph is a line with a word. A multinomial logistic regression over sparse word n-grams (one to three words) gives
-it a licence family or the class of unknown ones; it is trained on notices built from templates and on paragraphs of the
-corpus that share no run of three words with any of them. A family's probability is calibrated by logistic regression on
-rows that training leaves out, and one below ``CERTAIN`` is unknown. A prediction is confirmed by comparing the paragraph
-with the family's templates: a large enough share of a template's runs of three words must stand in the paragraph.
+A paragraph is a run of lines between blank ones. Each of its lines, the paragraph as a whole and the lines over which a
+template's words are wrapped are texts to classify. A multinomial logistic regression over sparse word n-grams (one to
+three words) gives each a licence family or the class of unknown ones; it is trained on notices built from templates and
+on lines of the corpus that share no run of three words with any of them. A family's probability is calibrated by logistic
+regression on rows that training leaves out, and one below ``CERTAIN`` is unknown. A prediction is confirmed by comparing
+the text with the family's templates: a large enough share of a template's runs of three words must stand in it.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -137,9 +139,18 @@ class Model:
     def __init__(self, weights: dict[str, np.ndarray], intercepts: np.ndarray, slope: float, shift: float):
         self.weights, self.intercepts, self.slope, self.shift = weights, intercepts, slope, shift
         self.templates = {f: [_threes(words_of(t)) for t in ts] for f, ts in TEMPLATES.items()}
+        self.having: dict[tuple[str, ...], list[tuple[str, int]]] = {}
+        for f, ts in self.templates.items():
+            for k, t in enumerate(ts):
+                for three in t:
+                    self.having.setdefault(three, []).append((f, k))
 
     def margins(self, words: list[str]) -> np.ndarray:
-        total, get = self.intercepts.copy(), self.weights.get
+        return self.intercepts + self.sums(words)
+
+    def sums(self, words: list[str]) -> np.ndarray:
+        """The weights of all runs of one to three words."""
+        total, get = np.zeros(len(self.intercepts)), self.weights.get
         known = [w if w in self.weights else "" for w in words]
         for i, a in enumerate(known):
             if a:
@@ -151,10 +162,24 @@ class Model:
                         total += w
         return total
 
+    def across(self, words: list[str], of: list[int]) -> np.ndarray:
+        """The weights of the runs of words that lie in several lines."""
+        total = np.zeros(len(self.intercepts))
+        for i in range(len(words) - 1):
+            for k in (2, 3):
+                if i + k <= len(words) and of[i] != of[i + k - 1]:
+                    run = words[i : i + k]
+                    if all(w in self.weights for w in run) and (w := self.weights.get(" ".join(run))) is not None:
+                        total += w
+        return total
+
     def predict(self, paragraph: str) -> tuple[str, float, float]:
-        """Family, calibrated probability and the best share of one of its templates; unknown ones have share 0."""
         words = words_of(paragraph)
-        margins = self.margins(words)
+        return self.decide(self.sums(words), words)
+
+    def decide(self, sums: np.ndarray, words: list[str]) -> tuple[str, float, float]:
+        """Family, calibrated probability and the best share of one of its templates; unknown ones have share 0."""
+        margins = self.intercepts + sums
         best = int(margins.argmax())
         if best == 0:
             return UNKNOWN, 0.0, 0.0
@@ -221,11 +246,73 @@ def train(docs: DataFrame, negatives: int = NEGATIVES) -> Model:
     return model
 
 
+def windows(model: Model, words: list[str], of: list[int]) -> list[tuple[str, int, int]]:
+    """(family, first line, last line) of where enough of a template's runs of three words stand close together in more than
+    one line; ``of`` has the words' lines."""
+    hits: dict[tuple[str, int], list[tuple[int, tuple[str, ...]]]] = {}
+    for at, three in enumerate(zip(words, words[1:], words[2:])):
+        if three in model.having:
+            for key in model.having[three]:
+                hits.setdefault(key, []).append((at, three))
+    found = set()
+    for (family, k), places in hits.items():
+        size = len(model.templates[family][k])
+        left = right = 0
+        inside: Counter[tuple[str, ...]] = Counter()
+        while right < len(places):
+            inside[places[right][1]] += 1
+            while places[right][0] - places[left][0] > 2 * size or inside[places[left][1]] > 1:
+                inside[places[left][1]] -= 1
+                left += 1
+            if sum(map(bool, inside.values())) / size >= CONFIRMED:
+                while right + 1 < len(places) and not inside[places[right + 1][1]] and places[right + 1][0] - places[left][0] <= 2 * size:
+                    right += 1
+                    inside[places[right][1]] += 1
+                first, last = of[places[left][0]], of[places[right][0] + 2]
+                if first < last:
+                    found.add((family, first, last))
+                left = right + 1
+                inside.clear()
+            right += 1
+    return sorted(found)
+
+
+def notices(model: Model, lines: list[str]) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
+    """Confirmed and unconfirmed (family, first line, last line) of one paragraph; confirmed ones of a family do not overlap."""
+    found, doubtful = [], []
+    split = [words_of(line) for line in lines]
+    sums = [model.sums(words) for words in split]
+    for i, words in enumerate(split):
+        family, _, share = model.decide(sums[i], words)
+        if family != UNKNOWN:
+            (found if share >= CONFIRMED else doubtful).append((family, i, i))
+    if len(lines) > 1:
+        words, of = [w for line in split for w in line], [i for i, line in enumerate(split) for _ in line]
+        wide = []
+        for family, a, b in windows(model, words, of):
+            named, _, share = model.predict("\n".join(lines[a : b + 1]))
+            if named == family and share >= CONFIRMED:
+                wide.append((family, a, b))
+        family, _, share = model.decide(sum(sums) + model.across(words, of), words)
+        if family != UNKNOWN and not any(f == family for f, _, _ in found + wide):
+            if share >= CONFIRMED:
+                wide.append((family, 0, len(lines) - 1))
+            elif not any(f == family for f, _, _ in doubtful):
+                doubtful.append((family, 0, len(lines) - 1))
+        for family, a, b in wide:
+            for other in [x for x in found if x[0] == family and x[1] <= b and x[2] >= a]:
+                found.remove(other)
+                a, b = min(a, other[1]), max(b, other[2])
+            found.append((family, a, b))
+        doubtful = [x for x in doubtful if not any(a <= x[1] and x[2] <= b for _, a, b in found)]
+    return tuple(sorted(x, key=lambda n: (n[1], n[2], n[0])) for x in (found, doubtful))
+
+
 def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", negatives: int = NEGATIVES) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_paragraphs, n_licensed, families, spans, unconfirmed, reserved``.
 
-    ``families`` are the confirmed ones, sorted and comma-joined; ``spans`` has family:start:end of their paragraphs, in
-    code points, end exclusive; ``unconfirmed`` lists predictions that no template confirms in the same way, and
+    ``n_licensed`` counts the paragraphs with a confirmed family. ``families`` are the confirmed ones, sorted and
+    comma-joined; ``spans`` has family:start:end of the lines that confirm them, in code points, end exclusive; ``unconfirmed`` lists predictions that no template confirms in the same way, and
     ``reserved`` the confirmed notices that all rights are reserved, which name no licence and count in none of the others.
     A null or empty text has no paragraphs; identifiers may be null or repeated; an empty table gives an empty one, and the model
     then rests on the templates alone; other columns are not looked at.
@@ -239,17 +326,22 @@ def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ne
         for batch in slices(batches, "text"):
             out = []
             for text in batch.column("text").to_pylist():
-                at, n, found, doubtful, reserved = 0, 0, [], [], []
-                for line in text.split("\n"):
+                at, n, licensed, found, doubtful, reserved = 0, 0, 0, [], [], []
+                starts, lines = [], []
+                for line in [*text.split("\n"), ""]:
                     if line.strip():
+                        starts.append(at), lines.append(line)
+                    elif lines:
+                        sure, unsure = ([(f, starts[a], starts[b] + len(lines[b])) for f, a, b in x] for x in notices(model, lines))
                         n += 1
-                        family, _, share = model.predict(line)
-                        if family != UNKNOWN:
-                            kind = doubtful if share < CONFIRMED else reserved if family == RESERVED else found
-                            kind.append((family, at, at + len(line)))
+                        licensed += any(f != RESERVED for f, _, _ in sure)
+                        for x in sure:
+                            (reserved if x[0] == RESERVED else found).append(x)
+                        doubtful += unsure
+                        starts, lines = [], []
                     at += len(line) + 1
                 joined = [",".join(f"{f}:{a}:{b}" for f, a, b in x) for x in (found, doubtful, reserved)]
-                out.append((n, len(found), ",".join(sorted({f for f, _, _ in found})), *joined))
+                out.append((n, licensed, ",".join(sorted({f for f, _, _ in found})), *joined))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c) for c in zip(*out))], names=names)
 
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_paragraphs long, n_licensed long, families string, spans string, unconfirmed string, reserved string")
