@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import license_scan, line_windows, ngram_join, packing, repetition, secret_scan, spaced_seeds, subword_lattice, suffix_buckets, toxicity
+from tickloom.llm import (
+    importance,
+    license_scan,
+    line_windows,
+    ngram_join,
+    packing,
+    repetition,
+    secret_scan,
+    spaced_seeds,
+    spelling,
+    subword_lattice,
+    suffix_buckets,
+    top_products,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +111,74 @@ SELECT documents.doc_id, n_items IS NOT NULL AS contaminated, CAST(coalesce(n_it
 FROM documents LEFT JOIN per_doc ON documents.doc_id = per_doc.doc_id
 """
 
+
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products.top_products(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+# The checksum that SQL lacks, bit by bit: every byte as itself and seven zeros, a step of the division for each.
+_CRC32 = """xor(list_reduce(
+    list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, strlen({text}) + 1),
+      lambda i: [('0x' || substr(hex(encode({text})), 2 * i - 1, 2))::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, b: xor(xor(c, b) >> 1, (xor(c, b) & 1) * 3988292384)), 4294967295)"""
+
+OP11_SQL = """
+WITH texts AS (
+  SELECT 0 AS side, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+  UNION ALL SELECT 1, NULL, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+words AS (SELECT side, doc_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM texts),
+buckets AS (SELECT word, CRC % 10000 AS bucket FROM (SELECT DISTINCT word FROM words)),
+counts AS (SELECT bucket, count(*) FILTER (WHERE side = 0) AS s, count(*) FILTER (WHERE side = 1) AS t FROM words JOIN buckets USING (word) GROUP BY bucket),
+sums AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM counts),
+gains AS (SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (s_all + 10000) AS DOUBLE) / CAST((s + 1) * (t_all + 10000) AS DOUBLE))) AS BIGINT) AS gain FROM counts, sums),
+per_doc AS (SELECT doc_id, count(*) AS n, CAST(sum(gain) AS BIGINT) AS total FROM words JOIN buckets USING (word) JOIN gains USING (bucket) WHERE side = 0 GROUP BY doc_id),
+weighed AS (
+  SELECT d.doc_id, coalesce(n, 0) AS n_features, coalesce((total - ((total % n) + n) % n) // n, 0) AS weight,
+    CAST('0x' || substr(sha256('2024:' || CAST(d.doc_id AS VARCHAR)), 1, 8) AS BIGINT) AS h
+  FROM documents d LEFT JOIN per_doc p ON p.doc_id = d.doc_id),
+scored AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM weighed),
+placed AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT s.doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+  CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM scored s LEFT JOIN placed p ON p.doc_id = s.doc_id
+""".replace("CRC", _CRC32.format(text="word"))
+
+OP12_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score FROM s
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER best <= 5
+"""
+
+OP13_SQL = """
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+counted AS (SELECT run, CAST(doc_id AS VARCHAR) || ':' || run AS named, count(*) AS n FROM runs GROUP BY doc_id, run),
+hashed AS (SELECT run, n, CRC AS h FROM counted WHERE length(run) >= 6),
+spelled AS (SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelled WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cuts AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+edits AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.cut = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.cut = b.word),
+near AS (SELECT word, count(*) AS n_near, arg_min(other, row(-other_n, other)) AS best, max(other_n) AS best_n FROM edits GROUP BY word),
+forms AS (SELECT w.word, CASE WHEN best_n >= 5 * n THEN best END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * n THEN best_n END AS form_n FROM words w LEFT JOIN near ON near.word = w.word),
+chain AS (SELECT word, word AS node, 0 AS steps FROM forms UNION ALL SELECT c.word, f.form, steps + 1 FROM chain c JOIN forms f ON f.word = c.node WHERE f.form IS NOT NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, arg_max(node, steps) AS root FROM chain GROUP BY word) USING (word)
+""".replace("CRC", _CRC32.format(text="named"))
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_toxicity": op2_toxicity,
@@ -108,8 +190,14 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_top_products": op12_top_products,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLE_SQL: dict[str, str] = {
     "op8_line_dedup": OP8_SQL,
     "op9_benchmark_decontamination": OP9_SQL,
+    "op11_importance_resampling": OP11_SQL,
+    "op12_top_products": OP12_SQL,
+    "op13_spelling_variants": OP13_SQL,
 }
