@@ -150,7 +150,7 @@ def test_bounds_leave_slots_out(spark, monkeypatch):
         return plain(queries, slot, turn, k)
 
     monkeypatch.setattr(top_products, "search", search)
-    rows = [(i, [2.0 ** -(i // 100), 0.1]) for i in range(2000)]
+    rows = [(i, [float(2000 - i)]) for i in range(2000)]
     assert searched(spark, rows, parts=1, every=500) == top_plainly(rows, 5, 500)
     assert 0 < met.value < 2000 * 4
 
