@@ -9,8 +9,9 @@ than the end of that. Hence:
 
 1. Occurrences are counted per task before the shuffle.
 2. Bigrams are counted over the words; their number is bounded by the alphabet, and tasks get the whole order.
-3. Every word goes into the index with its two pivots, and looks pivots of other words up with the bigrams of its prefix, at
-   three places each. Lengths that differ by more than one do not meet. What meets is verified.
+3. Every word goes into the index with its two pivots, and looks pivots of other words up with the bigrams of its prefix. An
+   edit behind a bigram leaves its place from the left and all before it, one before it its place from the right and all
+   behind it: each bigram is known with either part of its word. What meets is verified, if lengths and letters allow it.
 4. A word's form is the near word that occurs most, if it occurs far more often. Chains of forms are followed by doubling steps.
 """
 
@@ -95,22 +96,27 @@ def prefix_and_pivots(word: str, order: dict[str, tuple[int, int]]) -> tuple[lis
 
 
 def _index(words: DataFrame, order: dict[str, tuple[int, int]], pivots: bool) -> DataFrame:
-    """``gram, place, word, n``: the pivots of each word, or the bigrams of its prefix at three places each."""
+    """``part, word, n, letters``: the parts of each word up to and from its pivots, or up to and from its prefix's bigrams.
+
+    ``letters`` has a bit for each letter, modulo 63.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams, places, of = [], [], []
+            parts, of, letters = [], [], []
             for row, word in enumerate(batch.column("word").to_pylist()):
                 prefix, two = prefix_and_pivots(word, order)
+                mask = 0
+                for c in set(word):
+                    mask |= 1 << ord(c) % 63
                 for i in two if pivots else prefix:
-                    for place in (i,) if pivots else (i - 1, i, i + 1):
-                        grams.append(word[i : i + 2])
-                        places.append(place)
-                        of.append(row)
-            cells = [pa.array(grams, pa.string()), pa.array(places, pa.int32()), *(batch.column(c).take(pa.array(of, pa.int64())) for c in ("word", "n"))]
-            yield pa.RecordBatch.from_arrays(cells, names=["gram", "place", "word", "n"])
+                    parts += ["<" + word[: i + 2], ">" + word[i:]]
+                    of += [row, row]
+                    letters += [mask, mask]
+            cells = [pa.array(parts, pa.string()), *(batch.column(c).take(pa.array(of, pa.int64())) for c in ("word", "n")), pa.array(letters, pa.int64())]
+            yield pa.RecordBatch.from_arrays(cells, names=["part", "word", "n", "letters"])
 
-    return words.select("word", "n").mapInArrow(run, "gram string, place int, word string, n long")
+    return words.select("word", "n").mapInArrow(run, "part string, word string, n long, letters long")
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -122,9 +128,11 @@ def near_words(words: DataFrame) -> DataFrame:
     counts = held.collect()  # at most the square of the alphabet's 90 letters
     order = {g: (i, n) for i, (n, g) in enumerate(sorted((r["count"], r["gram"]) for r in counts))}
     a = _index(words, order, pivots=True)
-    b = _index(words, order, pivots=False).select("gram", "place", F.col("word").alias("other"), F.col("n").alias("other_n"))
-    close = (F.col("word") != F.col("other")) & (F.abs(F.length("word") - F.length("other")) <= 1)
-    met = a.join(b, ["gram", "place"]).where(close).where(F.levenshtein("word", "other", 1) == 1).select("word", "n", "other", "other_n")
+    b = _index(words, order, pivots=False).select("part", F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("letters").alias("other_letters"))
+    # One edit takes one letter away and brings one at most.
+    few = F.bit_count(F.col("letters").bitwiseXOR(F.col("other_letters"))) <= 2
+    close = few & (F.col("word") != F.col("other")) & (F.abs(F.length("word") - F.length("other")) <= 1)
+    met = a.join(b, "part").where(close).where(F.levenshtein("word", "other", 1) == 1).select("word", "n", "other", "other_n")
     back = met.select(F.col("other").alias("word"), F.col("other_n").alias("n"), F.col("word").alias("other"), F.col("n").alias("other_n"))
     return met.unionAll(back).distinct()
 
