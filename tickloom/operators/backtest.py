@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.columns import direction, same_sign
-from tickloom.operators.ordered import Ordering, cut, extend, finish
+from tickloom.operators.ordered import Ordering, carried, cut, finish
 
 # Fixed value: trading days of a year.
 TRADING_DAYS = 252
@@ -24,21 +24,21 @@ def with_signal(df: DataFrame) -> DataFrame:
 
 
 def equity_curve(
-    df: DataFrame, keys: Sequence[str] = ("symbol",), order: Sequence[str] = ("event_ts",), capital: float = 10_000.0
+    df: DataFrame | Ordering, keys: Sequence[str] = ("symbol",), order: Sequence[str] = ("event_ts",), capital: float = 10_000.0
 ) -> DataFrame:
     """Equity after each trade, its running peak and the drawdown from it.
 
-    ``keys=()`` trades all symbols as one account in ``order``.
+    ``keys=()`` trades all symbols as one account in ``order``. ``df`` may be rows in slices of these keys and this order.
     """
-    rows: Ordering = cut(with_signal(df), keys, order)
-    rows = extend(rows, {"_growth": ("product", 1 + F.col("strategy_return"))})
-    rows = Ordering(rows.df.withColumn("equity", capital * F.col("_growth")).drop("_growth"), rows.keys, rows.order)
-    rows = extend(rows, {"peak": ("max", F.col("equity"))})
+    rows = df.map(with_signal) if isinstance(df, Ordering) else cut(with_signal(df), keys, order)
+    rows = carried(rows, {"_growth": ("product", 1 + F.col("strategy_return"))})
+    rows = rows.map(lambda grown: grown.withColumn("equity", capital * F.col("_growth")).drop("_growth"))
+    rows = carried(rows, {"peak": ("max", F.col("equity"))})
     return finish(rows).withColumn("drawdown", (F.col("equity") - F.col("peak")) / F.col("peak"))
 
 
 def backtest_summary(
-    df: DataFrame,
+    df: DataFrame | Ordering,
     keys: Sequence[str] = ("symbol",),
     order: Sequence[str] = ("event_ts",),
     capital: float = 10_000.0,

@@ -7,12 +7,13 @@ the reference is never copied per key.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.columns import smirnov_p_value
-from tickloom.operators.ordered import first_rows, running
+from tickloom.operators.ordered import Ordering, carried, cut, finish, first_rows
 from tickloom.schemas import MODEL_FEATURES
 from tickloom.sources.scratch import settled
 
@@ -103,20 +104,20 @@ def ks(counts: DataFrame, keys: Sequence[str] = (), by: Sequence[str] = ("featur
     """Largest distance between the two distribution functions, and its asymptotic p-value.
 
     The distance peaks at or just before a current value, so the reference's function is only looked up
-    there: the distinct values of both sides form one ordered table per feature, counted along.
+    there: the values of both sides stand in one order per feature, the reference's first among equal ones, and
+    are counted along, the reference's over all keys and the current ones per key.
     """
     reference, current = _sides(counts)
-    marks = counts.groupBy(*by, "value").agg(F.sum(F.when(F.col("is_ref"), F.col("n")).otherwise(0)).alias("_ref"))
-    marks = running(marks, list(by), ["value"], {"_ref_upto": ("sum", F.col("_ref"))})
-    own = current.select(*keys, *by, "value", F.col("n").alias("_here"))
-    own = running(own, [*keys, *by], ["value"], {"_upto": ("sum", F.col("_here"))})
+    is_ref = F.col("is_ref")
+    rows = cut(counts.withColumn("_cur", (~is_ref).cast("int")), by, ["value", "_cur"])
+    of_ref = {"_ref_upto": ("sum", F.when(is_ref, F.col("n")).otherwise(0)), "_ref_value": ("last", F.when(is_ref, F.col("value"))), "_ref_n": ("last", F.when(is_ref, F.col("n")))}
+    rows = carried(rows, of_ref)
+    rows = carried(replace(rows, keys=(*keys, *by)), {"_upto": ("sum", F.when(is_ref, 0).otherwise(F.col("n")))})
+    at_value = F.when(F.col("_ref_value") == F.col("value"), F.col("_ref_n")).otherwise(0)
+    own = finish(rows).where(~is_ref).select(*keys, *by, "_ref_upto", "_upto", F.col("n").alias("_here"), at_value.alias("_ref"))
     n_ref = reference.groupBy(*by).agg(F.sum("n").alias("n_ref"))
     n_cur = current.groupBy(*keys, *by).agg(F.sum("n").alias("n_cur"))
-    met = (
-        own.join(marks, [*by, "value"])
-        .join(_per_group(n_ref, by), list(by))
-        .join(_per_group(n_cur, by, keys), [*keys, *by])
-    )
+    met = own.join(_per_group(n_ref, by), list(by)).join(_per_group(n_cur, by, keys), [*keys, *by])
     at = F.abs(F.col("_ref_upto") / F.col("n_ref") - F.col("_upto") / F.col("n_cur"))
     before = F.abs(
         (F.col("_ref_upto") - F.col("_ref")) / F.col("n_ref") - (F.col("_upto") - F.col("_here")) / F.col("n_cur")
@@ -243,9 +244,15 @@ def reference_sample(features: DataFrame, fraction: float = 0.1, seed: int = 42)
     return features.where(place < round(fraction * 1_000_000)).select(*MODEL_FEATURES)
 
 
-def halves_in_time(df: DataFrame, keys: Sequence[str], order: Sequence[str], newest: bool = False) -> DataFrame:
-    """Flag the older (or the ``newest``) half of each key's rows as the reference; adds ``n_rows`` per key."""
-    total = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    numbered = running(df, list(keys), list(order), {"_k": ("sum", F.lit(1))}, reverse=newest)
+def halves_in_time(
+    df: DataFrame | Ordering, keys: Sequence[str], order: Sequence[str], newest: bool = False
+) -> DataFrame:
+    """Flag the older (or the ``newest``) half of each key's rows as the reference; adds ``n_rows`` per key.
+
+    ``df`` may be rows in slices of these keys and this order.
+    """
+    rows = df if isinstance(df, Ordering) else cut(df, keys, order)
+    total = rows.df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    numbered = finish(carried(rows, {"_k": ("sum", F.lit(1))}, reverse=newest))
     joined = numbered.join(total, list(keys))
     return joined.withColumn("is_reference", F.col("_k") <= F.floor(F.col("n_rows") / 2)).drop("_k")

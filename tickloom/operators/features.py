@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from tickloom.functions.columns import ratio
 from tickloom.operators.ingest import validate_events
-from tickloom.operators.ordered import bounded_window
+from tickloom.operators.ordered import SLICE, Ordering, cut, finish, framed
 from tickloom.schemas import TICK_DERIVED, TICK_FEATURES
 
 # Fixed values.
@@ -55,13 +55,35 @@ def add_tick_columns(df: DataFrame, w: WindowSpec) -> DataFrame:
     )
 
 
-def tick_features(df: DataFrame, tie: Sequence[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
-    """Validated events to the 15 feature columns (plus ``keep``), one row per tick."""
+def add_return_averages(df: DataFrame, w: WindowSpec, averages: Mapping[str, int]) -> DataFrame:
+    """Append means of the last returns: column name to number of ticks."""
+    return df.withColumns({name: F.avg("price_return").over(w.rowsBetween(1 - n, 0)) for name, n in averages.items()})
+
+
+def feature_slices(
+    df: DataFrame, tie: Sequence[str] | None = None, keep: Sequence[str] = (), averages: Mapping[str, int] | None = None
+) -> Ordering:
+    """``tick_features`` in slices by symbol and tick order, for more ordered work on them."""
+    averages = averages or {}
     valid = validate_events(df)
     order = tick_order(valid, tie)
     valid = valid.select(*dict.fromkeys(["symbol", *order, "price", "volume", *keep]))
-    rows = bounded_window(valid, ["symbol"], order, LONG - 1, 0, add_tick_columns)
-    return rows.select(*TICK_FEATURES, *[k for k in keep if k not in TICK_FEATURES])
+
+    def add(rows: DataFrame, w: WindowSpec) -> DataFrame:
+        return add_return_averages(add_tick_columns(rows, w), w, averages)
+
+    # A mean of n returns looks at the price before the first of them.
+    rows = framed(cut(valid, ["symbol"], order), max(LONG - 1, *averages.values(), 0), 0, add)
+    shown = dict.fromkeys([*TICK_FEATURES, *averages, *keep, *order])
+    return rows.map(lambda made: made.select(*shown, SLICE))
+
+
+def tick_features(
+    df: DataFrame, tie: Sequence[str] | None = None, keep: Sequence[str] = (), averages: Mapping[str, int] | None = None
+) -> DataFrame:
+    """Validated events to the 15 feature columns (plus ``averages`` of returns and ``keep``), one row per tick."""
+    rows = finish(feature_slices(df, tie, keep, averages))
+    return rows.select(*dict.fromkeys([*TICK_FEATURES, *(averages or {}), *keep]))
 
 
 def compute_features(df: DataFrame, mode: str = "streaming", **options) -> DataFrame:
@@ -75,4 +97,6 @@ def compute_features(df: DataFrame, mode: str = "streaming", **options) -> DataF
     raise ValueError(f"mode must be 'batch' or 'streaming', not {mode!r}")
 
 
-__all__ = ["TICK_DERIVED", "add_tick_columns", "compute_features", "tick_features", "tick_order"]
+__all__ = [
+    "TICK_DERIVED", "add_return_averages", "add_tick_columns", "compute_features", "feature_slices", "tick_features", "tick_order",
+]

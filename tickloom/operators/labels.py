@@ -2,35 +2,50 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from tickloom.functions.columns import improvement_passes
-from tickloom.operators.features import LONG, add_tick_columns, tick_order
+from tickloom.operators.features import LONG, add_return_averages, add_tick_columns, tick_order
 from tickloom.operators.ingest import validate_events, validate_training_data
-from tickloom.operators.ordered import bounded_window, values_at_ranks
+from tickloom.operators.ordered import SLICE, Ordering, bounded_window, cut, finish, framed, values_at_ranks
 from tickloom.schemas import TICK_FEATURES
+from tickloom.sources.scratch import settled
 
 TARGET = "target_return"
 
 
-def prepare_training(raw: DataFrame, tie: Sequence[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
-    """Raw events to features plus the next tick's price and return. The newest tick has no label and is dropped."""
+def prepared_slices(
+    raw: DataFrame, tie: Sequence[str] | None = None, keep: Sequence[str] = (), averages: Mapping[str, int] | None = None
+) -> Ordering:
+    """``prepare_training`` in slices by symbol and tick order, for more ordered work on them."""
+    averages = averages or {}
     valid = validate_events(validate_training_data(raw, order=list(tie) if tie else None))
     order = tick_order(valid, tie)
     valid = valid.select(*dict.fromkeys(["symbol", *order, "price", "volume", *keep]))
 
     def add(df: DataFrame, w: WindowSpec) -> DataFrame:
         labelled = df.withColumn("target_price", F.lead("price").over(w))
-        return add_tick_columns(labelled, w)
+        return add_return_averages(add_tick_columns(labelled, w), w, averages)
 
-    rows = bounded_window(valid, ["symbol"], order, LONG - 1, 1, add)
-    rows = rows.where(F.col("target_price").isNotNull())
-    rows = rows.withColumn(TARGET, (F.col("target_price") - F.col("price")) / F.col("price"))
-    return rows.select(*TICK_FEATURES, "target_price", TARGET, *[k for k in keep if k not in TICK_FEATURES])
+    rows = framed(cut(valid, ["symbol"], order), max(LONG - 1, *averages.values(), 0), 1, add)
+    shown = dict.fromkeys([*TICK_FEATURES, "target_price", TARGET, *averages, *keep, *order])
+    target = (F.col("target_price") - F.col("price")) / F.col("price")
+    return rows.map(lambda made: made.where(F.col("target_price").isNotNull()).withColumn(TARGET, target).select(*shown, SLICE))
+
+
+def prepare_training(
+    raw: DataFrame, tie: Sequence[str] | None = None, keep: Sequence[str] = (), averages: Mapping[str, int] | None = None
+) -> DataFrame:
+    """Raw events to features plus the next tick's price and return. The newest tick has no label and is dropped.
+
+    ``averages`` adds moving-average predictions (name to number of returns) in the same pass.
+    """
+    rows = finish(prepared_slices(raw, tie, keep, averages))
+    return rows.select(*dict.fromkeys([*TICK_FEATURES, "target_price", TARGET, *(averages or {}), *keep]))
 
 
 # --- splits in time -------------------------------------------------------------------------------
@@ -102,11 +117,13 @@ def split_times(
 def chronological_split(
     df: DataFrame, train: float = 0.7, validate: float = 0.15, column: str = "event_ts"
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return split_times(df, train, validate, column).parts(df)
+    stored = settled(df)  # the cut times and the parts read it
+    return split_times(stored, train, validate, column, True).parts(stored)
 
 
 def with_split(df: DataFrame, train: float = 0.7, validate: float = 0.15, column: str = "event_ts") -> DataFrame:
-    return df.withColumn("split", split_times(df, train, validate, column).label())
+    stored = settled(df)
+    return stored.withColumn("split", split_times(stored, train, validate, column, True).label())
 
 
 def walk_forward_chunks(

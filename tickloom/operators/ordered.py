@@ -1,20 +1,20 @@
 """Ordered work per key that survives a hot key.
 
 A window partitioned by symbol puts all rows of a symbol into one task. When one symbol holds a third
-of a 100 TB table that task never ends. ``cut`` range-partitions the rows by key and order and stores
-them with the number of their partition: a *slice*, rows of a key that are consecutive in the wanted
-order. What a slice needs from its neighbours is carried over separately from the stored table, so
+of a 100 TB table that task never ends. ``cut`` range-partitions the rows by key and order, sorts each
+partition and stores it with its number and every row's place in it: a *slice*, rows of a key that are
+consecutive in the wanted order. What a slice needs from its neighbours is carried over separately, so
 results do not depend on where the cuts fall (float sums and products but for rounding):
 
-* ``bounded_window`` - frames that look a fixed number of rows back or ahead. Each slice gets copies of
-  the few rows before and after it.
-* ``running``        - aggregates over everything before a row. Each slice gets the totals of the slices
-  before it.
+* ``framed``  - frames that look a fixed number of rows back or ahead. Each slice gets copies of the few
+  rows before and after it, which their places tell apart from the others.
+* ``carried`` - aggregates over everything before a row. Each slice gets the totals of the slices before it.
 * ``first_rows`` / ``last_rows`` - top rows per key; Spark limits each map task first, so no slices.
 * ``values_at_ranks`` - exact order statistics of a whole table without sorting it.
 
-The number of slices is Spark's number of shuffle partitions, fewer where adaptive execution joins small
-ones. The input runs twice, once for the sample that sets the ranges and once to be stored.
+Both window forms partition by key and slice, so that steps on the same slices share one exchange and one
+sort; only ``cut`` stores. The number of slices is Spark's number of shuffle partitions, fewer where adaptive
+execution joins small ones. The input runs twice, once for the sample that sets the ranges and once to be stored.
 """
 
 from __future__ import annotations
@@ -22,17 +22,19 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tickloom.sources.scratch import settled
 
-SLICE, HALO = "_slice", "_halo"
+SLICE, PLACE, HALO = "_slice", "_place", "_halo"
+_PLACE_BITS = 33  # of the row numbers that Spark counts up within a partition
 
 
 @dataclass(frozen=True)
 class Ordering:
-    """Stored rows with their order inside ``keys`` and the number of their slice."""
+    """Rows with their order inside ``keys`` and the number of their slice; also their place in it, straight from ``cut``."""
 
     df: DataFrame
     keys: tuple[str, ...]
@@ -45,8 +47,9 @@ class Ordering:
     def window(self, reverse: bool = False) -> WindowSpec:
         return Window.partitionBy(*self.groups).orderBy(*_sorted(self.order, reverse))
 
-    def done(self, df: DataFrame) -> DataFrame:
-        return df.drop(SLICE)
+    def map(self, change: Callable[[DataFrame], DataFrame]) -> Ordering:
+        """Other columns or fewer rows, in the same slices."""
+        return replace(self, df=change(self.df))
 
 
 def _sorted(order: Sequence[str], reverse: bool = False) -> list[Column]:
@@ -55,10 +58,16 @@ def _sorted(order: Sequence[str], reverse: bool = False) -> list[Column]:
 
 def cut(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Ordering:
     """Store the rows in slices; a slice may hold the rows of several keys, or a part of one key's."""
-    ranged = df.repartitionByRange(*keys, *order).withColumn(SLICE, F.spark_partition_id())
+    by = [*keys, *order]
+    place = F.monotonically_increasing_id().bitwiseAND((1 << _PLACE_BITS) - 1)
+    ranged = df.repartitionByRange(*by).sortWithinPartitions(*by).select("*", F.spark_partition_id().alias(SLICE), place.alias(PLACE))
     return Ordering(settled(ranged), tuple(keys), tuple(order))
 
 
+def finish(rows: Ordering) -> DataFrame:
+    return rows.df.drop(SLICE, PLACE)
+
+
 def bounded_window(
     df: DataFrame,
     keys: Sequence[str],
@@ -68,36 +77,41 @@ def bounded_window(
     add: Callable[[DataFrame, WindowSpec], DataFrame],
 ) -> DataFrame:
     """Apply ``add`` (which appends window columns) with frames of at most ``before``/``after`` rows."""
-    rows = cut(df, keys, order)
-    frame = rows.df.withColumn(HALO, F.lit(False))
-    for count, ahead in ((before, False), (after, True)):
-        if count:
-            frame = frame.unionByName(_neighbour_rows(rows, count, ahead))
-    return rows.done(add(frame, rows.window()).where(~F.col(HALO)).drop(HALO))
+    return finish(framed(cut(df, keys, order), before, after, add))
 
 
-def _neighbour_rows(rows: Ordering, count: int, ahead: bool) -> DataFrame:
-    """Copies of the ``count`` rows next to each slice, taken from as many slices as that needs.
+def framed(rows: Ordering, before: int, after: int, add: Callable[[DataFrame, WindowSpec], DataFrame]) -> Ordering:
+    """The same for rows that come straight from ``cut``; the result keeps the slices."""
+    plain = rows.df.select("*", F.lit(False).alias(HALO))
+    with_halo = plain.drop(PLACE).unionByName(_neighbour_rows(rows, before, after))
+    return replace(rows, df=add(with_halo, rows.window()).where(~F.col(HALO)).drop(HALO))
 
-    Only the outermost ``count`` rows of each slice can be needed; Spark applies that limit in the map
-    tasks, so the sorting below sees ``count`` rows per slice and not the data.
+
+def _neighbour_rows(rows: Ordering, before: int, after: int) -> DataFrame:
+    """Copies of the rows up to ``before`` places ahead of each slice and ``after`` behind it.
+
+    Neighbours are counted over all keys; rows of another key form windows of their own and leave with the copies.
     """
-    edge = F.row_number().over(rows.window(reverse=not ahead))
-    edges = rows.df.withColumn("_edge", edge).where(F.col("_edge") <= count)
-    columns = [c for c in rows.df.columns if c != SLICE]
-    along = Window.partitionBy(*rows.keys).orderBy(*_sorted(rows.order, reverse=ahead))
-    # In this direction a slice starts where the previous edge row belongs to another slice.
-    return (
-        edges.withColumns(
-            {
-                "_other": F.lag(SLICE).over(along),
-                "_near": F.collect_list(F.struct(*columns)).over(along.rowsBetween(-count, -1)),
-            }
-        )
-        .where(F.col("_other") != F.col(SLICE))
-        .select(SLICE, F.explode("_near").alias("_row"))
-        .select(*[F.col(f"_row.{c}").alias(c) for c in columns], SLICE, F.lit(True).alias(HALO))
-    )
+    sizes = dict(rows.df.groupBy(SLICE).count().collect())  # one row per slice
+    slices = sorted(sizes)
+    wanted: list[tuple[int, int, int, int]] = []  # slice that needs rows, slice that has them, first and last place
+    for at, target in enumerate(slices):
+        missing, back = before, at - 1
+        while missing > 0 and back >= 0:
+            source = slices[back]
+            wanted.append((target, source, max(sizes[source] - missing, 0), sizes[source] - 1))
+            missing, back = missing - sizes[source], back - 1
+        missing, ahead = after, at + 1
+        while missing > 0 and ahead < len(slices):
+            source = slices[ahead]
+            wanted.append((target, source, 0, min(sizes[source], missing) - 1))
+            missing, ahead = missing - sizes[source], ahead + 1
+    columns = [pa.array(c, pa.int64()) for c in zip(*wanted)] or [pa.array([], pa.int64())] * 4
+    edges = rows.df.sparkSession.createDataFrame(pa.table(columns, names=["_target", "_source", "_first", "_last"]))
+    # A few rows per slice.
+    met = rows.df.join(F.broadcast(edges), (F.col(SLICE) == F.col("_source")) & F.col(PLACE).between(F.col("_first"), F.col("_last")))
+    own = [c for c in rows.df.columns if c not in (SLICE, PLACE)]
+    return met.select(*own, F.col("_target").cast("int").alias(SLICE), F.lit(True).alias(HALO))
 
 
 # How each running aggregate is computed in a frame, and how a carried value joins a local one.
@@ -122,20 +136,11 @@ def running(
     ``columns`` maps the new name to (kind, input); kinds are sum, product, max, min and last (last
     non-null value). ``reverse`` runs from the end, so ``last`` then finds the next value ahead.
     """
-    return finish(_extended(cut(df, keys, order), columns, reverse))
-
-
-def finish(rows: Ordering) -> DataFrame:
-    return rows.done(rows.df)
-
-
-def extend(rows: Ordering, columns: dict[str, tuple[str, Column]], reverse: bool = False) -> Ordering:
-    """As ``running``, for rows that are cut already; the result is stored, so that more can be added to it."""
-    more = _extended(rows, columns, reverse)
-    return replace(more, df=settled(more.df))
+    return finish(carried(cut(df, keys, order), columns, reverse))
 
 
-def _extended(rows: Ordering, columns: dict[str, tuple[str, Column]], reverse: bool = False) -> Ordering:
+def carried(rows: Ordering, columns: dict[str, tuple[str, Column]], reverse: bool = False) -> Ordering:
+    """As ``running``, for rows in slices; the result keeps them, so that more can be added to it."""
     frame = rows.window(reverse).rowsBetween(Window.unboundedPreceding, 0)
     local = {name: _AGGREGATES[kind][0](value).over(frame) for name, (kind, value) in columns.items()}
     place = F.struct(*rows.order)
@@ -149,12 +154,12 @@ def _extended(rows: Ordering, columns: dict[str, tuple[str, Column]], reverse: b
     per_slice = rows.df.groupBy(*rows.groups).agg(*totals)
     slices = Window.partitionBy(*rows.keys).orderBy(*_sorted([SLICE], reverse))
     earlier = slices.rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_slice.select(
+    before = per_slice.select(
         *[F.col(g).alias(f"_at_{g}") for g in rows.groups],
         *[_AGGREGATES[kind][0](F.col(f"_sum_{n}")).over(earlier).alias(f"_carry_{n}") for n, (kind, _) in columns.items()],
     )
     joined = rows.df.withColumns(local).join(
-        carried, [F.col(g).eqNullSafe(F.col(f"_at_{g}")) for g in rows.groups], "left"
+        before, [F.col(g).eqNullSafe(F.col(f"_at_{g}")) for g in rows.groups], "left"
     )
     total = {}
     for name, (kind, _) in columns.items():

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.columns import price_from_return, same_sign
-from tickloom.operators.ordered import cut, extend, finish, first_rows, last_rows, running
+from tickloom.operators.ordered import carried, cut, finish, first_rows, last_rows, running
 from tickloom.schemas import MODEL_FEATURES, PREDICTION
 
 Z_95 = 1.96  # fixed value
@@ -152,8 +152,8 @@ def realize_fifo(predictions: DataFrame, prices: DataFrame, tie: Sequence[str] =
     is_price, asks = F.col("_price").isNotNull(), F.col("_id").isNotNull()
     waits = asks & F.col("_row.realized_error").isNull()
     counts = {"_prices": ("sum", is_price.cast("long")), "_waiting": ("sum", asks.cast("long"))}
-    rows = extend(rows, counts)
-    rows = extend(rows, {"_lost": ("max", F.when(is_price, F.col("_prices") - F.col("_waiting")).otherwise(0))})
+    rows = carried(rows, counts)
+    rows = carried(rows, {"_lost": ("max", F.when(is_price, F.col("_prices") - F.col("_waiting")).otherwise(0))})
     line = finish(rows)
     lost = F.greatest(F.col("_lost"), F.lit(0))
     # A lost price repeats the number its predecessor served, so the earliest price per number counts.

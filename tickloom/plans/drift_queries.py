@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators import drift, predictions
-from tickloom.operators.features import tick_features
+from tickloom.operators.features import feature_slices, tick_features
 from tickloom.plans.catalog import query
 from tickloom.plans.fixtures import CALM, REALIZED, TIE, Tables, features_sql, latest_time, q6
 from tickloom.schemas import MODEL_FEATURES
@@ -63,7 +63,7 @@ ks AS (SELECT * EXCLUDE (x), CASE WHEN ks_statistic <= 0 THEN 1.0
 
 def _halves(t: Tables) -> DataFrame:
     """Value counts of the older half (reference) and the newer half of each symbol's feature rows."""
-    features = tick_features(t.calm_events(), TIE, keep=TIE)
+    features = feature_slices(t.calm_events(), TIE, TIE)
     marked = drift.halves_in_time(features, ["symbol"], ["event_ts", *TIE])
     long = drift.to_long(marked, MODEL_FEATURES, ["is_reference"])
     counts = long.groupBy("feature", "value", F.col("is_reference").alias("is_ref")).agg(F.count(F.lit(1)).alias("n"))

@@ -107,7 +107,7 @@ def walk_forward_baselines_all(t: Tables) -> DataFrame:
 
 @query("ma_baseline", f"WITH {PREPARED} SELECT event_id, symbol, event_ts, {q6(_MA.format(by=''))} AS prediction FROM prepared")
 def ma_baseline(t: Tables) -> DataFrame:
-    return labels.moving_average_prediction(t.prepared(), 5, TIE).select(*_ROW, "prediction")
+    return t.prepared(prediction=5).select(*_ROW, "prediction")
 
 
 def _metrics_sql(label: str, prediction: str, source: str = "prepared", by: str = "") -> str:
@@ -135,7 +135,7 @@ _WITH_MA = f", averaged AS (SELECT *, {_MA.format(by='')} AS ma FROM prepared)"
 
 @query("baseline_moving_average", f"WITH {PREPARED}{_WITH_MA} {_metrics_sql(TARGET, 'ma', 'averaged')}")
 def baseline_moving_average(t: Tables) -> DataFrame:
-    return labels.moving_average_baseline(t.prepared(), 5, TIE)
+    return labels.regression_metrics(t.prepared(_ma=5), TARGET, "_ma")
 
 
 @query("regression_metrics", f"WITH {PREPARED} {_metrics_sql('target_price', 'ma20', 'prepared', 'symbol')}")
@@ -162,8 +162,7 @@ def _rmse(prediction: str) -> str:
 )
 def promotion_gate(t: Tables) -> DataFrame:
     """Would a 20-tick average replace a 5-tick average, per symbol?"""
-    rows = labels.moving_average_prediction(t.prepared(), 20, TIE, "_p20")
-    rows = labels.moving_average_prediction(rows, 5, TIE, "_p5")
+    rows = t.prepared(_p20=20, _p5=5)
 
     def rmse(prediction, name):
         error = F.col(TARGET) - prediction
@@ -221,7 +220,7 @@ def signals(t: Tables) -> DataFrame:
     f"WITH {BACKTEST} SELECT event_id, symbol, event_ts, {_shown(['equity', 'peak', 'drawdown'])} FROM curve",
 )
 def equity_curve(t: Tables) -> DataFrame:
-    return backtest.equity_curve(t.backtest_input(), ("symbol",), ("event_ts", *TIE)).select(*_ROW, "equity", "peak", "drawdown")
+    return backtest.equity_curve(t.backtest_slices(), ("symbol",), ("event_ts", *TIE)).select(*_ROW, "equity", "peak", "drawdown")
 
 
 def _summary_sql(by: str, source: str) -> str:
@@ -238,7 +237,7 @@ def _summary_sql(by: str, source: str) -> str:
 
 @query("backtest_summary", f"WITH {BACKTEST} {_summary_sql('symbol', 'curve')}")
 def backtest_summary(t: Tables) -> DataFrame:
-    return backtest.backtest_summary(t.backtest_input(), ("symbol",), ("event_ts", *TIE))
+    return backtest.backtest_summary(t.backtest_slices(), ("symbol",), ("event_ts", *TIE))
 
 
 _ONE_ACCOUNT = """, all_eq AS (SELECT * EXCLUDE (equity), product(1 + strategy_return) OVER (

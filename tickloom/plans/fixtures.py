@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators import labels, predictions
+from tickloom.operators.ordered import SLICE, Ordering, finish
 from tickloom.session import use_utc
 
 TIE = ["event_id"]
@@ -110,26 +111,28 @@ class Tables:
             F.when(is_flat, flat).otherwise(nested).alias("payload"),
         )
 
-    def prepared(self) -> DataFrame:
-        return labels.prepare_training(self.calm_events(), TIE, keep=TIE)
+    def prepared(self, **averages: int) -> DataFrame:
+        """Labelled calm ticks; ``averages`` adds means of so many last returns."""
+        return labels.prepare_training(self.calm_events(), TIE, keep=TIE, averages=averages)
 
     def predictions(self) -> DataFrame:
         """One prediction per calm tick: the mean of the last five returns."""
         from tickloom.operators.features import tick_features
 
-        features = tick_features(self.calm_events(), TIE, keep=TIE)
-        scored = labels.moving_average_prediction(features, 5, TIE, "predicted_return")
+        scored = tick_features(self.calm_events(), TIE, keep=TIE, averages={"predicted_return": 5})
         return predictions.prediction_rows(scored.where(F.col("predicted_return").isNotNull()), "event_id")
 
     def realized(self) -> DataFrame:
         return predictions.realize_fifo(self.predictions(), self.calm_events(), TIE)
 
+    def backtest_slices(self) -> Ordering:
+        """Predicted and realized returns per calm tick, in slices by symbol and tick order."""
+        scored = labels.prepared_slices(self.calm_events(), TIE, TIE, {"predicted_return": 5})
+        shown = ["symbol", "event_ts", *TIE, "predicted_return", F.col(labels.TARGET).alias("realized_return"), SLICE]
+        return scored.map(lambda rows: rows.where(F.col("predicted_return").isNotNull()).select(*shown))
+
     def backtest_input(self) -> DataFrame:
-        """Predicted and realized returns per calm tick."""
-        scored = labels.moving_average_prediction(self.prepared(), 5, TIE, "predicted_return")
-        return scored.where(F.col("predicted_return").isNotNull()).select(
-            "symbol", "event_ts", *TIE, "predicted_return", F.col(labels.TARGET).alias("realized_return")
-        )
+        return finish(self.backtest_slices())
 
     def request_log(self) -> DataFrame:
         k = F.get_json_object("props", "$.k").cast("int")

@@ -22,13 +22,24 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def settled(df: DataFrame) -> DataFrame:
+def new_folder(spark: SparkSession) -> str:
+    """A folder nobody has used, among those of the application."""
+    return f"{shared_dir(spark)}/tickloom-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write the rows as Parquet and read them back.
 
     Later steps scan the columns they need instead of repeating the work, a lost executor costs nothing,
     and Catalyst knows the exact size. The files live as long as the application's folder is kept.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tickloom-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = path or new_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a stored table that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
