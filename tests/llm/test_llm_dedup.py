@@ -58,42 +58,81 @@ def test_components_equal_brute_force(spark, corpus):
     assert {r.doc_id for r in kept.collect()} == {i for i in range(len(corpus)) if root[i] == i}
 
 
-def test_signatures_miss_no_linked_pair():
+def test_linked_sets_agree_on_enough_signatures():
     rng, linked = np.random.default_rng(3), 0
-    for _ in range(3000):
-        n = int(rng.choice([3, 4, 5, 6, 8, 10, 14, 20, 35, 80, 300]))
+    for _ in range(4000):
+        n = int(rng.choice([3, 4, 5, 6, 8, 10, 11, 13, 14, 20, 35, 47, 50, 80, 300]))
         universe = ngram_join.mix(rng.integers(1, 2**62, 2 * n + 8).astype(np.uint64))
         cut, more = rng.integers(0, n // 3 + 2, 2)
         a, b = np.unique(universe[:n]), np.unique(np.concatenate((universe[cut:n], universe[n : n + more])))
         both = len(np.intersect1d(a, b))
         if not np.array_equal(a, b) and 100 * both >= 75 * (len(a) + len(b) - both):
             linked += 1
-            assert len(np.intersect1d(ngram_join.signatures(a), ngram_join.signatures(b)))
-            assert ngram_join.may_link(ngram_join.sketch(a), ngram_join.sketch(b), len(a), len(b))
+            ours, theirs = ({parity: (need, sigs) for parity, need, sigs in ngram_join.signatures(x)} for x in (a, b))
+            for parity in ours.keys() & theirs.keys():
+                agree = len(np.intersect1d(ours[parity][1], theirs[parity][1]))
+                assert agree >= ours[parity][0] and agree >= theirs[parity][0]
+            assert ours.keys() & theirs.keys()
+            odd = np.bitwise_count(ngram_join.sketch(a).view(np.uint64) ^ ngram_join.sketch(b).view(np.uint64)).sum()
+            assert odd <= ngram_join.most_different(len(a), len(b))
     assert linked > 500
 
 
-def test_open_buckets_get_other_hubs(spark):
-    """A chain whose ends do not link, with one signature for all, in which the first hub links with none."""
-    base = np.sort(ngram_join.mix(np.arange(1, 41, dtype=np.uint64)))
-    sets = [base[k : k + 20] for k in (0, 2, 4, 6)] + [np.sort(ngram_join.mix(np.arange(100, 120, dtype=np.uint64)))]
-    ids = [ngram_join.set_id(s) for s in sets]
-    rows = spark.createDataFrame([(7, i) for i in ids], "sig long, f long")
-    found = ngram_join.buckets(rows).collect()
-    assert {r.f for r in found} | {r.lo for r in found} == set(ids) and all(r.many for r in found) and {r.lo for r in found} == {min(ids)}
-
-
-def test_buckets_across_batches(spark):
+def test_shared_signatures_across_batches(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
     try:
         rng = random.Random(1)
-        rows = [(rng.randrange(12), rng.randrange(6)) for _ in range(120)] + [(50, 1), (51, 1), (51, 1), (52, 1), (52, 2)]
-        got = ngram_join.buckets(spark.createDataFrame(rows, "sig long, f long")).collect()
+        rows = [(rng.randrange(12), rng.randrange(6)) for _ in range(120)] + [(50, 1), (51, 1), (51, 1), (52, 1), (52, 2)] + [(60, i) for i in range(40)]
+        got = ngram_join.shared(spark.createDataFrame(rows, "sig long, f long"), most_held=10).collect()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    members = {s: sorted({f for g, f in rows if g == s}) for s, _ in rows}
-    assert {(r.lo, r.f) for r in got} == {(m[0], f) for m in members.values() for f in m[1:]}
-    assert all(r.many for r in got if sum(r.f in m and m[0] == r.lo for m in members.values() if len(m) == 2) == 0)
+    members = {s: {f for g, f in rows if g == s} for s, _ in rows}
+    assert {(r.sig, r.f, r.cost) for r in got} == {(s, f, len(m) if s < 60 else ngram_join.HOT) for s, m in members.items() for f in m if len(m) > 1}
+    assert len(got) == sum(len(m) for m in members.values() if len(m) > 1)
+
+
+def joined(spark, monkeypatch, texts):
+    """Components by brute force and by the join, and the number of pairs that it verified."""
+    sets, root = [shingles(t) for t in texts], list(range(len(texts)))
+    holders = {}
+    for i, a in enumerate(sets):
+        for x in a:
+            holders.setdefault(x, []).append(i)
+    seen = Counter()
+    for rows in holders.values():
+        if len(rows) < 500:  # linked documents of these tests share rarer shingles too
+            seen.update((j, i) for k, i in enumerate(rows) for j in rows[:k])
+    for j, i in seen:
+        both = len(sets[i] & sets[j])
+        if 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+            old, new = max(root[i], root[j]), min(root[i], root[j])
+            root = [new if r == old else r for r in root]
+    pairs, plain = [], ngram_join.linked
+    monkeypatch.setattr(ngram_join, "linked", lambda p, s: pairs.append(p.count()) or plain(p, s))
+    got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    return dict(enumerate(root)), got, sum(pairs)
+
+
+def test_a_passage_in_many_documents_makes_few_pairs(spark, monkeypatch):
+    rng = random.Random(11)
+    passage = " ".join(words(rng, 60, 10**6))
+    texts = [" ".join(words(rng, 60, 10**6)) + f" {passage} " + " ".join(words(rng, rng.randrange(20), 10**6)) for _ in range(2000)]
+    texts += [t + " more" for t in texts[:50]]
+    want, got, pairs = joined(spark, monkeypatch, texts)
+    assert got == want and len(set(want.values())) == 2000 and pairs < 500
+
+
+def test_copies_near_the_threshold(spark, monkeypatch):
+    """Copies of one text, many of which link with some and not with others."""
+    rng, texts = random.Random(12), []
+    base = words(rng, 150, 10**6)
+    for i in range(300):
+        copy = list(base)
+        for _ in range(rng.randrange(1, 8)):
+            copy[rng.randrange(len(copy))] = f"new{rng.random()}"
+        texts.append(" ".join(copy[: len(copy) - rng.randrange(6)]))
+    want, got, _ = joined(spark, monkeypatch, texts)
+    assert got == want and 3 < len(set(want.values())) < 290
 
 
 def test_components_of_paths_and_stars(spark):

@@ -1,25 +1,30 @@
 """Documents whose sets of five-word shingles are alike, by partitioning the universe of shingles.
 
 Two sets link when their Jaccard similarity reaches a threshold. Sets of sizes a and b then differ in at most
-H = (a + b)(1 - t)/(1 + t) shingles. Sizes fall into bands that grow by 1/t, and a scheme serves the pairs whose smaller
-set is in its band. It cuts the universe of shingle hashes into m segments; two linked sets agree on at least m - H of
-them, so that for m > H they share a whole segment.
-
-What a set puts into the index is chosen by cost, for every scheme it takes part in:
-
-* *segments*: one signature for each segment in which it has shingles. Cheapest, and enough unless all segments on which
-  two linked sets agree may be empty ones, that is unless m - H or more of its segments are empty;
-* *one-deletion neighbourhoods* otherwise: half as many segments, of which at least one then differs in one shingle at
+H = (a + b)(1 - t)/(1 + t) shingles. Sizes fall into bands that grow by ``RATIO``; a band cuts the universe of shingle hashes
+into segments, about ``FINE`` for each shingle of its smallest sets. A set takes part in its own band, and in the next one if
+partners may lie there. The segments in which it has shingles are its signatures. If there are N of them, it agrees with
+any partner on N - H or more.
+
+Which of them a set indexes is chosen by cost, the number of sets that hold a signature. All signatures are counted first.
+One that no other set holds costs nothing and agrees with nobody: a set with more than H of these has no partner and goes.
+Any other set that shares c of its signatures keeps the c - (N - H) + 1 rarest ones, because the rarest one on which two
+linked sets agree is among those of both. Passages that many documents share are thus left out, unless they make up most of a
+set. Sets with H segments or fewer (small ones whose shingles fall together) index more, and all of it:
+
+* their *one-deletion neighbourhoods*: half as many segments, of which at least one then differs in one shingle at
   most, each with its signature and those of the segment without any one shingle;
-* *single shingles* where even that leaves too many segments with fewer than two shingles.
+* their *single shingles* where even that leaves too few segments with two shingles.
 
-A set that needs a costlier form knows it from its own segments, and so does every partner that the cheaper form would
-miss; no pair is lost. Candidates are verified on the whole sets.
+A set that needs such a form knows it from its own segments, and so does every partner that the cheaper form would miss.
 
-Documents with equal sets are one vertex from the start. A signature shared by many sets gives one candidate for each
-of them, to the smallest. Where the links found leave such a bucket in several components, all pairs across these are
-verified if they are few; otherwise other hubs come first, which join most of them. Components are exact, while copies
-are not expanded into all pairs.
+A signature gives one candidate for each of its sets, to the smallest, verified on the whole sets. Sets that this leaves in
+different components of one signature are compared once more by single shingles: those found in one component only
+cost nothing, a set needs 3/4 of its shingles (6/7 as the smaller of the two) in others, and keeps the rarest that this allows.
+These meet by bands of size; sizes, shared shingles and parities of parts of the universe rule pairs out where they meet.
+
+Documents with equal sets are one vertex from the start. Components are exact, while copies are not expanded into all pairs.
+Sets are known by 64 bits: about n^2 / 2^65 wrong links by chance among n different sets.
 """
 
 from __future__ import annotations
@@ -29,19 +34,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import components
-from tickloom.llm.store import kept
+from tickloom.llm.store import Steps, kept
 from tickloom.llm.text import only, slices, text_key, text_of
 
 SHINGLE, THRESHOLD = 5, 75  # words; hundredths
-HUB_ROUNDS = 1
-#: With up to so many open pairs for each set of an open bucket, all of them are verified without further hubs.
-FEW_PAIRS = 8
-#: Up to so many set identifiers are sent to the tasks that collect the candidates' sets (32 MB); beyond, all sets are joined.
-SENT_IDS = 4_000_000
+FIRST, RATIO, FINE = 3, 4, 2  # smallest set of the first band, growth of bands, segments per shingle of a band's smallest sets
+HOT = (1 << 31) - 1  # cost of signatures that are too frequent to count in one pass; all the same
+SKETCH_BITS = 512
+SIZE_STEPS = 20  # bands of size for the second comparison grow by e^(1/20)
 
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
@@ -102,40 +106,20 @@ def set_id(shingles: np.ndarray) -> int:
     return int(mix(np.array([np.add.reduce(mix(shingles), dtype=_U) + _U(len(shingles))], _U)).view(np.int64)[0])
 
 
-@lru_cache(maxsize=1)
-def _bands(limit: int = 1 << 40) -> list[int]:
-    """First sizes of the bands. Sets of less than three shingles link only with equal ones."""
-    bands = [3]
-    while bands[-1] < limit:
-        bands.append(bands[-1] * 100 // THRESHOLD + 1)
-    return bands
-
-
 def most_different(a: int, b: int) -> int:
     """The most shingles in which linked sets of these sizes differ."""
     return (a + b) * (100 - THRESHOLD) // (100 + THRESHOLD)
 
 
-def schemes(n: int) -> list[tuple[int, int, int, int]]:
-    """(scheme, segments, halved segments, most differing shingles of this set's pairs) for each scheme of a set of size n."""
-    bands, out = _bands(), []
-    k = int(np.searchsorted(bands, n, "right")) - 1
-    if k < 0:
-        return out
-    for scheme in (k, k - 1):
-        if scheme < 0:
-            continue
-        next_band = bands[scheme + 1]
-        largest = max(most_different(a, a * 100 // THRESHOLD) for a in (next_band - 1, next_band - 2, next_band - 3) if a > 0)
-        if scheme == k:
-            own = most_different(n, n * 100 // THRESHOLD)
-        elif -(-n * THRESHOLD // 100) < next_band:
-            own = most_different(n, next_band - 1)
-        else:
-            continue
-        spare = 1 + largest * 12 // 100
-        out.append((scheme, largest + 1 + spare, largest // 2 + 1 + spare, own))
-    return out
+def bands(n: int) -> list[tuple[int, int]]:
+    """(number, smallest size) of the bands of a set of size n. Sets of less than three shingles link only with equal ones."""
+    if n < FIRST:
+        return []
+    band, smallest = 0, FIRST
+    while smallest * RATIO <= n:
+        band, smallest = band + 1, smallest * RATIO
+    following = [(band + 1, smallest * RATIO)] if n * 100 // THRESHOLD >= smallest * RATIO else []
+    return [(band, smallest), *following]
 
 
 def _segments(shingles: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,23 +129,29 @@ def _segments(shingles: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray, np.
     return segment[starts], starts, np.add.reduceat(shingles, starts)
 
 
-def signatures(shingles: np.ndarray) -> np.ndarray:
-    """What a set puts into the index."""
+def signatures(shingles: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
+    """(parity, agreeing, signatures) for each band: at least so many signatures agree with any partner's.
+
+    The lowest bit of a signature is its band's parity, which tells the two bands of a set apart.
+    """
     n, out = len(shingles), []
-    for scheme, m, halved, different in schemes(n):
-        tag, tag_near, tag_single = (np.array([scheme * 3 + kind], _U) * _STEPS[0] for kind in (1, 2, 3))
-        segment, _, sums = _segments(shingles, m)
-        out.append(mix(sums + segment * _STEPS[1] + tag))
-        if m - len(segment) < m - different:
-            continue
-        segment, starts, sums = _segments(shingles, halved)
-        sizes = np.diff(np.append(starts, n))
-        where = np.repeat(np.arange(len(segment)), sizes)
-        without = (sums[where] - shingles)[sizes[where] > 1]
-        out += [mix(sums + segment * _STEPS[1] + tag_near), mix(without + segment[where][sizes[where] > 1] * _STEPS[1] + tag_near)]
-        if halved - int((sizes > 1).sum()) >= halved - different // 2:
-            out.append(mix(shingles + tag_single))
-    return np.concatenate(out) if out else np.zeros(0, _U)
+    different = most_different(n, n * 100 // THRESHOLD)
+    for band, smallest in bands(n):
+        tags = [np.array([band * 3 + kind], _U) * _STEPS[0] for kind in (1, 2, 3)]
+        segment, _, sums = _segments(shingles, FINE * smallest)
+        found = [mix(sums + segment * _STEPS[1] + tags[0])]
+        agreeing = len(segment) - different
+        if agreeing <= 0:
+            halved = max(1, FINE * smallest // 2)
+            segment, starts, sums = _segments(shingles, halved)
+            sizes = np.diff(np.append(starts, n))
+            where = np.repeat(np.arange(len(segment)), sizes)
+            without = (sums[where] - shingles)[sizes[where] > 1]
+            found += [mix(sums + segment * _STEPS[1] + tags[1]), mix(without + segment[where][sizes[where] > 1] * _STEPS[1] + tags[1])]
+            if int((sizes > 1).sum()) <= different // 2 or halved <= different // 2:
+                found.append(mix(shingles + tags[2]))
+        out.append((band & 1, max(agreeing, 1), (np.concatenate(found) & ~_U(1)) | _U(band & 1)))
+    return out
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
@@ -175,17 +165,24 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """The columns of ``docs`` but its ``text``, which has no nulls, and ``n_shingles, f``: each set's size and identifier."""
+    """The columns of ``docs`` but its ``text``, which has no nulls, and ``n_shingles, f, need0, need1``.
+
+    These are each set's size and identifier, and how many signatures must agree in its bands of even and of odd number.
+    """
     carried = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             sets = shingle_sets(_texts(batch))
-            sizes, names = ([measure(s) for s in sets] for measure in (len, set_id))
-            yield pa.RecordBatch.from_arrays([*map(batch.column, carried), pa.array(sizes, pa.int64()), pa.array(names, pa.int64())], names=[*carried, "n_shingles", "f"])
+            needs: list[list[int | None]] = [[None] * len(sets), [None] * len(sets)]
+            for row, shingles in enumerate(sets):
+                for parity, agreeing, _ in signatures(shingles):
+                    needs[parity][row] = agreeing
+            made = [pa.array(map(len, sets), pa.int64()), pa.array(map(set_id, sets), pa.int64()), *(pa.array(x, pa.int32()) for x in needs)]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, carried), *made], names=[*carried, "n_shingles", "f", "need0", "need1"])
 
     kinds = [f"{c} {docs.schema[c].dataType.simpleString()}" for c in carried]
-    return docs.mapInArrow(run, ", ".join([*kinds, "n_shingles long", "f long"]))
+    return docs.mapInArrow(run, ", ".join([*kinds, "n_shingles long", "f long", "need0 int", "need1 int"]))
 
 
 def index(docs: DataFrame) -> DataFrame:
@@ -193,150 +190,160 @@ def index(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
-            sets = {set_id(s): s for s in shingle_sets(_texts(batch)) if len(s) > 2}
-            yield pa.RecordBatch.from_arrays([pa.array(sets, pa.int64()), _lists([signatures(s) for s in sets.values()])], names=["f", "sigs"])
+            sets = {set_id(s): s for s in shingle_sets(_texts(batch)) if len(s) >= FIRST}
+            sigs = _lists([np.concatenate([sig for _, _, sig in signatures(s)]) for s in sets.values()])
+            yield pa.RecordBatch.from_arrays([pa.array(sets, pa.int64()), sigs], names=["f", "sigs"])
 
     return docs.select("text").mapInArrow(run, "f long, sigs array<long>").select("f", F.explode_outer("sigs").alias("sig")).where("sig is not null")
 
 
-def buckets(rows: DataFrame) -> DataFrame:
-    """``bucket, lo, f, many``: for every signature of several sets, each of them but the smallest, beside the smallest.
+def shared(rows: DataFrame, most_held: int = 1 << 16) -> DataFrame:
+    """``f, sig, cost`` of the signatures that several sets hold; the cost is how many sets, or ``HOT``.
 
-    Signatures of the same sets are one bucket, as far as a task sees them together; ``many`` says that there may be more
-    than two sets. Rows are sorted within partitions and read in one pass, in constant memory however large a bucket is.
+    Rows are sorted within partitions and read in one pass that holds back the last signature of a batch. One that has more
+    than ``most_held`` sets by then is ``HOT``, so that memory stays bounded however many sets hold it.
     """
 
+    def costs(sig: np.ndarray, f: np.ndarray, hot: int | None) -> pa.RecordBatch:
+        starts = np.concatenate(([0], np.flatnonzero(sig[1:] != sig[:-1]) + 1))
+        sizes = np.diff(np.append(starts, len(sig)))
+        cost = np.repeat(sizes, sizes).astype(np.int32)
+        if hot is not None:
+            cost[sig == hot] = HOT
+        many = cost > 1
+        return pa.RecordBatch.from_arrays([pa.array(f[many]), pa.array(sig[many]), pa.array(cost[many])], names=["f", "sig", "cost"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sig = f = np.zeros(0, np.int64)
-        seen: set[int] = set()
-        lo, carried = 0, False  # of the bucket that the last batch left open
+        sig = f = np.zeros(0, np.int64)  # held back
+        last: tuple[int, int] | None = None  # the last row read
+        hot: int | None = None
         for batch in batches:
             new_sig, new_f = (batch.column(c).to_numpy() for c in ("sig", "f"))
-            sig, f = np.concatenate((sig[-1:], new_sig)), np.concatenate((f[-1:], new_f))
-            fresh = np.concatenate(([True], (sig[1:] != sig[:-1]) | (f[1:] != f[:-1])))
-            sig, f = sig[fresh], f[fresh]
-            starts = np.concatenate(([0], np.flatnonzero(sig[1:] != sig[:-1]) + 1))
-            sizes = np.diff(np.append(starts, len(sig)))
-            lows = f[starts].copy()
-            if carried and len(lows):
-                lows[0] = lo
-            names = np.add.reduceat(mix(f.view(_U)), starts).view(np.int64) if len(sig) else starts
-            many = sizes > 2
-            for edge in {0, len(starts) - 1}:  # may go on beyond the batch
-                names[edge], many[edge] = sig[starts[edge]], True
-            wanted = np.flatnonzero(sizes > 1)
-            wanted = wanted[[(x := int(n)) not in seen and not seen.add(x) or e in (0, len(starts) - 1) for e, n in zip(wanted.tolist(), names[wanted])]] if len(wanted) else wanted
-            if len(seen) > 1_000_000:
-                seen.clear()
-            if len(wanted):
-                take = np.zeros(len(starts), bool)
-                take[wanted] = True
-                of = np.repeat(np.arange(len(starts)), sizes)
-                rest = take[of] & (np.arange(len(f)) != starts[of])
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (names[of][rest], lows[of][rest], f[rest], many[of][rest])], names=["bucket", "lo", "f", "many"])
-            lo, carried = int(lows[-1]), True
+            if not len(new_sig):
+                continue
+            fresh = np.concatenate(([last != (new_sig[0], new_f[0])], (new_sig[1:] != new_sig[:-1]) | (new_f[1:] != new_f[:-1])))
+            last = int(new_sig[-1]), int(new_f[-1])
+            sig, f = np.concatenate((sig, new_sig[fresh])), np.concatenate((f, new_f[fresh]))
+            if not len(sig):
+                continue
+            end, open_run = int(np.searchsorted(sig, sig[-1])), int(sig[-1])
+            before = hot
+            if open_run == hot or len(sig) - end > most_held:
+                hot = open_run
+                yield costs(sig[end:], f[end:], hot)
+                keep = len(sig)
+            else:
+                keep = end
+            if end:
+                yield costs(sig[:end], f[:end], before)
+            sig, f = sig[keep:], f[keep:]
+        if len(sig):
+            yield costs(sig, f, None)
+
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, "sig").sortWithinPartitions("sig", "f").mapInArrow(run, "bucket long, lo long, f long, many boolean")
+    return rows.repartition(n, "sig").sortWithinPartitions("sig", "f").mapInArrow(run, "f long, sig long, cost int")
 
 
-def _candidate_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``f, n, sketch, shingles`` of the sets with these identifiers, once each."""
-    spark = docs.sparkSession
-    wanted = None
-    if ids.count() <= SENT_IDS:
-        wanted = spark.sparkContext.broadcast(np.sort(ids.toArrow().column("f").to_numpy()))
+def chosen(found: DataFrame, own: DataFrame) -> DataFrame:
+    """``sig, f``: the signatures that sets index, the rarest that they cannot do without."""
+    parity = F.col("sig").bitwiseAND(1).alias("parity")
+    held = found.groupBy("f", parity).agg(F.sort_array(F.collect_list(F.struct("cost", "sig"))).alias("sigs"))
+    sizes = own.where(F.col("n_shingles") >= FIRST).select("f", "need0", "need1").distinct()
+    need = F.when(F.col("parity") == 0, F.col("need0")).otherwise(F.col("need1"))
+    spare = held.join(sizes, "f").withColumn("extra", F.size("sigs") - need).where("extra >= 0")
+    return spare.select("f", F.explode(F.slice("sigs", F.lit(1), F.col("extra") + 1)).alias("x")).select("x.sig", "f")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have: set[int] = set()
-        for batch in slices(batches, "text", 1 << 20):
-            sets = {set_id(s): s for s in shingle_sets(_texts(batch)) if len(s) > 2}
-            if wanted is not None:
-                names = np.fromiter(sets, np.int64, len(sets))
-                at = np.minimum(np.searchsorted(wanted.value, names), max(len(wanted.value) - 1, 0))
-                there = wanted.value[at] == names if len(wanted.value) else np.zeros(len(names), bool)
-                sets = {f: sets[f] for f in names[there].tolist() if f not in have}
-                have.update(sets)
-            columns = [pa.array(sets, pa.int64()), pa.array([len(s) for s in sets.values()], pa.int64()), pa.array([sketch(s) for s in sets.values()], pa.binary()), _lists(list(sets.values()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["f", "n", "sketch", "shingles"])
 
-    found = docs.select("text").mapInArrow(run, "f long, n long, sketch binary, shingles array<long>")
-    if wanted is None:
-        found = found.join(ids, "f", "left_semi")
-    return kept(found.dropDuplicates(["f"]))
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Whether the number of shingles in each of ``SKETCH_BITS`` equal parts of the universe is odd, as numbers of 64 bits."""
+    part = (shingles >> _U(64 - (SKETCH_BITS - 1).bit_length())).astype(np.int64)
+    return np.packbits(np.bincount(part, minlength=SKETCH_BITS).astype(np.uint8) & 1).view(np.int64)
 
 
-def sketch(shingles: np.ndarray) -> bytes:
-    """How many shingles fall into each of a power of two equal parts of the universe, 255 at most; about four in each."""
-    bits = max(4, (len(shingles) // 4).bit_length())
-    return np.minimum(np.bincount((shingles >> _U(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+def candidate_sets(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``f, n, sketch, shingles`` of the sets of texts whose keys ``k1, k2`` are in ``texts``, once each."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 1 << 20):
+            sets = {set_id(s): s for s in shingle_sets(_texts(batch))}
+            columns = [pa.array(sets, pa.int64()), pa.array(map(len, sets.values()), pa.int32()), _lists([sketch(s) for s in sets.values()]), _lists(list(sets.values()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["f", "n", "sketch", "shingles"])
 
-def may_link(a: bytes, b: bytes, n: int, m: int) -> bool:
-    """False if the sizes or the sketches show that two sets differ in too many shingles."""
-    if THRESHOLD * max(n, m) > 100 * min(n, m):
-        return False
-    x, y = (np.frombuffer(s, np.uint8).astype(np.int64) for s in (a, b))
-    if max(x.max(), y.max()) < 255:  # no count was cut, so that parts can be joined
-        x, y = (z if len(z) == (w := min(len(x), len(y))) else z.reshape(w, -1).sum(axis=1) for z in (x, y))
-    return len(x) != len(y) or int(np.abs(x - y).sum()) <= most_different(n, m)
+    wanted = docs.select("text", *text_key()).join(texts, ["k1", "k2"], "left_semi")
+    return wanted.select("text").mapInArrow(run, "f long, n int, sketch array<long>, shingles array<long>").dropDuplicates(["f"])
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The ``a, b`` of pairs of set identifiers whose sets link: by their sketches first, then on the whole sets."""
+    """The ``a, b`` of pairs of set identifiers whose sets link, by the whole sets."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cells = zip(*(batch.column(c).to_pylist() for c in ("sa", "sb", "na", "nb")))
-            yield batch.select(["a", "b"]).filter(pa.array([may_link(*row) for row in cells], pa.bool_()))
-
-    def side(end: str, column: str, name: str) -> DataFrame:
-        return sets.select(F.col("f").alias(end), F.col(column).alias(name + end), F.col("n").alias("n" + end))
+    def side(end: str) -> DataFrame:
+        return sets.select(F.col("f").alias(end), F.col("shingles").alias("x" + end), F.col("n").alias("n" + end))
 
-    rough = pairs.join(side("a", "sketch", "s"), "a").join(side("b", "sketch", "s"), "b")
-    near = kept(rough.select("a", "b", "sa", "sb", "na", "nb").mapInArrow(run, "a long, b long"))
-    exact = near.join(side("a", "shingles", "x"), "a").join(side("b", "shingles", "x"), "b")
-    sizes = exact.select("a", "b", F.size(F.array_intersect("xa", "xb")).alias("both"), (F.col("na") + F.col("nb")).alias("sum"))
+    met = pairs.join(side("a"), "a").join(side("b"), "b").where(100 * F.least("na", "nb") >= THRESHOLD * F.greatest("na", "nb"))
+    sizes = met.select("a", "b", F.size(F.array_intersect("xa", "xb")).alias("both"), (F.col("na") + F.col("nb")).alias("sum"))
     return sizes.where(100 * F.col("both") >= THRESHOLD * (F.col("sum") - F.col("both"))).select("a", "b")
 
 
-def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
-    return rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a <> b").distinct()
-
-
-def set_components(docs: DataFrame) -> DataFrame:
-    """``id, root``: set identifiers that are candidates, with the smallest identifier of their component."""
-    found = kept(buckets(index(docs)).distinct())
-    ids = kept(found.select(F.explode(F.array("lo", "f")).alias("f")).distinct())
-    sets = _candidate_sets(docs, ids)
-    done = kept(_pairs(found, "lo", "f"))
-    links = kept(linked(done, sets))
-    roots = kept(components(links))
-    many = found.where("many")
-    members = many.select("bucket", "f").unionAll(many.select("bucket", F.col("lo").alias("f"))).distinct()
-    for turn in range(HUB_ROUNDS + 1):
-        placed = members.join(roots, members["f"] == roots["id"], "left").select("bucket", "f", F.coalesce("root", "f").alias("root"))
-        parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-        ends = parts.groupBy("bucket").agg(F.sum("n").alias("n"), ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("open")).where("open > 0")
-        still = kept(placed.join(ends, "bucket"))
-        left = still.agg(F.coalesce(F.sum(F.col("open") / F.col("n")), F.lit(0)).alias("pairs"), F.count("*").alias("rows")).first()
-        if not left["rows"]:
-            break
-        last = turn == HUB_ROUNDS or left["pairs"] <= FEW_PAIRS * left["rows"]
-        if last:
-            other = still.select("bucket", F.col("f").alias("g"), F.col("root").alias("other"))
-            open_pairs = still.join(other, "bucket").where("root < other").select("f", "g")
-        else:
-            hub = still.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("f", F.lit(turn)).alias("order"), "f", "root")).alias("hub"))
-            open_pairs = still.join(hub, "bucket").where("root <> hub.root").select("f", F.col("hub.f").alias("g"))
-        new = kept(_pairs(open_pairs, "f", "g").join(done, ["a", "b"], "left_anti"))
-        members = still.select("bucket", "f")
-        more = kept(linked(new, sets))
-        done, links = done.unionAll(new), links.unionAll(more)
-        if not more.isEmpty():
-            roots = kept(components(links))
-        if last:
-            break
-    return roots
+def _least_both(n: Column, m: Column | None = None) -> Column:
+    """The least number of common shingles of linked sets of sizes n and m, or of the smaller one of size n and any other."""
+    total = n + (n if m is None else m)
+    return F.ceil(F.lit(THRESHOLD) * total / F.lit(100 + THRESHOLD))
+
+
+def across(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b``: pairs that may link among ``members`` (``f, root``) of different roots, by single shingles."""
+    band = lambda n: F.floor(F.lit(SIZE_STEPS) * F.log(n.cast("double"))).cast("int")
+    single = sets.join(members, "f").select("f", "root", "n", F.explode("shingles").alias("shingle"))
+    cost = single.groupBy("shingle").agg(F.count("*").alias("cost"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+    ordered = F.sort_array(F.collect_list(F.struct("cost", "shingle"))).alias("shared")
+    held = single.join(cost.select("shingle", "cost"), "shingle").groupBy("f", "root", "n").agg(ordered)
+    # Two linked sets have 3/7 of the sum of their sizes in common: so the other may be no larger than this.
+    c, n = F.size("shared"), F.col("n")
+    held = held.withColumns({"most": F.floor(F.lit(100 + THRESHOLD) * c / F.lit(THRESHOLD)).cast("int") - n})
+    sketches = sets.select("f", "sketch")
+
+    def side(least: Column, found: Column, bands: Column, end: str) -> DataFrame:
+        rows = held.withColumn("extra", c - least).where(found).where("extra >= 0").join(sketches, "f")
+        rows = rows.withColumn("x", F.explode(F.slice("shared", F.lit(1), (F.col("extra") + 1).cast("int")))).withColumn("band", F.explode(bands))
+        return rows.select(F.col("x.shingle").alias("shingle"), "band", *(F.col(x).alias(f"{x}_{end}") for x in ("f", "root", "n", "most", "sketch")))
+
+    smaller = side(_least_both(n), F.col("most") >= n, F.array(band(n)), "a")
+    lowest = F.ceil(F.lit(THRESHOLD) * n / F.lit(100)).cast("int")
+    highest = F.least(n, F.col("most"))
+    larger = side(lowest, highest >= lowest, F.sequence(band(lowest), band(F.greatest(highest, lowest))), "b")
+    differ = sum((F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
+    sizes = (F.col("n_a") <= F.col("n_b")) & (F.col("n_b") <= F.col("most_a")) & (F.col("n_a") <= F.col("most_b"))
+    alike = differ <= F.floor(F.lit(100 - THRESHOLD) * (F.col("n_a") + F.col("n_b")) / F.lit(100 + THRESHOLD))
+    a, b = smaller.alias("a"), larger.alias("b")
+    same = (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.band") == F.col("b.band"))
+    met = a.join(b, same & (F.col("root_a") != F.col("root_b")) & sizes & alike)
+    return met.select(F.least("f_a", "f_b").alias("a"), F.greatest("f_a", "f_b").alias("b")).distinct()
+
+
+def set_components(docs: DataFrame, own: DataFrame) -> DataFrame:
+    """``id, root``: identifiers of sets that link with others, and the smallest identifier of their component.
+
+    ``own`` are the stored ``document_sets`` of ``docs``, with the keys ``k1, k2`` of their texts.
+    """
+    with Steps(docs.sparkSession) as step:
+        found = step(shared(index(docs)))
+        rows = step(chosen(found, own))
+        step.over(found)
+        smallest = rows.groupBy("sig").agg(F.min("f").alias("lo"), F.max("f").alias("hi")).where("lo < hi").drop("hi")
+        held = step(rows.join(smallest, "sig"))
+        step.over(rows)
+        names = held.select("f").distinct()
+        texts = own.join(names, "f", "left_semi").groupBy("f").agg(F.min(F.struct("k1", "k2")).alias("x")).select("x.*")
+        sets = step(candidate_sets(docs, texts))
+        stars = held.where("lo <> f").select(F.col("lo").alias("a"), F.col("f").alias("b")).distinct()
+        links = step(linked(stars, sets))
+        roots = components(links)
+        placed = step(held.join(roots, held["f"] == roots["id"], "left").select("sig", "f", F.coalesce("root", "f").alias("root")))
+        step.over(held)
+        several = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
+        members = step(placed.join(several, "sig", "left_semi").select("f", "root").distinct())
+        more = step(linked(across(members, sets), sets))
+        return roots if more.isEmpty() else components(links.unionAll(more))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -348,8 +355,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     larger than all others and stays null where it is alone. An empty table gives an empty one.
     """
     rows = only(docs, id_col, text_col)
-    own = kept(document_sets(rows))
-    roots = set_components(rows)
+    own = kept(document_sets(rows.select("*", *text_key())))
+    roots = set_components(rows, own)
     placed = own.join(roots, own["f"] == roots["id"], "left").select("doc_id", "n_shingles", F.coalesce("root", "f").alias("root"))
     smallest = kept(placed.where("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("copies")).where("copies > 1"))
     joined = placed.join(smallest, "root", "left")
@@ -363,17 +370,18 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     Of linked rows that share this identifier the one with the smaller hash of its text stays, of repeated rows one.
     Documents without words stay. Null identifiers count as larger than all others.
     """
-    rows = only(docs, id_col, text_col).select("*", *text_key())
-    own = kept(document_sets(rows))
-    roots = set_components(rows)
-    placed = own.where("n_shingles > 0").join(roots, own["f"] == roots["id"], "left")
-    placed = kept(placed.select("doc_id", "k1", "k2", F.coalesce("root", "f").alias("root")))
-    groups = kept(placed.groupBy("root").agg(F.min("doc_id").alias("first_id")))
-    firsts = kept(placed.join(groups, "root").where(F.col("doc_id").eqNullSafe(F.col("first_id"))).groupBy("root", "doc_id", "k1", "k2").agg(F.count("*").alias("copies")))
-    # The rows of one component that share its smallest identifier, one row for each text of theirs.
-    stay = firsts.groupBy("root").agg(F.min(F.struct("k1", "k2", "doc_id", "copies")).alias("x")).select("x.*")
-    empty = own.where("n_shingles = 0").select("k1", "k2", "doc_id", F.lit(1).cast("long").alias("copies")).distinct()
-    stay = kept(stay.unionByName(empty).select(*(F.col(c).alias(f"_{c}") for c in ("doc_id", "k1", "k2", "copies"))))
+    rows = only(docs, id_col, text_col)
+    with Steps(docs.sparkSession) as step:
+        own = step(document_sets(rows.select("*", *text_key())))
+        roots = set_components(rows, own)
+        placed = own.where("n_shingles > 0").join(roots, own["f"] == roots["id"], "left")
+        placed = step(placed.select("doc_id", "k1", "k2", F.coalesce("root", "f").alias("root")))
+        groups = step(placed.groupBy("root").agg(F.min("doc_id").alias("first_id")))
+        firsts = step(placed.join(groups, "root").where(F.col("doc_id").eqNullSafe(F.col("first_id"))).groupBy("root", "doc_id", "k1", "k2").agg(F.count("*").alias("copies")))
+        # The rows of one component that share its smallest identifier, one row for each text of theirs.
+        stay = firsts.groupBy("root").agg(F.min(F.struct("k1", "k2", "doc_id", "copies")).alias("x")).select("x.*")
+        empty = own.where("n_shingles = 0").select("k1", "k2", "doc_id", F.lit(1).cast("long").alias("copies")).distinct()
+        stay = kept(stay.unionByName(empty).select(*(F.col(c).alias(f"_{c}") for c in ("doc_id", "k1", "k2", "copies"))))
     k1, k2 = (F.xxhash64(F.lit(n), text_of(text_col)) for n in (1, 2))
     same = F.col(f"`{id_col}`").eqNullSafe(F.col("_doc_id")) & (k1 == F.col("_k1")) & (k2 == F.col("_k2"))
     chosen = docs.join(stay.where("_copies = 1"), same)

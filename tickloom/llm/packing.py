@@ -15,6 +15,7 @@ most a few sequences partly filled.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,6 +32,9 @@ from tickloom.sources.scratch import settled
 
 LENGTH, END_ID = 1024, 2
 PER_TASK = 200_000
+#: Runs of white space of this length are cut out by themselves; the vocabulary's pattern overflows at some 700,000.
+LONG_SPACE = 1 << 16
+_SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_SPACE)
 
 
 @lru_cache(maxsize=2)
@@ -45,8 +49,18 @@ def _encoder(ranks_path: str):
 
 
 def token_ids(texts: list[str], ranks_path: str) -> list[list[int]]:
-    encode = _encoder(ranks_path).encode
-    return [encode(t, allowed_special="all") for t in texts]
+    """The ids of each text. Long runs of white space are merged as the pattern would cut them: all of a run at the end of the
+    text, elsewhere all but its last character, which starts what follows."""
+    encoder, out = _encoder(ranks_path), []
+    for text in texts:
+        ids, done = [], 0
+        for run in _SPACES.finditer(text) if len(text) >= LONG_SPACE else ():
+            end = run.end() - (run.end() < len(text))
+            ids += encoder.encode(text[done : run.start()], allowed_special="all")
+            ids += encoder._encode_single_piece(text[run.start() : end])
+            done = end
+        out.append(ids + encoder.encode(text[done:], allowed_special="all"))
+    return out
 
 
 def cut(n: int, length: int = LENGTH) -> list[tuple[int, int]]:
@@ -103,7 +117,7 @@ def packed(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset``: one row per piece of every row of ``docs``.
 
     Null and empty texts are one piece, the end id; rows that share an identifier, null included, are packed each for
-    itself; an empty table gives an empty one. Sequences are gapless from offset 0 and never longer than ``length``.
+    itself; an empty table gives an empty one. Very long texts are read whole, whatever they consist of. Sequences are gapless from offset 0 and never longer than ``length``.
     """
     cut_up = settled(pieces(docs, ranks_path, id_col, text_col, length, end_id))
     rest = cut_up.where(F.col("length") < length)
