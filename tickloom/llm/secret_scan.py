@@ -42,8 +42,9 @@ _PACKED = re.compile(rb"\x1f\x8b\x08|\x78(?=[\x01\x5e\x9c\xda])")
 #: Secrets, and whatever encodes them, are ASCII without control characters other than these, and the shortest ones have
 #: twelve characters; bytes between such pieces hold nothing to find, be they other characters, a byte order mark or noise.
 _ASCII = re.compile(rb"[\t\n\r\x20-\x7e]{12,}")
-#: Decoded layers beyond this size are not kept in memory; the text's ``n_unread`` counts them.
-MOST_BYTES = 64 << 20
+#: Unpacked data are read in windows of this size, with so much of the one before, far more than the shortest secret. All of
+#: a packed run's secrets are mapped to the whole run, so that one cut by a window shows there all the same.
+WINDOW, OVERLAP = 16 << 20, 64 << 10
 
 
 @dataclass
@@ -129,23 +130,84 @@ def _unicode(layer: Layer) -> Iterator[Layer]:
         yield _in_place(layer, "unicode", pieces)
 
 
-def unpacked(raw: bytes | memoryview) -> tuple[bytes, int] | None:
-    """What zlib or gzip data hold and their size, None if it is neither; OverflowError if that is larger than a layer may be."""
-    if len(raw) < 8 or not (raw[:2] == b"\x1f\x8b" or raw[0] == 0x78 and int.from_bytes(raw[:2], "big") % 31 == 0):
+def _looks_packed(raw: bytes | memoryview) -> bool:
+    return len(raw) >= 8 and (raw[:2] == b"\x1f\x8b" or raw[0] == 0x78 and int.from_bytes(raw[:2], "big") % 31 == 0)
+
+
+def _inflated(chunks: Iterator[bytes | memoryview], used: list[int]) -> Iterator[bytes]:
+    """What zlib or gzip data hold, all members one after the other, in pieces of ``WINDOW`` bytes at most.
+
+    Data that break off or turn out to be wrong end it. ``used`` gets the size of the complete members.
+    """
+    unpack, taken = zlib.decompressobj(47), 0
+    for chunk in chunks:
+        rest, pending = bytes(chunk), False
+        while rest or pending:
+            try:
+                out = unpack.decompress(rest, WINDOW)
+            except zlib.error:
+                return
+            if out:
+                yield out
+            left = unpack.unused_data if unpack.eof else unpack.unconsumed_tail
+            taken, rest = taken + len(rest) - len(left), left
+            pending = not unpack.eof and len(out) == WINDOW
+            if unpack.eof:
+                used[0] = taken
+                if rest and not _looks_packed(rest):
+                    return
+                unpack = zlib.decompressobj(47)
+
+
+def unpacked(raw: bytes | memoryview) -> tuple[list[str], Iterator[bytes], int] | None:
+    """The decodings, the data in pieces and the packed size of what zlib or gzip data hold, None if they are neither.
+
+    The outer layer must be complete; packed data within it are unpacked in turn, unless they come back to themselves.
+    """
+    if not _looks_packed(raw):
         return None
-    unpack = zlib.decompressobj(47)
-    try:
-        out = unpack.decompress(raw, MOST_BYTES)
-    except zlib.error:
+    used = [0]
+    for _ in _inflated(iter([raw]), used):
+        pass
+    if not used[0]:
         return None
-    if unpack.unconsumed_tail:
-        raise OverflowError
-    return (out, len(raw) - len(unpack.unused_data)) if unpack.eof else None
+
+    def pieces(depth: int) -> Iterator[bytes]:
+        data = iter([raw[: used[0]]])
+        for _ in range(depth):
+            data = _inflated(data, [0])
+        return data
+
+    depth, seen = 1, set()
+    while True:
+        head = b""
+        for piece in pieces(depth):
+            head += piece
+            if len(head) >= OVERLAP:
+                break
+        digest = hashlib.sha256(head).digest()
+        if digest in seen or not _looks_packed(head) or next(pieces(depth + 1), None) is None:
+            return ["zlib"] * depth, pieces(depth), used[0]
+        seen.add(digest)
+        depth += 1
+
+
+def _windows(pieces: Iterator[bytes]) -> Iterator[bytes]:
+    held, new = b"", False
+    for piece in pieces:
+        held, new = held + piece, True
+        if len(held) >= WINDOW:
+            yield held
+            held, new = held[-OVERLAP:], False
+    if new:
+        yield held
 
 
 def _line_before(text: str, at: int) -> tuple[int, int] | None:
     """The base64 characters at the end of the previous line, if only white space separates them from this place."""
-    end = len(text[:at].rstrip(" \t")) if text[at - 1 : at] in (" ", "\t") else at
+    end = at
+    while end and text[end - 1] in " \t":
+        end -= 1
     if text[end - 1 : end] != "\n":
         return None
     end -= 2 if text[max(0, end - 2) : end] == "\r\n" else 1
@@ -182,64 +244,62 @@ def _runs(text: str) -> Iterator[tuple[str, np.ndarray]]:
         yield from joined()
 
 
-def _base64(layer: Layer, unread: list[str]) -> Iterator[Layer]:
+def _base64(layer: Layer) -> Iterator[Layer]:
     """Layers of base64 at each of the four places where a payload may begin amid other characters of the alphabet."""
     for run, at in _runs(layer.text):
         run = run.replace("-", "+").replace("_", "/")
         for skip in range(4):
             part = run[skip : len(run) - ((len(run) - skip) % 4 == 1)]
-            yield from _decoded(layer, base64.b64decode(part + "=" * (-len(part) % 4)), at[skip:], len(part), unread)
+            yield from _decoded(layer, base64.b64decode(part + "=" * (-len(part) % 4)), at[skip:], len(part))
 
 
-def _decoded(layer: Layer, raw: bytes, at: np.ndarray, n: int, unread: list[str]) -> Iterator[Layer]:
+def _decoded(layer: Layer, raw: bytes, at: np.ndarray, n: int) -> Iterator[Layer]:
     """Layers of what ``n`` base64 characters at these places decode to: what is packed in it, and its pieces of text."""
     for m in _PACKED.finditer(raw):
-        way, more, size, inner = (*layer.way, "base64"), memoryview(raw)[m.start() :], 0, set()
-        try:
-            while (out := unpacked(more)) is not None:  # nested compression, unless it comes back to itself
-                size, more, way = size or out[1], out[0], (*way, "zlib")
-                if (digest := hashlib.sha256(more).digest()) in inner:
-                    break
-                inner.add(digest)
-        except OverflowError:
-            unread.append("/".join((*way, "zlib")))
+        if (found := unpacked(memoryview(raw)[m.start() :])) is None:
             continue
-        if inner:
-            end = m.start() + size - 1
-            end = end // 3 * 4 + end % 3 + 2  # a byte ends in the second, third or fourth character
-            own = at[m.start() // 3 * 4 : end if end < n else len(at)]
-            first, last = layer.starts[own].min(), layer.ends[own].max()
-            text = more.decode("utf-8", "replace")
-            yield Layer(text, np.broadcast_to(first, len(text)), np.broadcast_to(last, len(text)), way)
+        way, data, size = found
+        end = m.start() + size - 1
+        end = end // 3 * 4 + end % 3 + 2  # a byte ends in the second, third or fourth character
+        own = at[m.start() // 3 * 4 : end if end < n else len(at)]
+        first, last = layer.starts[own].min(), layer.ends[own].max()
+        for window in _windows(data):
+            text = window.decode("utf-8", "replace")
+            yield Layer(text, np.broadcast_to(first, len(text)), np.broadcast_to(last, len(text)), (*layer.way, "base64", *way))
     for piece in _ASCII.finditer(raw):
         a = np.arange(piece.start(), piece.end()) // 3 * 4
         yield Layer(piece[0].decode(), layer.starts[at[a]], layer.ends[at[np.minimum(a + 3, n - 1)]], (*layer.way, "base64"))
 
 
-def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, str]], int]:
-    """Base spans, spans that only a layer shows (start, kind number, end, way), and the number of layers not read."""
+def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, str]]]:
+    """Base spans, and spans that only a layer shows (start, kind number, end, way)."""
     base = find(text)
     if not ("%" in text or "\\" in text or _BASE64.search(text)):
-        return base, [], 0
+        return base, []
     here = np.arange(len(text), dtype=np.int64)
-    work, added, unread = [Layer(text, here, here + 1)], {}, []
+    added: dict[tuple[int, int, int], str] = {}
     seen = {hashlib.sha256(text.encode("utf-8", "replace")).digest()}
     have = set(base)
+    # What base64 holds is unpacked when its turn comes, and before the layer's other decodings, so that few layers are alive.
+    work: list[Iterator[Layer]] = [iter([Layer(text, here, here + 1)])]
     while work:
-        layer = work.pop()
+        if (layer := next(work[-1], None)) is None:
+            work.pop()
+            continue
         if layer.way:
+            # The same layer at another place of the text shows other spans.
+            place = f"{layer.starts.min() if len(layer.starts) else 0}:".encode()
+            digest = hashlib.sha256(place + layer.text.encode("utf-8", "replace")).digest()
+            if digest in seen:
+                continue
+            seen.add(digest)
             for start, kind, end in find(layer.text):
                 span = (int(layer.starts[start:end].min()), kind, int(layer.ends[start:end].max()))
                 if span not in have and span not in added:
                     added[span] = ">".join(layer.way)
-        for new in (*_percent(layer), *_unicode(layer), *_base64(layer, unread)):
-            # The same layer at another place of the text shows other spans.
-            place = f"{new.starts.min() if len(new.starts) else 0}:".encode()
-            digest = hashlib.sha256(place + new.text.encode("utf-8", "replace")).digest()
-            if digest not in seen:
-                seen.add(digest)
-                work.append(new)
-    return base, sorted((*span, way) for span, way in added.items()), len(set(unread))
+        work.append(iter([*_percent(layer), *_unicode(layer)]))
+        work.append(_base64(layer))
+    return base, sorted((*span, way) for span, way in added.items())
 
 
 def _joined(spans: list[tuple]) -> str:
@@ -247,16 +307,17 @@ def _joined(spans: list[tuple]) -> str:
 
 
 def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_assign, n_access, n_hex, base_spans, spans, ways, n_added, n_unread``.
+    """One row per row of ``docs``: ``doc_id, n_assign, n_access, n_hex, base_spans, spans, ways, n_added``.
 
     Spans are kind:start:end in code points, end exclusive, by start and then by kind, comma-joined; ``spans`` holds the
     base ones and those that layers add, ``ways`` the decodings that led to each added one. A null or empty text has no
-    spans; identifiers may be null or repeated; an empty table gives an empty one; other columns are not looked at.
+    spans; texts of any length, and all that they unpack to, are read whole; identifiers may be null or repeated; an empty
+    table gives an empty one; other columns are not looked at.
     """
     rows = only(docs, id_col, text_col)
     schema = (
         f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_assign long, n_access long, n_hex long, "
-        "base_spans string, spans string, ways string, n_added long, n_unread long"
+        "base_spans string, spans string, ways string, n_added long"
     )
     names = [part.split()[0] for part in schema.split(", ")]
 
@@ -264,10 +325,10 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         for batch in slices(batches, "text"):
             out = []
             for text in batch.column("text").to_pylist():
-                base, added, unread = scan(text)
+                base, added = scan(text)
                 counts = [sum(kind == k for _, kind, _ in base) for k in range(3)]
                 every = sorted([*base, *(x[:3] for x in added)])
-                out.append((*counts, _joined(base), _joined(every), ",".join(x[3] for x in added), len(added), unread))
+                out.append((*counts, _joined(base), _joined(every), ",".join(x[3] for x in added), len(added)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c) for c in zip(*out))], names=names)
 
     return rows.mapInArrow(run, schema)
