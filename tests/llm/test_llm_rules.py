@@ -9,14 +9,18 @@ import itertools
 import os
 import random
 import re
+import time
 import urllib.parse
 import zlib
 
+import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from oracle import connect, difference
@@ -68,11 +72,99 @@ def test_partly_encoded_secret_maps_to_its_characters():
     assert added("nothing to see: 100% of it, c:\\users\\x, thanonontioninerthanon") == []
 
 
-def test_cycles_end_and_large_layers_are_counted(monkeypatch):
-    text = "%25" * 50 + "%2541"
-    assert secret_scan.scan(text) == ([], [], 0)
-    monkeypatch.setattr(secret_scan, "MOST_BYTES", 1000)
-    assert secret_scan.scan("a " + b64(zlib.compress(b"x" * 5000)))[2] == 1
+def test_cycles_end():
+    assert secret_scan.scan("%25" * 50 + "%2541") == ([], [])
+
+
+@pytest.mark.parametrize("pack", [zlib.compress, gzip.compress, lambda raw: gzip.compress(raw[:4000]) + gzip.compress(raw[4000:]), lambda raw: zlib.compress(gzip.compress(raw))])
+@pytest.mark.parametrize("at", [0, 900, 2990, 7000, 7960])
+def test_layers_larger_than_a_window_are_read_whole(monkeypatch, pack, at):
+    monkeypatch.setattr(secret_scan, "WINDOW", 1000)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 100)
+    raw = bytearray(b"x " * 4000)
+    raw[at : at + 24] = b" password=hunter2secret "
+    hidden = b64(pack(bytes(raw)))
+    assert {kind for _, kind, _, _ in added(f"a {hidden} b")} == {"assign"}
+
+
+def test_a_layer_far_larger_than_its_text():
+    raw = b"\0" * (100 << 20) + b" password=hunter2secret " + b"\0" * (20 << 20)
+    assert [x[1] for x in added("a " + b64(zlib.compress(raw)))] == ["assign"]
+
+
+def test_long_prose_takes_time_in_proportion():
+    words = " ".join(f"Donaudampfschifffahrtsgesellschaft{i % 13}" for i in range(4000))
+    took = []
+    for times in (1, 8):
+        start = time.perf_counter()
+        secret_scan.scan(" ".join([words] * times))
+        took.append(time.perf_counter() - start)
+    assert took[1] < 24 * took[0]
+
+
+SPACED = ["x" + " " * 1_000_000 + "y", "x" + "\n" * 1_000_000 + "y", " \n\t" * 400_000 + "z", " " * packing.LONG_SPACE + "\n", "a\u3000" + " " * packing.LONG_SPACE + "'s", "a" + "\n" * packing.LONG_SPACE + " b" + " " * packing.LONG_SPACE]
+
+
+def test_ids_of_long_white_space():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for text, ids in zip(SPACED, packing.token_ids(SPACED, BPE)):
+        assert ids == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_and_the_last_stage_take_long_white_space(spark, sf_small):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(SPACED[:2])], "doc_id long, text string")
+    for out in (packing.packed(docs, BPE), corpus_pipeline.best_fit_packing(spark, docs, sf_small)):
+        assert {r.doc_id: r.n for r in out.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()} == {0: 1_000_002, 1: 500_004}
+
+
+@given(st.lists(st.integers(1, 12), max_size=60))
+@settings(max_examples=200, deadline=None)
+def test_sum_of_squares_equals_plain_rule(lengths):
+    """Every piece goes where the sum of squared counts of open sequences per gap becomes smallest, if any has room."""
+    gaps: dict[int, int] = {}  # gap of each sequence
+
+    def squares(state):
+        counts = [0] * 13
+        for gap in state.values():
+            counts[gap] += 1
+        return sum(c * c for c in counts[1:])
+
+    bins, offsets = packing.sum_of_squares(np.array(lengths, np.int64), 12)
+    for n, number, offset in zip(lengths, bins.tolist(), offsets.tolist()):
+        room = {gap for gap in gaps.values() if gap >= n}
+        if not room:
+            assert number not in gaps and offset == 0
+            gaps[number] = 12 - n
+            continue
+        assert offset == 12 - gaps[number]
+        after = {gap: squares({**gaps, next(k for k, g in gaps.items() if g == gap): gap - n}) for gap in room}
+        assert after[gaps[number]] == min(after.values())
+        gaps[number] -= n
+
+
+def test_benchmark_items_of_any_length(spark):
+    rng, items, docs = random.Random(8), [], []
+    for n in range(1, 20):
+        for _ in range(3):
+            item = [f"b{rng.randrange(10**6)}" for _ in range(n)]
+            items.append((len(items), " ".join(item)))
+            for changed in range(4):
+                copy = list(item)
+                for k in rng.sample(range(n), min(changed, n)):
+                    copy[k] = "other"
+                around = [f"d{rng.randrange(10**6)}" for _ in range(rng.randrange(12))]
+                docs.append((len(docs), " ".join(around + copy + around[:3])))
+    docs += [(len(docs), ""), (len(docs) + 1, None)]
+    con = duckdb.connect()
+    for name, rows, key in (("documents", docs, "doc_id"), ("benchmark", items, "item_id")):
+        frame = pd.DataFrame(rows, columns=[key, "text"])  # noqa: F841
+        con.execute(f"CREATE TABLE {name} AS SELECT * FROM frame")
+    found = spaced_seeds.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert difference(found.withColumn("item_ids", F.array_join("item_ids", ",")), con, ORACLE_SQL["op9_benchmark_decontamination"]) is None
+    hit = {r.doc_id for r in found.where("contaminated").collect()}
+    assert {d for d in range(0, 4 * len(items), 4)} <= hit and not {4 * i + 1 for i in range(15)} & hit
 
 
 def test_base_spans(spark):

@@ -96,7 +96,7 @@ OP9_SQL = """
 WITH d AS (SELECT doc_id, [w FOR w IN regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+') IF w <> ''] AS ws FROM documents),
 b AS (SELECT item_id, [w FOR w IN regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+') IF w <> ''] AS ws FROM benchmark),
 dw AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM d),
-bw AS (SELECT item_id, len(ws) AS n, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM b WHERE len(ws) >= 8),
+bw AS (SELECT item_id, len(ws) AS n, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM b),
 eq AS (SELECT DISTINCT doc_id, item_id, n, dw.p - bw.p AS shift, bw.p AS p FROM dw JOIN bw USING (w)),
 -- a best window starts with an equal word or at the last place where it fits
 starts AS (SELECT DISTINCT doc_id, item_id, n, shift, least(p, greatest(n - 15, 1)) AS s FROM eq),

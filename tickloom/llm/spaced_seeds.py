@@ -2,8 +2,8 @@
 
 Words are maximal runs of letters and digits, lower-cased. A document overlaps a benchmark item if, with the item laid
 against it at some offset, one window of ``WINDOW`` consecutive words has at least ``MATCHES`` equal words. Items shorter
-than the window are one window of their own length that needs the same share of equal words, rounded up. Items of fewer
-than ``LEAST_WORDS`` words are no evidence and match nothing.
+than the window are one window of their own length that needs the same share of equal words, rounded up: all words of items of
+five or fewer.
 
 Two fixed masks of six positions find candidates: however three substitutions fall among sixteen words, one mask has a
 place that touches none of them (the tests try all cases), so the search loses nothing. Shorter items are found by runs
@@ -24,7 +24,7 @@ from tickloom.llm.text import only, text_key
 
 #: Positions that a seed reads; the words between are ignored.
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 4, 8, 9, 10))
-WINDOW, MATCHES, LEAST_WORDS = 16, 13, 8
+WINDOW, MATCHES = 16, 13
 BLOCK_WORDS = 500_000
 
 
@@ -38,7 +38,7 @@ def short_run(n: int) -> int:
     return n // (n - short_need(n) + 1)
 
 
-SHORT_RUNS = {n: short_run(n) for n in range(LEAST_WORDS, WINDOW)}
+SHORT_RUNS = {n: short_run(n) for n in range(1, WINDOW)}
 
 
 def _word_hashes(text: str) -> Column:
@@ -55,7 +55,7 @@ def _seed(words: str, mask: tuple[int, ...], at: Column) -> Column:
 def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
     items = only(benchmark, item_col, text_col).select(F.col("doc_id").alias("item_id"), *text_key(), _word_hashes("text").alias("item_words"))
     items = items.withColumnsRenamed({"k1": "item_k1", "k2": "item_k2"}).withColumn("n_item", F.size("item_words"))
-    return items.where(F.col("n_item") >= LEAST_WORDS).distinct()
+    return items.where(F.col("n_item") > 0).distinct()
 
 
 def _item_seeds(items: DataFrame, masks: list[tuple[int, ...]]) -> DataFrame:
