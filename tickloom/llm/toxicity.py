@@ -99,6 +99,9 @@ _MARKS = {ord(c): None for c in ".,;:!?"}
 _SYMBOLS = {ord(c): None for c in "#*$%&|<>"}
 
 
+LEAST_ROWS = 20  # of a leaf of the trees
+
+
 def _with_features(rows: DataFrame, learned: dict[str, float], carry: str) -> DataFrame:
     """The columns of ``carry`` (a schema) and the features, in place of the text."""
     names = [part.split()[0] for part in carry.split(", ")]
@@ -163,7 +166,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     first, rest = fit_on.where(part > 0), fit_on.where(part == 0)
     if first.select("label").distinct().count() < 2 or rest.isEmpty():
         first = rest = fit_on
-    trees = GBTClassifier(labelCol="label", maxIter=20, maxDepth=4, stepSize=0.2, minInstancesPerNode=20 if toxic > 200 else 1, seed=1, cacheNodeIds=False)
+    trees = GBTClassifier(labelCol="label", maxIter=20, maxDepth=4, stepSize=0.2, minInstancesPerNode=LEAST_ROWS, seed=1, cacheNodeIds=False)
     model = trees.fit(assemble.transform(first).select("label", "features"))
     margin = vector_to_array("rawPrediction")[1]
     calibration = model.transform(assemble.transform(rest)).select("label", margin.alias("margin"))
