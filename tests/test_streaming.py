@@ -138,3 +138,34 @@ def test_running_accuracy(spark, tmp_path):
 def test_compute_features_chooses_the_stream(spark, tmp_path):
     df = features.compute_features(replay(spark, str(tmp_path / "in"), [[("A", 1, 1, 0)]]))
     assert df.isStreaming
+
+
+def test_messages_go_to_the_lake_or_to_the_dead_letters(spark, tmp_path):
+    good = '{"symbol":"A","price":%d,"volume":1.0,"timestamp":"2026-08-01T00:00:%02d","source":"x","idempotency_key":"%d"}'
+    messages = [good % (100 + i, i, i) for i in range(20)] + ["", "{", '{"symbol":"A"}', good % (-1, 1, 77), "é not json", None]
+    folder = str(tmp_path / "messages")
+    for part in (messages[:13], messages[13:]):
+        spark.createDataFrame([(m,) for m in part], "value string").coalesce(1).write.mode("append").parquet(folder)
+    base, dead, checkpoint = (str(tmp_path / name) for name in ("lake", "dead", "checkpoint"))
+
+    def run_all():
+        stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).parquet(folder)
+        sinks.write_decoded_stream(ingest.decode_events(stream), base, dead, checkpoint, available_now=True).awaitTermination()
+
+    def content():
+        events = sorted(r["price"] for r in lake.read_lake(spark, base).collect())
+        return events, sorted((r["payload"] or "-", r["reject_reason"]) for r in spark.read.parquet(dead).collect())
+
+    run_all()
+    events, letters = content()
+    assert events == [100.0 + i for i in range(20)]
+    assert [reason for _, reason in letters] == [reason for _, reason in sorted([
+        ("", "not a JSON object"), ("{", "not a JSON object"), ('{"symbol":"A"}', "missing fields"),
+        (good % (-1, 1, 77), "price or volume out of range"), ("é not json", "not a JSON object"), ("-", "not a JSON object"),
+    ])]
+    # The last batch is tried again, as after a crash before it was noted as done.
+    commits = tmp_path / "checkpoint" / "commits"
+    newest = max((f for f in commits.iterdir() if f.name.isdigit()), key=lambda f: int(f.name))
+    newest.unlink(), (commits / f".{newest.name}.crc").unlink(missing_ok=True)
+    run_all()
+    assert content() == (events, letters)

@@ -26,6 +26,20 @@ def parse_ticks_json(df: DataFrame, value: str = "value", keep: list[str] | None
     return df.select(*(keep or []), parsed).select(*(keep or []), "data.*")
 
 
+def decode_events(df: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
+    """Decode JSON market events and keep every message: its ``payload`` as text and, where it is no good event, why.
+
+    ``accepted`` gives the events, ``rejected`` what goes to the dead letters.
+    """
+    text = F.col(value).cast("string")
+    parsed = df.select(*(keep or []), text.alias("payload"), F.from_json(text, MARKET_EVENT).alias("data"))
+    rows = parsed.select(*(keep or []), "payload", "data.*")
+    broken = F.when(F.json_object_keys("payload").isNull(), "not a JSON object")
+    price, volume = F.col("price"), F.col("volume")
+    unreadable = F.when(F.try_to_timestamp("timestamp").isNull(), "unreadable timestamp")
+    return rows.withColumn(REJECT, F.coalesce(broken, _reason(price, volume), unreadable))
+
+
 def to_messages(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Key/value rows for a message log: keyed by symbol, the event as JSON text."""
     return df.select(
@@ -109,6 +123,17 @@ def adapt_trades(df: DataFrame, source: str = "source", payload: str = "payload"
     return _adapted(parsed, payload, F.col("_body"), trade).drop("_body", "_flat", "_nested")
 
 
+def _reason(price: Column, volume: Column) -> Column:
+    """Why the four event fields are no event; ``price`` and ``volume`` are those fields as numbers."""
+    missing = F.col("symbol").isNull() | F.col("price").isNull() | F.col("volume").isNull() | F.col("timestamp").isNull()
+    return (
+        F.when(missing, "missing fields")
+        .when(price.isNull() | volume.isNull(), "not a number")
+        .when(~is_positive(price) | ~is_non_negative(volume), "price or volume out of range")
+        .when(F.col("timestamp") == "", "empty timestamp")
+    )
+
+
 def normalize_events(df: DataFrame, source: Column | str = "unknown") -> DataFrame:
     """Check the four event fields and add source, idempotency key and receive time.
 
@@ -116,13 +141,7 @@ def normalize_events(df: DataFrame, source: Column | str = "unknown") -> DataFra
     """
     source = F.lit(source) if isinstance(source, str) else source
     price, volume = F.col("price").try_cast("double"), F.col("volume").try_cast("double")
-    missing = F.col("symbol").isNull() | F.col("price").isNull() | F.col("volume").isNull() | F.col("timestamp").isNull()
-    reason = (
-        F.when(missing, "missing fields")
-        .when(price.isNull() | volume.isNull(), "not a number")
-        .when(~is_positive(price) | ~is_non_negative(volume), "price or volume out of range")
-        .when(F.col("timestamp") == "", "empty timestamp")
-    )
+    reason = _reason(price, volume)
     earlier = F.col(REJECT) if REJECT in df.columns else F.lit(None).cast("string")
     return df.withColumns(
         {

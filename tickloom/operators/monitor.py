@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.schemas import REALIZED_AT
+
 # Upper bounds of the latency histogram in seconds; fixed values.
 LATENCY_BOUNDS = [0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0]
 
@@ -136,8 +138,12 @@ def error_ratio_alerts(
     return held(evaluations, F.col("errors") / F.col("requests") > limit, hold_s, step_s)
 
 
-def rmse_gauge(realized: DataFrame, step_s: int = STEP_SECONDS, ts: str = "timestamp") -> DataFrame:
-    """Return RMSE over everything realized so far, at each step with news. A gauge holds between steps."""
+def rmse_gauge(realized: DataFrame, step_s: int = STEP_SECONDS, ts: str | None = None) -> DataFrame:
+    """Return RMSE over everything realized so far, at each step with news. A gauge holds between steps.
+
+    An error is known from the time ``realized_at``, or, in tables without it, that of the prediction.
+    """
+    ts = ts or (REALIZED_AT if REALIZED_AT in realized.columns else "timestamp")
     error = F.col("realized_return_error")
     known = realized.where(error.isNotNull())
     end = F.unix_seconds(ts)
@@ -148,7 +154,7 @@ def rmse_gauge(realized: DataFrame, step_s: int = STEP_SECONDS, ts: str = "times
 
 
 def rmse_alerts(
-    realized: DataFrame, limit: float = RMSE_LIMIT, hold_s: int = HOLD_SECONDS, step_s: int = STEP_SECONDS, ts: str = "timestamp"
+    realized: DataFrame, limit: float = RMSE_LIMIT, hold_s: int = HOLD_SECONDS, step_s: int = STEP_SECONDS, ts: str | None = None
 ) -> DataFrame:
     """The return RMSE gauge stays above the limit for the hold time; an episode ends at the next good value."""
     gauge = rmse_gauge(realized, step_s, ts)

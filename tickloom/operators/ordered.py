@@ -94,7 +94,8 @@ def _neighbour_rows(rows: Ordering, before: int, after: int) -> DataFrame:
     """
     sizes = dict(rows.df.groupBy(SLICE).count().collect())  # one row per slice
     slices = sorted(sizes)
-    wanted: list[tuple[int, int, int, int]] = []  # slice that needs rows, slice that has them, first and last place
+    # Slice that needs rows, slice that has them, first and last place; one that meets nothing keeps the plan alike for any number.
+    wanted: list[tuple[int, int, int, int]] = [(-1, -1, 0, 0)]
     for at, target in enumerate(slices):
         missing, back = before, at - 1
         while missing > 0 and back >= 0:
@@ -106,7 +107,7 @@ def _neighbour_rows(rows: Ordering, before: int, after: int) -> DataFrame:
             source = slices[ahead]
             wanted.append((target, source, 0, min(sizes[source], missing) - 1))
             missing, ahead = missing - sizes[source], ahead + 1
-    columns = [pa.array(c, pa.int64()) for c in zip(*wanted)] or [pa.array([], pa.int64())] * 4
+    columns = [pa.array(c, pa.int64()) for c in zip(*wanted)]
     edges = rows.df.sparkSession.createDataFrame(pa.table(columns, names=["_target", "_source", "_first", "_last"]))
     # A few rows per slice.
     met = rows.df.join(F.broadcast(edges), (F.col(SLICE) == F.col("_source")) & F.col(PLACE).between(F.col("_first"), F.col("_last")))

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.columns import price_from_return, same_sign
 from tickloom.operators.ordered import carried, cut, finish, first_rows, last_rows, running
-from tickloom.schemas import MODEL_FEATURES, PREDICTION
+from tickloom.schemas import MODEL_FEATURES, PREDICTION, REALIZED_AT, STORED_PREDICTION
+from tickloom.sources.snapshots import SnapshotTable
 
 Z_95 = 1.96  # fixed value
 PREDICTION_ORDER = ["timestamp", "id"]
@@ -50,18 +51,34 @@ def prediction_rows(df: DataFrame, id_column: str, version: str = "v1") -> DataF
     )
 
 
-def save_predictions(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def predictions_table(spark: SparkSession, path: str) -> SnapshotTable:
+    """The stored predictions: files by symbol and time, changed by whole files, one commit per change."""
+    return SnapshotTable(spark, path, STORED_PREDICTION, ("symbol", "id"), ("symbol", "timestamp", "id"))
 
 
-def read_predictions(spark, path: str) -> DataFrame:
-    """Read the table; files from before a column existed give NULLs for it."""
-    stored = spark.read.option("mergeSchema", "true").parquet(path)
-    return with_all_columns(stored)
+def save_predictions(df: DataFrame, path: str) -> int:
+    """Add predictions to the table; returns the number of the commit."""
+    return predictions_table(df.sparkSession, path).append(with_all_columns(df))
+
+
+def read_predictions(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The columns of ``PREDICTION`` of the table, or of an older version of it; what a writer left out is NULL."""
+    return predictions_table(spark, path).read(version).select(*PREDICTION.names)
 
 
 def with_all_columns(stored: DataFrame) -> DataFrame:
-    return stored.sparkSession.createDataFrame([], PREDICTION).unionByName(stored, allowMissingColumns=True)
+    return stored.sparkSession.createDataFrame([], STORED_PREDICTION).unionByName(stored, allowMissingColumns=True)
+
+
+def realize_stored(table: SnapshotTable, realize: Callable[[DataFrame], DataFrame]) -> int:
+    """Realize what is waiting in the table and write it back; returns the newest commit's number.
+
+    ``realize`` is one of the functions below with its prices. Predictions that were realized before keep their errors and
+    times, and without new ones there is no commit, so that running again changes nothing.
+    """
+    before = table.read().withColumn("_open", pending())
+    after = realize(before).where(F.col("_open") & F.col("realized_error").isNotNull())
+    return table.upsert(after.select(*table.schema.names))
 
 
 def prediction_by_id(df: DataFrame, prediction_id: int) -> DataFrame:
@@ -76,9 +93,10 @@ def unrealized(df: DataFrame, symbol: str | None = None) -> DataFrame:
 # --- pairing predictions with prices --------------------------------------------------------------
 
 
-def _realized(df: DataFrame, actual: Column) -> DataFrame:
-    """Fill the two error columns where a price is known and none was recorded yet."""
+def _realized(df: DataFrame, actual: Column, at: Column) -> DataFrame:
+    """Fill the two error columns and the time where a price is known and none was recorded yet."""
     known = pending() & actual.isNotNull()
+    before = F.col(REALIZED_AT) if REALIZED_AT in df.columns else F.lit(None).cast("timestamp")
     change = (actual - F.col("current_price")) / F.col("current_price")
     return df.withColumns(
         {
@@ -86,6 +104,7 @@ def _realized(df: DataFrame, actual: Column) -> DataFrame:
             "realized_return_error": F.when(known, change - F.col("predicted_return")).otherwise(
                 F.col("realized_return_error")
             ),
+            REALIZED_AT: F.when(known, at).otherwise(before),
         }
     )
 
@@ -93,11 +112,14 @@ def _realized(df: DataFrame, actual: Column) -> DataFrame:
 def backfill_realized(predictions: DataFrame, prices: DataFrame, on: Sequence[str] = ("symbol", "timestamp")) -> DataFrame:
     """Realize predictions from a table of actual prices with exactly their time.
 
-    Adds ``newly_realized``. ``prices`` has one row per ``on`` and a column ``actual_price``.
+    Adds ``newly_realized``. ``prices`` has one row per ``on`` and a column ``actual_price``; the time it came may stand
+    in ``known_at``, else it is the prediction's own.
     """
-    joined = predictions.join(prices.select(*on, "actual_price"), list(on), "left")
+    at = F.col("known_at") if "known_at" in prices.columns else F.lit(None).cast("timestamp")
+    joined = predictions.join(prices.select(*on, "actual_price", at.alias("_known_at")), list(on), "left")
     newly = pending() & F.col("actual_price").isNotNull()
-    return _realized(joined.withColumn("newly_realized", newly), F.col("actual_price")).drop("actual_price")
+    known = _realized(joined.withColumn("newly_realized", newly), F.col("actual_price"), F.coalesce("_known_at", "timestamp"))
+    return known.drop("actual_price", "_known_at")
 
 
 def _timeline(
@@ -131,9 +153,10 @@ def realize_asof(
     zero = horizon.split()[0] in ("0", "0.0")
     due = F.col("timestamp") + F.expr(f"interval {horizon}")
     line, order = _timeline(predictions, prices, due, 1 if zero else 0, tie)
-    found = running(line, ["symbol"], order, {"_next": ("last", F.col("_price"))}, reverse=True)
-    asked = found.where(F.col("_id").isNotNull()).select("_row.*", F.col("_next").alias("actual_price"))
-    return _realized(asked, F.col("actual_price")).drop("actual_price")
+    price = F.when(F.col("_price").isNotNull(), F.struct("_price", "_at"))
+    found = running(line, ["symbol"], order, {"_next": ("last", price)}, reverse=True)
+    asked = found.where(F.col("_id").isNotNull()).select("_row.*", "_next")
+    return _realized(asked, F.col("_next._price"), F.col("_next._at")).drop("_next")
 
 
 def realize_fifo(predictions: DataFrame, prices: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
@@ -160,10 +183,11 @@ def realize_fifo(predictions: DataFrame, prices: DataFrame, tie: Sequence[str] =
     served = (
         line.where(is_price & (F.col("_prices") > lost))
         .groupBy("symbol", (F.col("_prices") - lost).alias("_number"))
-        .agg(F.min_by("_price", F.col("_prices")).alias("actual_price"))
+        .agg(F.min_by(F.struct("_price", "_at"), F.col("_prices")).alias("_served"))
     )
     asked = line.where(F.col("_id").isNotNull()).select("_row.*", F.when(waits, F.col("_waiting")).alias("_number"))
-    return _realized(asked.join(served, ["symbol", "_number"], "left"), F.col("actual_price")).drop("actual_price", "_number")
+    met = asked.join(served, ["symbol", "_number"], "left")
+    return _realized(met, F.col("_served._price"), F.col("_served._at")).drop("_served", "_number")
 
 
 # --- accuracy -------------------------------------------------------------------------------------

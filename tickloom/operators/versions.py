@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators.ordered import first_rows, last_rows
+from tickloom.sources.snapshots import CommitLog
 
 STAGING, PRODUCTION, ARCHIVED = "Staging", "Production", "Archived"
 LOG_SCHEMA = (
@@ -46,45 +47,67 @@ def production_version(log: DataFrame) -> DataFrame:
     return last_rows(live, ["model"], ["updated_at", "seq"]).select("model", "version", "test_rmse", "updated_at")
 
 
-class VersionLog:
-    """The log as a Parquet directory. Every change appends rows; nothing is rewritten."""
+Event = tuple[int, str, float | None, dict[str, str]]  # version, stage, error, tags
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
 
-    def read(self) -> DataFrame:
-        from tickloom.sources.lake import path_exists
+class VersionLog:
+    """The log as numbered commits. Every change is one commit, made from the state it follows; nothing is rewritten.
 
-        if not path_exists(self.spark, self.path):
-            return self.spark.createDataFrame([], LOG_SCHEMA)
-        return self.spark.read.schema(LOG_SCHEMA).parquet(self.path)
+    Of two writers at once one finds its number taken and makes its change anew, so that versions are never given twice and
+    a promotion archives what is live when it is committed.
+    """
 
-    def _append(self, model: str, events: list[tuple[int, str, float | None, dict[str, str]]]) -> None:
-        seq = self.read().where(F.col("model") == model).agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
-        now = datetime.now(timezone.utc)
-        rows = [(model, v, stage, rmse, tags, now, seq + i) for i, (v, stage, rmse, tags) in enumerate(events, 1)]
-        self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self.log = CommitLog(spark, path)
+
+    def read(self, upto: int | None = None) -> DataFrame:
+        """All events, or those up to a commit."""
+        events = self.log.rows(f"events array<struct<{LOG_SCHEMA}>>", upto)
+        return events.select(F.explode("events").alias("e")).select("e.*")
+
+    def _change(self, model: str, build: Callable[[DataFrame], list[Event]]) -> list[Event]:
+        """Commit the events that ``build`` makes of the model's log so far; returns them."""
+        made: list[Event] = []
+
+        def content(last: int) -> dict:
+            log = self.read(last).where(F.col("model") == model)
+            seq = log.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
+            made[:] = build(log)
+            now = datetime.now(timezone.utc).isoformat()
+            return {
+                "events": [
+                    {"model": model, "version": v, "stage": stage, "test_rmse": rmse, "tags": tags, "at": now, "seq": seq + i}
+                    for i, (v, stage, rmse, tags) in enumerate(made, 1)
+                ]
+            }
+
+        self.log.commit(content)
+        return made
 
     def register(self, model: str, rmse: float | None = None, /, **tags: object) -> int:
         """Add a version with its held-out error in Staging and return its number."""
-        last = self.read().where(F.col("model") == model).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
-        self._append(model, [(last + 1, STAGING, rmse, {k: str(v) for k, v in tags.items()})])
-        return last + 1
+
+        def new(log: DataFrame) -> list[Event]:
+            last = log.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+            return [(last + 1, STAGING, rmse, {k: str(v) for k, v in tags.items()})]
+
+        return self._change(model, new)[0][0]
 
     def promote(self, model: str, version: int, canary: bool = False) -> int:
         """Move a version to Production and archive the others; a canary tag is set before and cleared after."""
-        known = self.read().where((F.col("model") == model) & (F.col("version") == version))
-        rmse = last_rows(known, ["model"], LOG_ORDER).select("test_rmse").first()
-        if rmse is None:
-            raise ValueError(f"{model} has no version {version}")
-        live = stage_fold(self.read()).where(
-            (F.col("model") == model) & (F.col("stage") == PRODUCTION) & (F.col("version") != version)
-        )
-        events = [(r["version"], ARCHIVED, r["test_rmse"], {}) for r in live.collect()]  # at most one per promotion
-        if canary:
-            events.append((version, STAGING, rmse[0], {"canary": "true"}))
-        events.append((version, PRODUCTION, rmse[0], {"canary": "false"} if canary else {}))
-        self._append(model, events)
+
+        def moved(log: DataFrame) -> list[Event]:
+            rmse = last_rows(log.where(F.col("version") == version), ["model"], LOG_ORDER).select("test_rmse").first()
+            if rmse is None:
+                raise ValueError(f"{model} has no version {version}")
+            live = stage_fold(log).where((F.col("stage") == PRODUCTION) & (F.col("version") != version))
+            events: list[Event] = [(r["version"], ARCHIVED, r["test_rmse"], {}) for r in live.collect()]  # at most one
+            if canary:
+                events.append((version, STAGING, rmse[0], {"canary": "true"}))
+            return [*events, (version, PRODUCTION, rmse[0], {"canary": "false"} if canary else {})]
+
+        self._change(model, moved)
         return version
 
     def production_rmse(self, model: str) -> float | None:
@@ -112,7 +135,8 @@ class VersionLog:
             promotable=report["promotable"],
         )
         if save is not None:
-            self._append(model, [(version, STAGING, report["test_rmse"], {"location": save(version)})])
+            place = save(version)
+            self._change(model, lambda _: [(version, STAGING, report["test_rmse"], {"location": place})])
         if report["promotable"]:
             self.promote(model, version, canary)
         status = "promoted" if report["promotable"] else "staging_only"

@@ -181,6 +181,17 @@ def drift_report(t: Tables) -> DataFrame:
     return _report(t).drop("drifted_columns")
 
 
+@query(
+    "drifted_columns",
+    f"""WITH {_CHECKED} SELECT symbol, feature, {q6('psi')} AS psi, {q6('ks_statistic')} AS ks_statistic, {q6('ks_p_value')} AS ks_p_value
+    FROM psi JOIN ks USING (symbol, feature) WHERE {_FLAG} AND n_ref >= 2 AND n_cur >= 2""",
+)
+def drifted_columns(t: Tables) -> DataFrame:
+    """The features that the report names, one row for each symbol and feature."""
+    named = _report(t).select("symbol", F.explode("drifted_columns").alias("c"))
+    return named.select("symbol", "c.feature", "c.psi", "c.ks_statistic", "c.ks_p_value")
+
+
 @query("drift_cooldown", f"WITH {_CHECKED} SELECT symbol, cooldown_active, triggered FROM final")
 def drift_cooldown(t: Tables) -> DataFrame:
     return _report(t).select("symbol", "cooldown_active", "triggered")

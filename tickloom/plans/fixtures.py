@@ -255,7 +255,8 @@ REALIZED = PREDICTED + """,
 realized AS (
   SELECT *, actual - predicted_price AS realized_error,
          (actual - current_price) / current_price - predicted_return AS realized_return_error
-  FROM (SELECT *, lead(current_price) OVER (PARTITION BY symbol ORDER BY timestamp, id) AS actual FROM predictions))"""
+  FROM (SELECT *, lead(current_price) OVER w AS actual, lead(timestamp) OVER w AS realized_at FROM predictions
+        WINDOW w AS (PARTITION BY symbol ORDER BY timestamp, id)))"""
 BACKTEST = PREPARED + """,
 bt AS (SELECT *, CASE WHEN predicted_return > 0 THEN 1 ELSE -1 END AS signal FROM (
   SELECT symbol, event_ts, event_id, target_return AS realized_return,

@@ -109,7 +109,7 @@ def alert_error_ratio(t: Tables) -> DataFrame:
 @query(
     "alert_rmse",
     f"""WITH {REALIZED}, steps AS (
-      SELECT symbol, (epoch_us(timestamp) // 30000000 + 1) * 30 AS t, sum(realized_return_error * realized_return_error) AS sq, count(*) AS n
+      SELECT symbol, (epoch_us(realized_at) // 30000000 + 1) * 30 AS t, sum(realized_return_error * realized_return_error) AS sq, count(*) AS n
       FROM realized WHERE realized_return_error IS NOT NULL GROUP BY ALL),
     gauge AS (SELECT symbol, t, sqrt(sum(sq) OVER w / sum(n) OVER w) AS rmse, coalesce(lead(t) OVER w, t) AS until_t FROM steps
       WINDOW w AS (PARTITION BY symbol ORDER BY t)),

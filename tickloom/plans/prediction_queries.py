@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tickloom.operators import predictions, versions
 from tickloom.plans.catalog import query
 from tickloom.plans.fixtures import PREDICTED, REALIZED, TIE, VERSIONS, Tables, q6
-from tickloom.schemas import MODEL_FEATURES
+from tickloom.schemas import MODEL_FEATURES, REALIZED_AT
+from tickloom.sources.scratch import new_folder, settled
 
 _ERRORS = ["realized_error", "realized_return_error"]
 
@@ -86,6 +87,22 @@ def realize_asof(t: Tables) -> DataFrame:
     return found.select("id", "symbol", "timestamp", *_ERRORS)
 
 
+@query(
+    "predictions_after_update",
+    f"WITH {REALIZED} SELECT id, symbol, timestamp, {_shown(_ERRORS)}, realized_at, 3 AS n_commits FROM realized",
+)
+def predictions_after_update(t: Tables) -> DataFrame:
+    """The stored table after realizing half of the history, all of it, and all of it once more, which changes nothing."""
+    table = predictions.predictions_table(t.spark, new_folder(t.spark))
+    table.append(predictions.with_all_columns(t.predictions()))
+    prices = settled(t.calm_events().select("symbol", "event_ts", "price", *TIE))
+    first, last = prices.agg(F.min("event_ts"), F.max("event_ts")).first()
+    half = F.col("event_ts") <= F.lit(first + (last - first) / 2)
+    for seen in (prices.where(half), prices, prices):
+        predictions.realize_stored(table, lambda stored, seen=seen: predictions.realize_fifo(stored, seen, TIE))
+    return table.read().select("id", "symbol", "timestamp", *_ERRORS, REALIZED_AT, F.lit(table.log.latest()).alias("n_commits"))
+
+
 # --- accuracy -------------------------------------------------------------------------------------
 
 _ACCURACY = f"""count(realized_error) AS n_realized, {q6('sqrt(avg(realized_error * realized_error))')} AS rmse,

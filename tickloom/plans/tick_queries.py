@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators import drift, features, ingest, time_windows
@@ -60,6 +60,43 @@ def adapt_trades_nested(t: Tables) -> DataFrame:
     return ingest.adapt_nested_trades(t.raw_trades()).select(*_OUT)
 
 
+@query(
+    "adapt_trades_nested_all",
+    f"WITH {ME} SELECT a.*, n FROM ({_ADAPTED.replace('{reason}', 'CAST(NULL AS VARCHAR)')} WHERE event_id % 2 = 1) a, range(2) AS r(n) "
+    f"UNION ALL SELECT *, 0 FROM ({_MISSING} WHERE event_id % 2 = 0)",
+)
+def adapt_trades_nested_all(t: Tables) -> DataFrame:
+    """Every trade of a message; here each nested message holds the same trade twice."""
+    trades = ingest.adapt_nested_trades(t.raw_trades(), explode_all=True)
+    copies = Window.partitionBy("event_id").orderBy("symbol")
+    return trades.select(*_OUT, (F.row_number().over(copies) - 1).alias("n"))
+
+
+_PRICE, _VOLUME = "CAST(event_id % 500 + 1 AS VARCHAR)", "CAST(event_id % 90 AS VARCHAR)"
+_MESSAGE = f"""CASE WHEN event_id % 101 = 0 THEN substr(whole, 1, 25) WHEN event_id % 103 = 0 THEN '' WHEN event_id % 107 = 0 THEN '{{}}'
+  WHEN event_id % 109 = 0 THEN replace(whole, '"price":', '"price":-') WHEN event_id % 113 = 0 THEN replace(whole, timestamp, 'soon') ELSE whole END"""
+
+
+@query(
+    "dead_letters",
+    f"""WITH {ME}, texts AS (SELECT event_id, timestamp, '{{"symbol":"' || symbol || '","price":' || {_PRICE} || ',"volume":' || {_VOLUME} ||
+      ',"timestamp":"' || timestamp || '","source":"' || source || '"}}' AS whole FROM me)
+    SELECT event_id, CASE WHEN event_id % 101 = 0 OR event_id % 103 = 0 THEN 'not a JSON object' WHEN event_id % 107 = 0 THEN 'missing fields'
+      WHEN event_id % 109 = 0 THEN 'price or volume out of range' ELSE 'unreadable timestamp' END AS reject_reason, md5({_MESSAGE}) AS payload_md5
+    FROM texts WHERE event_id % 101 = 0 OR event_id % 103 = 0 OR event_id % 107 = 0 OR event_id % 109 = 0 OR event_id % 113 = 0""",
+)
+def dead_letters(t: Tables) -> DataFrame:
+    """Messages cut short, empty, without fields or with impossible values, kept with what they said and why they went."""
+    price, volume = (F.expr(x.replace("VARCHAR", "STRING")) for x in (_PRICE, _VOLUME))
+    whole = F.concat(
+        F.lit('{"symbol":"'), "symbol", F.lit('","price":'), price, F.lit(',"volume":'), volume,
+        F.lit(',"timestamp":"'), "timestamp", F.lit('","source":"'), "source", F.lit('"}'),
+    )
+    messages = t.market_events().select("event_id", "timestamp", whole.alias("whole")).select("event_id", F.expr(_MESSAGE).alias("value"))
+    decoded = ingest.decode_events(messages, keep=["event_id"])
+    return ingest.rejected(decoded).select("event_id", "reject_reason", F.md5("payload").alias("payload_md5"))
+
+
 @query("adapt_trades", f"WITH {ME} {_ADAPTED.replace('{reason}', 'CAST(NULL AS VARCHAR)')}")
 def adapt_trades(t: Tables) -> DataFrame:
     return ingest.adapt_trades(t.raw_trades()).select(*_OUT)

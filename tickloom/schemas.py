@@ -78,6 +78,8 @@ LAKE_PARTITION_FIELDS = [
     StructField("symbol", StringType(), True),
 ]
 
+REALIZED_AT = "realized_at"  # when the price that realized a prediction came; beside the columns below
+
 PREDICTION = StructType(
     [
         StructField("id", LongType(), False),
@@ -92,3 +94,5 @@ PREDICTION = StructType(
     ]
     + [StructField(name, DoubleType(), True) for name in MODEL_FEATURES]
 )
+
+STORED_PREDICTION = StructType(PREDICTION.fields + [StructField(REALIZED_AT, TimestampType(), True)])

@@ -27,7 +27,10 @@ def kafka_messages(
 
 
 def kafka_ticks(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
-    """Market events of a topic, decoded; broken messages are rows of NULLs that validation drops."""
+    """Market events of a topic, decoded; broken messages are rows of NULLs that validation drops.
+
+    ``decode_events`` over ``kafka_messages`` keeps them, for ``write_decoded_stream``.
+    """
     return parse_ticks_json(kafka_messages(spark, servers, topic, **options))
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tickloom.operators.ingest import to_messages
+from tickloom.operators.ingest import accepted, rejected, to_messages, validate_events
 from tickloom.sources.lake import append_batch
 
 
@@ -34,6 +35,27 @@ def write_lake_stream(
     return _start(df.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint), trigger_seconds, available_now)
 
 
+def write_decoded_stream(
+    df: DataFrame, base: str, dead_letters: str, checkpoint: str, trigger_seconds: int | None = 30, available_now: bool = False
+) -> StreamingQuery:
+    """Messages from ``decode_events``: good events to the lake, all others with payload and reason to ``dead_letters``.
+
+    A micro-batch is decoded once for both. Its dead letters lie in a folder of its number, which a second try replaces, and
+    are there before its events, so that a message is in one of the two places when the batch is done, and once.
+    """
+    batches = checkpoint.rstrip("/") + "/lake_batches"
+
+    def store(rows: DataFrame, number: int) -> None:
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rejected(rows).write.mode("overwrite").parquet(f"{dead_letters.rstrip('/')}/batch={number}")
+            append_batch(validate_events(accepted(rows).drop("payload")), base, batches, number)
+        finally:
+            rows.unpersist()
+
+    return _start(df.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint), trigger_seconds, available_now)
+
+
 write_raw_stream = write_lake_stream
 write_features_stream = write_lake_stream
 
