@@ -20,8 +20,8 @@ A set that needs such a form knows it from its own segments, and so does every p
 
 A signature gives one candidate for each of its sets, to the smallest, verified on the whole sets. Sets that this leaves in
 different components of one signature are compared once more by single shingles: those found in one component only
-cost nothing, a set needs 3/4 of its shingles (6/7 as the smaller of the two) in others, and keeps the rarest that this allows.
-These meet by bands of size; sizes, shared shingles and parities of parts of the universe rule pairs out where they meet.
+cost nothing, a set needs 3/7 of both sizes in others, and keeps the rarest that this allows for each band of sizes that
+partners may have. Sets meet by these; sizes, shared shingles and parities of parts of the universe rule pairs out there.
 
 Documents with equal sets are one vertex from the start. Components are exact, while copies are not expanded into all pairs.
 Sets are known by 64 bits: about n^2 / 2^65 wrong links by chance among n different sets.
@@ -45,7 +45,7 @@ SHINGLE, THRESHOLD = 5, 75  # words; hundredths
 FIRST, RATIO, FINE = 3, 4, 2  # smallest set of the first band, growth of bands, segments per shingle of a band's smallest sets
 HOT = (1 << 31) - 1  # cost of signatures that are too frequent to count in one pass; all the same
 SKETCH_BITS = 512
-SIZE_STEPS = 20  # bands of size for the second comparison grow by e^(1/20)
+SIZE_STEPS = 40  # bands of size for the second comparison grow by e^(1/40)
 
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
@@ -302,15 +302,17 @@ def across(members: DataFrame, sets: DataFrame) -> DataFrame:
     held = held.withColumns({"most": F.floor(F.lit(100 + THRESHOLD) * c / F.lit(THRESHOLD)).cast("int") - n})
     sketches = sets.select("f", "sketch")
 
-    def side(least: Column, found: Column, bands: Column, end: str) -> DataFrame:
-        rows = held.withColumn("extra", c - least).where(found).where("extra >= 0").join(sketches, "f")
-        rows = rows.withColumn("x", F.explode(F.slice("shared", F.lit(1), (F.col("extra") + 1).cast("int")))).withColumn("band", F.explode(bands))
+    def side(found: Column, bands: Column, least: Column, end: str) -> DataFrame:
+        rows = held.where(found).withColumn("band", F.explode(bands)).withColumn("extra", c - least).where("extra >= 0").join(sketches, "f")
+        rows = rows.withColumn("x", F.explode(F.slice("shared", F.lit(1), (F.col("extra") + 1).cast("int"))))
         return rows.select(F.col("x.shingle").alias("shingle"), "band", *(F.col(x).alias(f"{x}_{end}") for x in ("f", "root", "n", "most", "sketch")))
 
-    smaller = side(_least_both(n), F.col("most") >= n, F.array(band(n)), "a")
+    smaller = side(F.col("most") >= n, F.array(band(n)), _least_both(n), "a")
     lowest = F.ceil(F.lit(THRESHOLD) * n / F.lit(100)).cast("int")
     highest = F.least(n, F.col("most"))
-    larger = side(lowest, highest >= lowest, F.sequence(band(lowest), band(F.greatest(highest, lowest))), "b")
+    # The more shingles partners of a band have, the more are in common with each, and the fewer must be looked up.
+    first = F.greatest(lowest, F.floor(F.exp(F.col("band") / F.lit(SIZE_STEPS))).cast("int"))
+    larger = side(highest >= lowest, F.sequence(band(lowest), band(F.greatest(highest, lowest))), _least_both(n, first), "b")
     differ = sum((F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
     sizes = (F.col("n_a") <= F.col("n_b")) & (F.col("n_b") <= F.col("most_a")) & (F.col("n_a") <= F.col("most_b"))
     alike = differ <= F.floor(F.lit(100 - THRESHOLD) * (F.col("n_a") + F.col("n_b")) / F.lit(100 + THRESHOLD))
