@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.llm.store import kept
 from tickloom.llm.text import text_key, text_of
-from tickloom.sources.scratch import settled
 
 #: A line counts if it has a character outside the six ASCII white-space characters.
 _WORD = r"[^\x20\x09-\x0D]"
@@ -50,7 +50,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     windows, w = _windows(_keyed(docs, id_col, text_col)), ["w1", "w2"]
     counts = windows.groupBy(*w).agg(F.count("*").alias("times"), F.min("doc_id").alias("first_id"))
     # Stored, so that both sides of the join are plain exchanges, of which Spark splits a hot window's partition.
-    repeated = settled(counts.where("times > 1").drop("times"))
+    repeated = kept(counts.where("times > 1").drop("times"))
     found = windows.join(repeated, w)
     elsewhere = ~F.col("doc_id").eqNullSafe(F.col("first_id"))
     # Within the first document, its first place stays; one task at most ranks the places of one identifier.
@@ -74,9 +74,9 @@ def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
     joined = docs.join(gone, same, "left")
     lines = F.split(text, "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed"))
-    kept = F.when(F.col("_removed").isNull(), text).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
+    left = F.when(F.col("_removed").isNull(), text).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
     return joined.select(
-        *(kept.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns),
+        *(left.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns),
         F.coalesce(F.size(lines), F.lit(1)).cast("long").alias("_n_lines"),
         F.coalesce(F.array_size("_removed"), F.lit(0)).cast("long").alias("_n_removed"),
     )
