@@ -18,14 +18,13 @@ identifiers are kept and count as larger than all others. Other columns pass thr
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import line_windows, ngram_join, packing, repetition, spaced_seeds
+from tickloom.llm.store import kept
 from tickloom.llm.text import text_of
-from tickloom.sources.scratch import shared_dir
+from tickloom.sources.scratch import new_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,8 +66,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_dir(spark)}/tickloom-{spark.sparkContext.applicationId}/pipeline-{uuid.uuid4().hex}"
+    folder = new_folder(spark)
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        docs = kept(stage(spark, docs, sf_dir), f"{folder}/{name}")  # shuffle files of a stage go when it is written
     return docs
