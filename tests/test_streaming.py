@@ -90,6 +90,25 @@ def test_time_windows_in_a_stream(spark, tmp_path):
         assert all(mine[c] == pytest.approx(other[c]) for c in mine if c not in ("window", "symbol")), (mine, other)
 
 
+def test_time_windows_of_several_symbols_keep_few_rows(spark, tmp_path):
+    rnd = random.Random(6)
+    rows = [(rnd.choice("AB"), 100 + rnd.randrange(50), 1 + rnd.randrange(3), 2 * i + rnd.randrange(2)) for i in range(900)]
+    late = rows[400:420]  # within the watermark
+    parts = [rows[:400] + rows[420:430], late + rows[430:600], rows[600:], [("A", 1, 1, 100_000), ("B", 1, 1, 100_000)], [("A", 1, 1, 200_000)]]
+    stream = stream_time_window_features(replay(spark, str(tmp_path / "in"), parts), duration="30 seconds")
+    query = sinks.run_stream(stream, str(tmp_path / "out"), available_now=True)
+    query.awaitTermination()
+    out = spark.read.schema(stream.schema).parquet(str(tmp_path / "out")).where("window.end < timestamp'2026-08-01 12:00:00'").collect()
+    want = {(r["symbol"], r["window"]["start"]): r for r in time_windows.time_window_features(ticks(spark, rows), "30 seconds").collect()}
+    assert {(r["symbol"], r["window"]["start"]) for r in out} == want.keys()
+    for r in out:
+        mine, other = r.asDict(), want[r["symbol"], r["window"]["start"]].asDict()
+        assert all(mine[c] == pytest.approx(other[c]) for c in mine if c not in ("window", "symbol")), (mine, other)
+    # Copies follow the bars, at most 40 windows of 30 seconds for each, and not the ticks.
+    held = max(sum(op["numRowsTotal"] for op in progress["stateOperators"]) for progress in query.recentProgress)
+    assert held <= 2 * (30 + 45) + 2 * 60 + 2 * 45
+
+
 def test_stream_dedup(spark, tmp_path):
     df = replay(spark, str(tmp_path / "in"), [[("A", 1, 1, 0, "k1"), ("A", 1, 1, 1, "k1")], [("A", 1, 1, 2, "k1"), ("A", 1, 1, 3, "k2")]])
     out = run(ingest.dedup_stream(ingest.validate_events(df)), str(tmp_path / "out"))

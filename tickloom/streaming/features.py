@@ -12,7 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tickloom.operators.features import LONG, SHORT, tick_order
 from tickloom.operators.ingest import validate_events
-from tickloom.operators.time_windows import BASE_COLUMNS, _DERIVED, HORIZONS, derive_window_columns, tumbling_bars
+from tickloom.operators.time_windows import BASE_COLUMNS, _DERIVED, HORIZONS, derive_window_columns, seconds_of, tumbling_bars
 from tickloom.schemas import FEATURE_ROW, STREAM_STATE, TICK_FEATURES
 
 
@@ -100,17 +100,24 @@ def stream_time_window_features(
 ) -> DataFrame:
     """Bars with 5 and 20 minute means from a stream, each bar once its windows are complete.
 
-    Each aggregate carries the time its window ends as event time; bars and means meet on that and the
-    symbol, which Spark can bound with the watermark.
+    Two aggregates in a row: ticks into bars, and finished bars, by the time of their end, into the sliding windows that cover
+    them. A window hands out the bar that ends it, beside the means of all its bars, so that only bars are copied into
+    windows and nothing is joined.
     """
+    step, lengths = seconds_of(df, duration), {name: seconds_of(df, horizon) for name, horizon in HORIZONS.items()}
+    if any(length % step for length in lengths.values()):
+        raise ValueError(f"a window of {duration} does not divide the horizons {sorted(HORIZONS.values())}")
     valid = validate_events(df).withWatermark("event_ts", watermark)
-    bars = tumbling_bars(valid, duration, tick_order(valid, tie))
-    bars = bars.withColumn("_end", F.window_time("window")).drop("window", "_price_sum", "_ticks")  # one event time only
-    for name, horizon in HORIZONS.items():
-        means = valid.groupBy(F.window("event_ts", horizon, duration).alias("_w"), "symbol").agg(F.avg("price").alias(name))
-        means = means.select(F.window_time("_w").alias("_end"), "symbol", name)
-        bars = bars.join(means, ["symbol", "_end"], "left")
-    end = F.col("_end") + F.expr("interval 1 microsecond")
-    window = F.struct((end - F.expr(f"interval {duration}")).alias("start"), end.alias("end"))
-    bars = bars.withColumn("window", window)
+    bars = tumbling_bars(valid, duration, tick_order(valid, tie)).withColumn("_at", F.window_time("window")).drop("window")
+    covered = bars.withColumn("_w", F.window("_at", f"{max(lengths.values())} seconds", f"{step} seconds"))
+    end, at = F.col("_w.end"), F.col("_at")
+    sums = {}
+    for name, length in lengths.items():
+        inside = at >= end - F.make_dt_interval(secs=F.lit(length))
+        sums[name] = F.sum(F.when(inside, F.col("_price_sum"))) / F.sum(F.when(inside, F.col("_ticks")))
+    last = at >= end - F.make_dt_interval(secs=F.lit(step))
+    own = [F.max(F.when(last, F.col(c))).alias(c) for c in BASE_COLUMNS]
+    made = covered.groupBy("_w", "symbol").agg(F.count_if(last).alias("_own"), *own, *(c.alias(n) for n, c in sums.items()))
+    window = F.struct((end - F.make_dt_interval(secs=F.lit(step))).alias("start"), end.alias("end"))
+    bars = made.where(F.col("_own") > 0).withColumn("window", window)
     return derive_window_columns(bars).select("window", "symbol", *BASE_COLUMNS, *HORIZONS, *_DERIVED)
