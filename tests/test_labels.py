@@ -132,3 +132,9 @@ def test_variance_at_high_prices(spark):
     got = labels.regression_metrics(spark.createDataFrame(rows, "y double, p double"), "y", "p").first()["var"]
     mean = sum(y for y, _ in rows) / len(rows)
     assert got == pytest.approx(sum((p - mean) ** 2 for _, p in rows) / len(rows), rel=1e-6)
+
+
+def test_walk_forward_in_parallel_gives_the_same(spark):
+    prepared = labels.prepare_training(rising(spark, 120))
+    one, many = (training.walk_forward_validate(prepared, 3, maxIter=2, maxDepth=2, parallel=k) for k in (1, 3))
+    assert one == many and [r["window"] for r in many] == [0, 1, 2]

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -52,35 +53,32 @@ def train_and_evaluate(
 ) -> dict:
     """Prepare, split in time, fit, gate against the baselines and production, back-test on the test period.
 
-    The prepared rows are computed once and kept on the executors; if one is lost they are recomputed.
+    The prepared rows are computed once and stored, so that every pass of the fit reads them, and a lost executor costs nothing.
     """
     spark = raw.sparkSession
     keep = list(dict.fromkeys([*(tie or []), *keep]))
-    prepared = labels.prepare_training(raw, tie, keep).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        train_df, validate_df, test_df = labels.chronological_split(prepared, train, validate)
-        model, report = train_gbt(train_df, validate_df, **params)
-        predicted = model.transform(test_df)
-        report["test_rmse"] = metrics_of(predicted)["rmse"]
-        report["zero_return_rmse"] = labels.zero_return_baseline(test_df).first()["rmse"]
-        report["persistence_rmse"] = labels.persistence_baseline(test_df).first()["rmse"]
-        report["production_rmse"] = production_rmse
-        one = spark.createDataFrame(
-            [(report["test_rmse"], report["zero_return_rmse"], production_rmse)],
-            "test_rmse double, zero_return_rmse double, production_rmse double",
-        )
-        decision = labels.promotion_gate(one, min_baseline_pct=baseline_min_improvement_pct).first()
-        report.update({c: decision[c] for c in ("beats_baseline", "beats_production", "promotable")})
-        trades = predicted.select(
-            "symbol", *tick_order(predicted, tie), F.col("prediction").alias("predicted_return"),
-            F.col(TARGET).alias("realized_return"),
-        )
-        order = tick_order(trades, tie)
-        report["backtest"] = backtest_summary(trades, (), [order[0], "symbol", *order[1:]]).first().asDict()
-        report["model"] = model
-        return report
-    finally:
-        prepared.unpersist()
+    prepared = settled(labels.prepare_training(raw, tie, keep))
+    train_df, validate_df, test_df = labels.split_times(prepared, train, validate, stored=True).parts(prepared)
+    model, report = train_gbt(train_df, validate_df, **params)
+    predicted = model.transform(test_df)
+    report["test_rmse"] = metrics_of(predicted)["rmse"]
+    report["zero_return_rmse"] = labels.zero_return_baseline(test_df).first()["rmse"]
+    report["persistence_rmse"] = labels.persistence_baseline(test_df).first()["rmse"]
+    report["production_rmse"] = production_rmse
+    one = spark.createDataFrame(
+        [(report["test_rmse"], report["zero_return_rmse"], production_rmse)],
+        "test_rmse double, zero_return_rmse double, production_rmse double",
+    )
+    decision = labels.promotion_gate(one, min_baseline_pct=baseline_min_improvement_pct).first()
+    report.update({c: decision[c] for c in ("beats_baseline", "beats_production", "promotable")})
+    trades = predicted.select(
+        "symbol", *tick_order(predicted, tie), F.col("prediction").alias("predicted_return"),
+        F.col(TARGET).alias("realized_return"),
+    )
+    order = tick_order(trades, tie)
+    report["backtest"] = backtest_summary(trades, (), [order[0], "symbol", *order[1:]]).first().asDict()
+    report["model"] = model
+    return report
 
 
 def walk_forward_parts(df: DataFrame, n: int = 5, train: float = 0.7, compat: bool = False) -> DataFrame:
@@ -112,30 +110,34 @@ def walk_forward_validate(
     features: Sequence[str] = MODEL_FEATURES,
     tie: Sequence[str] | None = None,
     compat: bool = False,
+    parallel: int = 4,
     **params,
 ) -> list[dict]:
-    """Fit one model per chunk and compare it with the baselines. Empty chunks are skipped."""
-    parts = walk_forward_parts(df, n, train, compat).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        results = []
-        counts = {r["chunk"]: r["count"] for r in parts.groupBy("chunk").count().collect()}  # n rows
-        for i in sorted(counts):
-            chunk = parts.where(F.col("chunk") == i)
-            ahead = chunk.where(F.col("part") == "val")
-            _, report = train_gbt(chunk.where(F.col("part") == "train"), ahead, features, **params)
-            zero = labels.zero_return_baseline(ahead).first()["rmse"]
-            average = labels.moving_average_baseline(ahead, 5, tie).first()["rmse"]
-            results.append(
-                {
-                    "window": i,
-                    "train_rmse": report["train_rmse"],
-                    "val_rmse": report["val_rmse"],
-                    "zero_return_rmse": zero,
-                    "ma_rmse": average,
-                    "beats_zero_return": report["val_rmse"] < zero,
-                    "beats_ma": report["val_rmse"] < average,
-                }
-            )
-        return results
-    finally:
-        parts.unpersist()
+    """Fit one model per chunk and compare it with the baselines. Empty chunks are skipped.
+
+    ``parallel`` chunks are worked on at a time, each as jobs in a scheduler pool of its own, over one stored table: the
+    many short jobs of a fit leave most executors idle while one chunk is fitted alone.
+    """
+    spark = df.sparkSession
+    parts = settled(walk_forward_parts(df, n, train, compat))
+    chunks = sorted(r["chunk"] for r in parts.select("chunk").distinct().collect())  # n rows
+
+    def fitted(i: int) -> dict:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"walk-forward-{i}")
+        chunk = parts.where(F.col("chunk") == i)
+        ahead = chunk.where(F.col("part") == "val")
+        _, report = train_gbt(chunk.where(F.col("part") == "train"), ahead, features, **params)
+        zero = labels.zero_return_baseline(ahead).first()["rmse"]
+        average = labels.moving_average_baseline(ahead, 5, tie).first()["rmse"]
+        return {
+            "window": i,
+            "train_rmse": report["train_rmse"],
+            "val_rmse": report["val_rmse"],
+            "zero_return_rmse": zero,
+            "ma_rmse": average,
+            "beats_zero_return": report["val_rmse"] < zero,
+            "beats_ma": report["val_rmse"] < average,
+        }
+
+    with ThreadPoolExecutor(max(1, parallel)) as workers:
+        return list(workers.map(inheritable_thread_target(spark)(fitted), chunks))
