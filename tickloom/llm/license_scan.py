@@ -4,7 +4,8 @@ A paragraph is a run of lines between blank ones. Each of its lines, the paragra
 template's words are wrapped are texts to classify. A multinomial logistic regression over sparse word n-grams (one to
 three words) gives each a licence family or the class of unknown ones; it is trained on notices built from templates and
 on lines of the corpus that share no run of three words with any of them. A family's probability is calibrated by logistic
-regression on rows that training leaves out, and one below ``CERTAIN`` is unknown. A prediction is confirmed by comparing
+regression on rows that training leaves out, other forms of the same templates among them, so that it is too high for
+wordings that no template has; one below ``CERTAIN`` is unknown. A prediction is confirmed by comparing
 the text with the family's templates: a large enough share of a template's runs of three words must stand in it.
 """
 
@@ -210,8 +211,12 @@ def _logistic(x: list[float], y: list[int]) -> tuple[float, float]:
 def train(docs: DataFrame, negatives: int = NEGATIVES) -> Model:
     """Fit on the templates' notices and on ``negatives`` paragraphs of ``docs``, which has ``text`` without nulls."""
     spark = docs.sparkSession
-    lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).where((F.trim("line") != "") & (F.length("line") <= EXAMPLE)).distinct()
-    drawn = [r["line"] for r in lines.orderBy(F.xxhash64("line"), "line").limit(negatives).collect()]
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).where((F.trim("line") != "") & (F.length("line") <= EXAMPLE))
+    # Those with small hashes: about twice as many as are wanted, so that only these are compared, sorted and sent.
+    different = lines.agg(F.approx_count_distinct("line")).first()[0]
+    bound = int(-(1 << 63) + min(1.0, 2 * negatives / max(1, different)) * ((1 << 64) - 1))
+    few = lines.where(F.xxhash64("line") <= F.lit(min(bound, (1 << 63) - 1))).distinct()
+    drawn = [r["line"] for r in few.orderBy(F.xxhash64("line"), "line").limit(negatives).collect()]
     known = set().union(*(_threes(words_of(t)) for ts in TEMPLATES.values() for t in ts))
     rows = examples([p for p in drawn if not _threes(words_of(p)) & known])
     number: dict[str, int] = {}
