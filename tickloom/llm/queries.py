@@ -179,6 +179,37 @@ chain AS (SELECT word, word AS node, 0 AS steps FROM forms UNION ALL SELECT c.wo
 SELECT word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, arg_max(node, steps) AS root FROM chain GROUP BY word) USING (word)
 """.replace("CRC", _CRC32.format(text="named"))
 
+OP3_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS ws FROM documents),
+s AS (SELECT doc_id, hash(unnest(CASE WHEN len(ws) >= 5 THEN list_distinct([array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)])
+  WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END)) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * n_both >= 75 * (na.n + nb.n - n_both)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
+# Bytes as pairs of hexadecimal digits.
+OP4_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+strings AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS m FROM (SELECT doc_id, h, unnest(range(0, strlen(h) // 2 - 199)) AS i FROM d)),
+starts AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY m) AS n FROM strings) WHERE n > 1),
+marked AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER w + 200 THEN 1 ELSE 0 END AS opens FROM starts WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+numbered AS (SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
+spans AS (SELECT doc_id, span, min(i) AS a, max(i) + 200 AS b FROM numbered GROUP BY doc_id, span),
+pieces AS (
+  SELECT doc_id, a AS place, coalesce(lag(b) OVER w, 0) AS from_byte, a AS to_byte FROM spans WINDOW w AS (PARTITION BY doc_id ORDER BY a)
+  UNION ALL SELECT d.doc_id, strlen(h) // 2, coalesce(max(b), 0), strlen(h) // 2 FROM d LEFT JOIN spans ON spans.doc_id = d.doc_id GROUP BY d.doc_id, h),
+kept AS (SELECT d.doc_id, sha256(unhex(string_agg(substr(h, 2 * from_byte + 1, 2 * (to_byte - from_byte)), '' ORDER BY place))) AS kept_sha256 FROM d JOIN pieces USING (doc_id) GROUP BY d.doc_id),
+removed AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id, strlen(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_toxicity": op2_toxicity,
@@ -195,6 +226,8 @@ QUERIES: dict[str, Query] = {
     "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op3_ngram_jaccard_join": OP3_SQL,
+    "op4_suffix_array_dedup": OP4_SQL,
     "op8_line_dedup": OP8_SQL,
     "op9_benchmark_decontamination": OP9_SQL,
     "op11_importance_resampling": OP11_SQL,
