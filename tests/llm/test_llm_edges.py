@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tickloom.llm import license_scan, line_windows, ngram_join, packing, repetition, secret_scan, spaced_seeds, subword_lattice, suffix_buckets, toxicity
+from tickloom.llm import importance, license_scan, line_windows, ngram_join, packing, repetition, secret_scan, spaced_seeds, subword_lattice, suffix_buckets, toxicity
 
 BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -39,6 +39,7 @@ PER_ROW = {
     "lines": lambda s, d: line_windows.without_repeated_lines(d),
     "seeds": lambda s, d: spaced_seeds.contaminated(d, benchmark(s)),
     "lattice": lambda s, d: subword_lattice.scored(d, PIECES),
+    "importance": lambda s, d: importance.resampled(d, benchmark(s)),
 }
 
 

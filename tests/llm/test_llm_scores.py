@@ -90,7 +90,7 @@ def test_scores_equal_brute_force(spark, sf_small, monkeypatch, common):
 
 
 def test_toxicity_on_held_out_rows(spark):
-    sf = "/root/testdata/sf0.1"  # about 3,000 rows to learn from; with the 300 of sf0.01 the figure is 0.80
+    sf = "/root/testdata/sf0.1"  # about 3,000 rows to learn from; with the 300 of sf0.01 the figure is 0.87
     got = {r.doc_id: r for r in QUERIES["op2_toxicity"](spark, sf).collect()}
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) and r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in got.items())
