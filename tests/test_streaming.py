@@ -13,7 +13,7 @@ from tickloom.sources import lake
 from tickloom.sources import ticks as sources
 from tickloom.streaming import sinks
 from tickloom.streaming.accuracy import show_running_accuracy
-from tickloom.streaming.features import stream_tick_features, stream_time_window_features
+from tickloom.streaming.features import stream_ordered_tick_features, stream_tick_features, stream_time_window_features
 
 
 def replay(spark, folder, parts, files_per_trigger=1):
@@ -65,6 +65,30 @@ def test_late_tick_is_appended_or_dropped(spark, tmp_path):
     assert {r["price"]: r["price_change"] for r in dropped.collect()} == {100: None, 110: 10, 120: 10, 60: -60}
 
 
+@pytest.mark.parametrize("parts", [1, 4, 9])
+def test_ticks_in_any_order_within_the_delay(spark, tmp_path, parts):
+    rnd = random.Random(parts)
+    rows = [(rnd.choice("ABC"), 100 + rnd.randrange(40), 1 + rnd.randrange(5), i // 2, f"k{i:03d}") for i in range(240)]
+    arrival = sorted(rows, key=lambda r: r[3] + rnd.uniform(0, 29))  # up to 29 seconds late
+    size = -(-len(arrival) // parts)
+    closing = [[("A", 1, 1, 9_000, "x"), ("B", 1, 1, 9_000, "y"), ("C", 1, 1, 9_000, "z")]]
+    stream = replay(spark, str(tmp_path / "in"), [arrival[i : i + size] for i in range(0, len(arrival), size)] + closing)
+    out = run(stream_ordered_tick_features(stream, "30 seconds"), str(tmp_path / "out")).collect()
+    want = features.compute_features(ticks(spark, rows), "batch").collect()
+
+    def plain(found):
+        return sorted([r["symbol"], str(r["event_ts"]), *(None if r[c] is None else round(r[c], 9) for c in TICK_FEATURES[2:])] for r in found)
+
+    got, expected = plain(out), plain(want)
+    assert [[repr(x) for x in r] for r in got] == [[repr(x) for x in r] for r in expected] and len(got) == 240
+
+
+def test_ticks_later_than_the_delay_are_dropped(spark, tmp_path):
+    parts = [[("A", 100, 1, 0), ("A", 110, 1, 100)], [("A", 120, 1, 200), ("A", 115, 1, 150)], [("A", 50, 1, 10), ("A", 130, 1, 195)], [("A", 1, 1, 9_000)]]
+    out = run(stream_ordered_tick_features(replay(spark, str(tmp_path / "in"), parts), "60 seconds"), str(tmp_path / "out")).collect()
+    assert {r["price"]: r["price_change"] for r in out} == {100: None, 110: 10, 115: 5, 130: 15, 120: -10}
+
+
 def test_state_with_a_lifetime(spark, tmp_path):
     df = stream_tick_features(replay(spark, str(tmp_path / "in"), [[("A", 1, 1, 0)], [("A", 2, 1, 1)]]), ttl_ms=3_600_000)
     query = df.writeStream.format("memory").queryName("aging").option("checkpointLocation", str(tmp_path / "c")).start()

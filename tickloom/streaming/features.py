@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from tickloom.operators.features import LONG, SHORT, tick_order
 from tickloom.operators.ingest import validate_events
@@ -95,6 +96,60 @@ def stream_tick_features(
     return valid.groupBy("symbol").applyInPandasWithState(_update(order, ttl_ms, late_after is not None), FEATURE_ROW, STREAM_STATE, "append", timeout)
 
 
+_HELD = "_held_"  # prefix of the state's columns of ticks that wait
+
+
+def _update_in_order(columns: Sequence[str], ttl_ms: int | None):
+    """State function: hold ticks back until the watermark has passed them, then emit their features in order.
+
+    ``columns`` are the time in microseconds, the tie-breaks, price and volume. The state is the last ticks that were emitted,
+    and one list for each column of those that wait.
+    """
+    order = list(columns[:-2])
+
+    def step(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        prices, volumes, *waiting = (list(part) for part in state.get) if state.exists else ([], [], *([] for _ in columns))
+        held = pd.DataFrame(dict(zip(columns, waiting)))
+        if state.hasTimedOut and held.empty:
+            state.remove()
+            return
+        new = [part[list(columns)] for part in batches if len(part)]
+        held = pd.concat([*([held] if len(held) else []), *new], ignore_index=True) if new else held
+        held = held.sort_values(order, kind="stable", ignore_index=True)
+        until = state.getCurrentWatermarkMs() * 1000  # Spark drops what comes later with a time up to this
+        ready = int((held["_at"] <= until).sum())
+        out, held = held.iloc[:ready], held.iloc[ready:]
+        if ready:
+            ticks = out.assign(symbol=key[0], event_ts=pd.to_datetime(out["_at"], unit="us"))
+            yield _tick_frame(ticks, prices, volumes)
+            prices, volumes = (prices + out["price"].tolist())[1 - LONG :], (volumes + out["volume"].tolist())[1 - LONG :]
+        state.update((prices, volumes, *(held[c].tolist() for c in columns)))
+        if len(held):
+            state.setTimeoutTimestamp(-(-int(held["_at"].iloc[0]) // 1000))
+        elif ttl_ms is not None:
+            state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + ttl_ms)
+
+    return step
+
+
+def stream_ordered_tick_features(
+    df: DataFrame, late_after: str, tie: Sequence[str] | None = None, ttl_ms: int | None = None
+) -> DataFrame:
+    """Tick features of a stream that equal the batch ones for any order of arrival within ``late_after``.
+
+    A tick waits until the watermark has passed its time, so that all ticks before it are there; later ones are dropped. The
+    state of a symbol is its last 19 ticks and those of the delay; ``ttl_ms`` of event time forgets symbols without any.
+    """
+    valid = validate_events(df).withWatermark("event_ts", late_after)
+    order = tick_order(valid, tie)
+    columns = ["_at", *order[1:], "price", "volume"]
+    valid = valid.withColumn("_at", F.unix_micros("event_ts")).select("symbol", "event_ts", *columns)
+    held = [StructField(f"{_HELD}{c}", ArrayType(valid.schema[c].dataType), False) for c in columns]
+    state = StructType([*STREAM_STATE.fields, *held])
+    step = _update_in_order(columns, ttl_ms)
+    return valid.groupBy("symbol").applyInPandasWithState(step, FEATURE_ROW, state, "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def stream_time_window_features(
     df: DataFrame, duration: str = "1 minute", watermark: str = "2 minutes", tie: Sequence[str] | None = None
 ) -> DataFrame:
