@@ -96,7 +96,23 @@ def stream_tick_features(
     return valid.groupBy("symbol").applyInPandasWithState(_update(order, ttl_ms, late_after is not None), FEATURE_ROW, STREAM_STATE, "append", timeout)
 
 
-_HELD = "_held_"  # prefix of the state's columns of ticks that wait
+HELD = "_held_"  # prefix of the state's columns of rows that wait
+
+
+def in_order(
+    columns: Sequence[str], order: Sequence[str], waiting: Sequence[list], batches: Iterable[pd.DataFrame], state: GroupState
+) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """Rows that the watermark has passed, in order, and those that still wait; ``_at`` has times in microseconds.
+
+    Spark drops what comes later with a time up to the watermark, so that nothing can come before the first ones any more.
+    """
+    held = pd.DataFrame(dict(zip(columns, waiting)))
+    new = [part[list(columns)] for part in batches if len(part)]
+    if new:
+        held = pd.concat([held, *new] if len(held) else new, ignore_index=True)
+    held = held.sort_values(list(order), kind="stable", ignore_index=True)
+    ready = int((held["_at"] <= state.getCurrentWatermarkMs() * 1000).sum())
+    return held.iloc[:ready], held.iloc[ready:]
 
 
 def _update_in_order(columns: Sequence[str], ttl_ms: int | None):
@@ -105,24 +121,17 @@ def _update_in_order(columns: Sequence[str], ttl_ms: int | None):
     ``columns`` are the time in microseconds, the tie-breaks, price and volume. The state is the last ticks that were emitted,
     and one list for each column of those that wait.
     """
-    order = list(columns[:-2])
 
     def step(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         prices, volumes, *waiting = (list(part) for part in state.get) if state.exists else ([], [], *([] for _ in columns))
-        held = pd.DataFrame(dict(zip(columns, waiting)))
-        if state.hasTimedOut and held.empty:
+        if state.hasTimedOut and not waiting[0]:
             state.remove()
             return
-        new = [part[list(columns)] for part in batches if len(part)]
-        held = pd.concat([*([held] if len(held) else []), *new], ignore_index=True) if new else held
-        held = held.sort_values(order, kind="stable", ignore_index=True)
-        until = state.getCurrentWatermarkMs() * 1000  # Spark drops what comes later with a time up to this
-        ready = int((held["_at"] <= until).sum())
-        out, held = held.iloc[:ready], held.iloc[ready:]
-        if ready:
-            ticks = out.assign(symbol=key[0], event_ts=pd.to_datetime(out["_at"], unit="us"))
+        ready, held = in_order(columns, columns[:-2], waiting, batches, state)
+        if len(ready):
+            ticks = ready.assign(symbol=key[0], event_ts=pd.to_datetime(ready["_at"], unit="us"))
             yield _tick_frame(ticks, prices, volumes)
-            prices, volumes = (prices + out["price"].tolist())[1 - LONG :], (volumes + out["volume"].tolist())[1 - LONG :]
+            prices, volumes = (prices + ready["price"].tolist())[1 - LONG :], (volumes + ready["volume"].tolist())[1 - LONG :]
         state.update((prices, volumes, *(held[c].tolist() for c in columns)))
         if len(held):
             state.setTimeoutTimestamp(-(-int(held["_at"].iloc[0]) // 1000))
@@ -144,7 +153,7 @@ def stream_ordered_tick_features(
     order = tick_order(valid, tie)
     columns = ["_at", *order[1:], "price", "volume"]
     valid = valid.withColumn("_at", F.unix_micros("event_ts")).select("symbol", "event_ts", *columns)
-    held = [StructField(f"{_HELD}{c}", ArrayType(valid.schema[c].dataType), False) for c in columns]
+    held = [StructField(f"{HELD}{c}", ArrayType(valid.schema[c].dataType), False) for c in columns]
     state = StructType([*STREAM_STATE.fields, *held])
     step = _update_in_order(columns, ttl_ms)
     return valid.groupBy("symbol").applyInPandasWithState(step, FEATURE_ROW, state, "append", GroupStateTimeout.EventTimeTimeout)
