@@ -135,6 +135,26 @@ def test_copies_near_the_threshold(spark, monkeypatch):
     assert got == want and 3 < len(set(want.values())) < 290
 
 
+def test_a_group_of_near_copies_makes_few_pairs_for_each(spark, monkeypatch):
+    """Copies that all link, none of which is known to link with another yet."""
+    rng, n, texts = random.Random(13), 240, []
+    base = words(rng, 200, 10**6)
+    for _ in range(n):
+        copy = list(base)
+        for _ in range(rng.randrange(1, 3)):
+            copy[rng.randrange(len(copy))] = f"new{rng.random()}"
+        texts.append(" ".join(copy).encode())
+    found = {ngram_join.set_id(x): x for x in ngram_join.shingle_sets(texts)}
+    rows = [(f, len(x), ngram_join.sketch(x).tolist(), x.view(np.int64).tolist()) for f, x in found.items()]
+    sets = spark.createDataFrame(rows, "f long, n int, sketch array<long>, shingles array<long>").localCheckpoint()
+    members = sets.selectExpr("f", "f AS root")
+    pairs, plain = [], ngram_join.linked
+    monkeypatch.setattr(ngram_join, "linked", lambda p, s: pairs.append(p.count()) or plain(p, s))
+    roots = ngram_join.joined_roots(members, spark.createDataFrame([], "id long, root long"), sets)
+    assert {(r.id, r.root) for r in roots.collect()} == {(f, min(found)) for f in found}
+    assert sum(pairs) < n * (n - 1) / 2 / 4, pairs
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(200, 200), (300, 301), (301, 300)]
     random.Random(2).shuffle(edges)

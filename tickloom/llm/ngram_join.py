@@ -22,6 +22,9 @@ A signature gives one candidate for each of its sets, to the smallest, verified
 different components of one signature are compared once more by single shingles: those found in one component only
 cost nothing, a set needs 3/7 of both sizes in others, and keeps the rarest that this allows for each band of sizes that
 partners may have. Sets meet by these; sizes, shared shingles and parities of parts of the universe rule pairs out there.
+They meet in rounds: of a group that shares a shingle a few pivots meet all others first, and what links with them becomes one
+component. ``MORE`` times as many pivots follow while groups have sets of several components, so that a group whose
+copies link costs a few pairs for each of them; only where none link, all pairs meet in the end.
 
 Documents with equal sets are one vertex from the start. Components are exact, while copies are not expanded into all pairs.
 Sets are known by 64 bits: about n^2 / 2^65 wrong links by chance among n different sets.
@@ -34,7 +37,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import components
@@ -45,6 +48,7 @@ SHINGLE, THRESHOLD = 5, 75  # words; hundredths
 FIRST, RATIO, FINE = 3, 4, 2  # smallest set of the first band, growth of bands, segments per shingle of a band's smallest sets
 HOT = (1 << 31) - 1  # cost of signatures that are too frequent to count in one pass; all the same
 SKETCH_BITS = 512
+PIVOTS, MORE = 4, 8  # sets of a group that meet all others in the first round; growth of their number by round
 SIZE_STEPS = 40  # bands of size for the second comparison grow by e^(1/40)
 
 _U = np.uint64
@@ -290,38 +294,89 @@ def _least_both(n: Column, m: Column | None = None) -> Column:
     return F.ceil(F.lit(THRESHOLD) * total / F.lit(100 + THRESHOLD))
 
 
-def across(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b``: pairs that may link among ``members`` (``f, root``) of different roots, by single shingles."""
-    band = lambda n: F.floor(F.lit(SIZE_STEPS) * F.log(n.cast("double"))).cast("int")
+def _band(n: Column) -> Column:
+    return F.floor(F.lit(SIZE_STEPS) * F.log(n.cast("double"))).cast("int")
+
+
+def meeting(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``f, n, most, shared, sketch`` of the ``members`` (``f, root``): the shingles found in several roots, and the largest partner."""
     single = sets.join(members, "f").select("f", "root", "n", F.explode("shingles").alias("shingle"))
     cost = single.groupBy("shingle").agg(F.count("*").alias("cost"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
     ordered = F.sort_array(F.collect_list(F.struct("cost", "shingle"))).alias("shared")
-    held = single.join(cost.select("shingle", "cost"), "shingle").groupBy("f", "root", "n").agg(ordered)
+    held = single.join(cost.select("shingle", "cost"), "shingle").groupBy("f", "n").agg(ordered)
     # Two linked sets have 3/7 of the sum of their sizes in common: so the other may be no larger than this.
-    c, n = F.size("shared"), F.col("n")
-    held = held.withColumns({"most": F.floor(F.lit(100 + THRESHOLD) * c / F.lit(THRESHOLD)).cast("int") - n})
-    sketches = sets.select("f", "sketch")
-
-    def side(found: Column, bands: Column, least: Column, end: str) -> DataFrame:
-        rows = held.where(found).withColumn("band", F.explode(bands)).withColumn("extra", c - least).where("extra >= 0").join(sketches, "f")
-        rows = rows.withColumn("x", F.explode(F.slice("shared", F.lit(1), (F.col("extra") + 1).cast("int"))))
-        return rows.select(F.col("x.shingle").alias("shingle"), "band", *(F.col(x).alias(f"{x}_{end}") for x in ("f", "root", "n", "most", "sketch")))
-
-    smaller = side(F.col("most") >= n, F.array(band(n)), _least_both(n), "a")
-    lowest = F.ceil(F.lit(THRESHOLD) * n / F.lit(100)).cast("int")
-    highest = F.least(n, F.col("most"))
+    most = F.floor(F.lit(100 + THRESHOLD) * F.size("shared") / F.lit(THRESHOLD)).cast("int") - F.col("n")
+    return held.withColumn("most", most).join(sets.select("f", "sketch"), "f")
+
+
+def _side(held: DataFrame, found: Column, bands: Column, least: Column) -> DataFrame:
+    """Sets by the shingles that they are looked up by, for each band of sizes; at least ``least`` are in common with a partner."""
+    rows = held.where(found).withColumn("band", F.explode(bands)).withColumn("extra", F.size("shared") - least).where("extra >= 0")
+    rows = rows.withColumn("x", F.explode(F.slice("shared", F.lit(1), (F.col("extra") + 1).cast("int"))))
+    return rows.select(F.col("x.shingle").alias("shingle"), "band", *(c for c in held.columns if c != "shared"))
+
+
+def smaller_side(held: DataFrame) -> DataFrame:
+    """The smaller set of each pair, with its ``place`` among those of one shingle and band; the smallest identifiers, met before, come last."""
+    n = F.col("n")
+    rows = _side(held, F.col("most") >= n, F.array(_band(n)), _least_both(n))
+    group = Window.partitionBy("shingle", "band").orderBy(F.col("f").desc())
+    return rows.withColumn("place", F.row_number().over(group))
+
+
+def larger_side(held: DataFrame) -> DataFrame:
+    n = F.col("n")
+    lowest, highest = F.ceil(F.lit(THRESHOLD) * n / F.lit(100)).cast("int"), F.least(n, F.col("most"))
     # The more shingles partners of a band have, the more are in common with each, and the fewer must be looked up.
     first = F.greatest(lowest, F.floor(F.exp(F.col("band") / F.lit(SIZE_STEPS))).cast("int"))
-    larger = side(highest >= lowest, F.sequence(band(lowest), band(F.greatest(highest, lowest))), _least_both(n, first), "b")
+    return _side(held, highest >= lowest, F.sequence(_band(lowest), _band(F.greatest(highest, lowest))), _least_both(n, first))
+
+
+def across(smaller: DataFrame, larger: DataFrame) -> DataFrame:
+    """``a, b``: pairs of different ``root`` that may link, by their shingles and bands."""
+
+    def side(rows: DataFrame, end: str) -> DataFrame:
+        return rows.select("shingle", "band", *(F.col(x).alias(f"{x}_{end}") for x in ("f", "root", "n", "most", "sketch")))
+
     differ = sum((F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
     sizes = (F.col("n_a") <= F.col("n_b")) & (F.col("n_b") <= F.col("most_a")) & (F.col("n_a") <= F.col("most_b"))
     alike = differ <= F.floor(F.lit(100 - THRESHOLD) * (F.col("n_a") + F.col("n_b")) / F.lit(100 + THRESHOLD))
-    a, b = smaller.alias("a"), larger.alias("b")
+    a, b = side(smaller, "a").alias("a"), side(larger, "b").alias("b")
     same = (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.band") == F.col("b.band"))
     met = a.join(b, same & (F.col("root_a") != F.col("root_b")) & sizes & alike)
     return met.select(F.least("f_a", "f_b").alias("a"), F.greatest("f_a", "f_b").alias("b")).distinct()
 
 
+def joined_roots(members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """``roots`` (``id, root``) and what links among ``members`` (``f, root``) of different roots join, in rounds of pivots."""
+
+    def rooted(rows: DataFrame) -> DataFrame:
+        return rows.join(roots, rows["f"] == roots["id"], "left").withColumn("root", F.coalesce("root", "f")).drop("id")
+
+    with Steps(members.sparkSession) as step:
+        held = step(meeting(members, sets))
+        ends = step(smaller_side(held))
+        done, upto = 0, PIVOTS
+        while not ends.where(F.col("place") > done).isEmpty():
+            larger = larger_side(rooted(held))
+            if done:  # groups that still have sets of several components, of which some were no pivots yet
+                left = rooted(ends.where(F.col("place") > done))
+                both = left.select("shingle", "band", "root").unionAll(larger.select("shingle", "band", "root"))
+                several = both.groupBy("shingle", "band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+                rest = step(left.drop("root").join(several.select("shingle", "band"), ["shingle", "band"], "left_semi"))
+                step.over(ends)
+                ends = rest
+                if ends.isEmpty():
+                    break
+                larger = larger.join(ends.select("shingle", "band"), ["shingle", "band"], "left_semi")
+            pivots = rooted(ends.where(F.col("place").between(done + 1, upto)))
+            more = step(linked(across(pivots, larger), sets))
+            if not more.isEmpty():
+                roots = components(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionAll(more))
+            done, upto = upto, upto * MORE
+        return roots
+
+
 def set_components(docs: DataFrame, own: DataFrame) -> DataFrame:
     """``id, root``: identifiers of sets that link with others, and the smallest identifier of their component.
 
@@ -344,8 +399,7 @@ def set_components(docs: DataFrame, own: DataFrame) -> DataFrame:
         step.over(held)
         several = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
         members = step(placed.join(several, "sig", "left_semi").select("f", "root").distinct())
-        more = step(linked(across(members, sets), sets))
-        return roots if more.isEmpty() else components(links.unionAll(more))
+        return joined_roots(members, roots, sets)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
